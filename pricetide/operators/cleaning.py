@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,24 +22,27 @@ TEXT_COLUMNS = [
     "condition",
 ]
 
+# Identical rows that may share one row of a sort.
+COPIES_PER_BLOCK = 100_000
+
 # Raw text of the parsed cells, kept so that a rejected row can be traced and repaired.
 TEXT_KEPT = ["price_min_text", "price_max_text", "date_text"]
 
 
-def dedup_exact(raw: DataFrame) -> DataFrame:
-    """Drop rows equal in every feed column; landing columns do not count.
+def dedup_exact(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Drop rows equal in every feed column; landing columns count only when carried.
 
     A plain distinct: copies collapse on the map side, so a row repeated across a
     third of the feed shuffles once per task.
     """
-    return raw.drop(*LINEAGE_COLUMNS).distinct()
+    return raw.drop(*[c for c in LINEAGE_COLUMNS if c not in carry]).distinct()
 
 
-def select_business_columns(raw: DataFrame) -> DataFrame:
+def select_business_columns(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """The ten feed columns under their clean names; extra columns are dropped."""
     require_columns(raw, RAW_COLUMNS)
     return raw.select(
-        *[F.col(f"`{name}`").alias(clean) for name, clean in RAW_TO_CLEAN.items()]
+        *[F.col(f"`{name}`").alias(clean) for name, clean in RAW_TO_CLEAN.items()], *carry
     )
 
 
@@ -87,15 +92,17 @@ def explode_dates(parsed: DataFrame) -> DataFrame:
     )
 
 
-def observe(raw: DataFrame) -> DataFrame:
+def observe(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Every outcome of cleaning in one plan: good observations and explained rejects.
 
     Good rows have a NULL ``reject_reason``. One scan and one shuffle (the distinct)
-    feed both sides; write it once, partitioned by outcome, to use both.
+    feed both sides; write it once, partitioned by outcome, to use both. ``carry`` names
+    landing columns to keep, such as the batch when several are cleaned together.
     """
-    exploded = explode_dates(parse_prices(select_business_columns(dedup_exact(raw))))
+    rows = select_business_columns(dedup_exact(raw, carry), carry)
+    exploded = explode_dates(parse_prices(rows))
     seen = F.col("date_seen")
-    rows = exploded.withColumns(
+    described = exploded.withColumns(
         {
             "currency": F.upper("currency"),
             "merchant": F.lower("merchant"),
@@ -106,12 +113,12 @@ def observe(raw: DataFrame) -> DataFrame:
             "observed_month": F.month(seen),
             "reject_stage": F.when(F.col("reject_reason").isNotNull(), F.lit("clean")),
         }
-    ).select(*CLEAN_COLUMNS, *TEXT_KEPT, "reject_stage", "reject_reason")
-    return settle(rows, "reject_reason")
+    ).select(*CLEAN_COLUMNS, *TEXT_KEPT, *carry, "reject_stage", "reject_reason")
+    return settle(described, "reject_reason")
 
 
-def accepted(observed: DataFrame) -> DataFrame:
-    return observed.where(F.col("reject_reason").isNull()).select(*CLEAN_COLUMNS)
+def accepted(observed: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    return observed.where(F.col("reject_reason").isNull()).select(*CLEAN_COLUMNS, *carry)
 
 
 def rejected(observed: DataFrame) -> DataFrame:
@@ -181,6 +188,3 @@ def sorted_observations(clean_rows: DataFrame) -> DataFrame:
     return ordered.select(
         *clean_rows.columns, F.explode(F.sequence(F.lit(1), size)).alias("_copy")
     ).drop("_copy")
-
-
-COPIES_PER_BLOCK = 100_000

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,12 +65,14 @@ def loadable(prepared: DataFrame) -> DataFrame:
     return prepared.where(F.col("reject_reason").isNull()).drop("reject_reason", "reject_stage")
 
 
-def distinct_facts(rows: DataFrame, merchant: str = "merchant_id") -> DataFrame:
+def distinct_facts(
+    rows: DataFrame, merchant: str = "merchant_id", carry: Sequence[str] = ()
+) -> DataFrame:
     """One row per load key. Every other fact column follows from the key."""
     key = [merchant if c == "merchant_id" else c for c in LOAD_KEY]
     at = F.col("observed_at")
     return (
-        rows.select(*key)
+        rows.select(*key, *carry)
         .distinct()
         .withColumns(
             {
@@ -80,13 +84,13 @@ def distinct_facts(rows: DataFrame, merchant: str = "merchant_id") -> DataFrame:
     )
 
 
-def named_facts(clean_rows: DataFrame) -> DataFrame:
+def named_facts(clean_rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Facts under merchant names instead of ids, for analysis without a warehouse."""
-    typed = _typed(clean_rows.select(*REQUIRED)).withColumn(
+    typed = _typed(clean_rows.select(*REQUIRED, *carry)).withColumn(
         "merchant", F.nullif(fill_blank(F.col("merchant")), F.lit(""))
     )
     judged = settle(typed.withColumn("reject_reason", load_problem(F.col("merchant"))), "reject_reason")
-    return distinct_facts(judged.where(F.col("reject_reason").isNull()), "merchant")
+    return distinct_facts(judged.where(F.col("reject_reason").isNull()), "merchant", carry)
 
 
 def new_facts(facts: DataFrame, stored: DataFrame) -> DataFrame:

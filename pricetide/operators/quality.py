@@ -235,7 +235,7 @@ def require_loadable(facts: DataFrame) -> None:
 def _checks(rows: DataFrame, checks: dict[str, Column]) -> DataFrame:
     counts = rows.agg(*[tally(broken).alias(name) for name, broken in checks.items()])
     entries = [
-        F.struct(F.lit(name).alias("check_name"), F.col(name).alias("violations"))
+        F.struct(F.lit(name).alias("check_name"), quoted(name).alias("violations"))
         for name in checks
     ]
     return counts.select(F.inline(F.array(*entries)))
