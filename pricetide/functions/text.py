@@ -36,9 +36,10 @@ WHITESPACE = (
 )
 
 
-def missing_as_null(column: Column) -> Column:
-    """NULL for a cell whose whole text is one of the missing-value tokens."""
-    return F.when(~column.isin(*MISSING_TOKENS), column)
+def missing_as_null(name: str) -> Column:
+    """A text column with NULL where the whole cell is one of the missing-value tokens."""
+    tokens = ", ".join(f"'{token}'" for token in MISSING_TOKENS)
+    return F.expr(f"if(`{name}` in ({tokens}), null, `{name}`)")
 
 
 def strip(column: Column) -> Column:

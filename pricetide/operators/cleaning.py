@@ -66,9 +66,10 @@ def parse_prices(rows: DataFrame) -> DataFrame:
             "price_max": number(F.col("price_max")),
         }
     )
-    return parsed.withColumn(
+    judged = parsed.withColumn(
         "reject_reason", price_problem(F.col("price_min"), F.col("price_max"))
     )
+    return settle(judged, "price_min", "price_max", "reject_reason")
 
 
 def explode_dates(parsed: DataFrame) -> DataFrame:
@@ -84,12 +85,13 @@ def explode_dates(parsed: DataFrame) -> DataFrame:
             "date_seen": iso_instant(F.col("date_piece")),
         }
     )
-    return dated.drop("date_piece").withColumn(
+    judged = dated.drop("date_piece").withColumn(
         "reject_reason",
         F.coalesce(
             "reject_reason", F.when(F.col("date_seen").isNull(), F.lit("date_invalid"))
         ),
     )
+    return settle(judged, "date_seen", "reject_reason")
 
 
 def observe(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
@@ -102,7 +104,7 @@ def observe(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     rows = select_business_columns(dedup_exact(raw, carry), carry)
     exploded = explode_dates(parse_prices(rows))
     seen = F.col("date_seen")
-    described = exploded.withColumns(
+    return exploded.withColumns(
         {
             "currency": F.upper("currency"),
             "merchant": F.lower("merchant"),
@@ -114,7 +116,6 @@ def observe(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
             "reject_stage": F.when(F.col("reject_reason").isNotNull(), F.lit("clean")),
         }
     ).select(*CLEAN_COLUMNS, *TEXT_KEPT, *carry, "reject_stage", "reject_reason")
-    return settle(described, "reject_reason")
 
 
 def accepted(observed: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

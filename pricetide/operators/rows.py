@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def settle(rows: DataFrame, name: str) -> DataFrame:
-    """Compute a column here, once, however it is filtered on later.
+def settle(rows: DataFrame, *names: str) -> DataFrame:
+    """Compute columns here, once, however they are filtered on later.
 
     A filter on a derived column is pushed below the projections that derive it and
     repeats their work there. Filters on generator output stay above the generator, so
-    the column passes through a one-element one.
+    the columns pass through a one-element one.
     """
-    return rows.withColumn(name, F.explode(F.array(name)))
+    others = [f"`{c}`" for c in rows.columns if c not in names]
+    return rows.select(*others, F.inline(F.array(F.struct(*names))))

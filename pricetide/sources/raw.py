@@ -25,7 +25,7 @@ def missing_cells(rows: DataFrame) -> DataFrame:
     """Turn missing-value tokens into NULL in every text column."""
     return rows.select(
         *[
-            missing_as_null(F.col(f"`{f.name}`")).alias(f.name)
+            missing_as_null(f.name).alias(f.name)
             if isinstance(f.dataType, T.StringType)
             else F.col(f"`{f.name}`")
             for f in rows.schema.fields
