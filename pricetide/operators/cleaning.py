@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import iso_instant, midpoint, number, strip
 from ..schema import CLEAN_COLUMNS, LINEAGE_COLUMNS, RAW_COLUMNS, RAW_TO_CLEAN
-from .quality import require_columns
+from .quality import count_copies, require_columns, tally
 from .rows import settle
 
 TEXT_COLUMNS = [
@@ -101,7 +101,12 @@ def observe(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     feed both sides; write it once, partitioned by outcome, to use both. ``carry`` names
     landing columns to keep, such as the batch when several are cleaned together.
     """
-    rows = select_business_columns(dedup_exact(raw, carry), carry)
+    return observe_distinct(dedup_exact(raw, carry), carry)
+
+
+def observe_distinct(distinct_rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``observe`` for rows that are distinct already; it shuffles nothing."""
+    rows = select_business_columns(distinct_rows, carry)
     exploded = explode_dates(parse_prices(rows))
     seen = F.col("date_seen")
     return exploded.withColumns(
@@ -137,12 +142,10 @@ def transform_accounting(raw: DataFrame) -> DataFrame:
     Rows are first counted per distinct raw row, so one scan and one shuffle serve
     every figure, and date lists are exploded only once per distinct row.
     """
-    columns = [c for c in raw.columns if c not in LINEAGE_COLUMNS]
-    copies = raw.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(
-        F.count(F.lit(1)).alias("copies")
-    )
+    copies = count_copies(raw)
     business = copies.select(
-        *[F.col(f"`{name}`").alias(new) for name, new in RAW_TO_CLEAN.items()], "copies"
+        *[F.col(f"`{name}`").alias(new) for name, new in RAW_TO_CLEAN.items()],
+        F.col("_copies").alias("copies"),
     )
     parsed = parse_prices(business).withColumn("price_problem", F.col("reject_reason"))
     # The copies of a raw row are counted on its first date only.
@@ -153,18 +156,13 @@ def transform_accounting(raw: DataFrame) -> DataFrame:
     priced = F.col("price_problem").isNull()
     valid = priced & iso_instant(strip(F.col("piece"))).isNotNull()
 
-    def total(condition: Column, amount: Column = F.lit(1)) -> Column:
-        return F.coalesce(
-            F.sum(F.when(condition, amount).otherwise(F.lit(0))), F.lit(0)
-        ).cast("bigint")
-
     return numbered.agg(
-        total(first, F.col("copies")).alias("rows_in"),
-        total(first, F.col("copies") - 1).alias("rows_duplicate"),
-        total(~priced).alias("rows_bad_price"),
-        total(priced).alias("rows_exploded"),
-        total(priced & ~valid).alias("rows_bad_date"),
-        total(valid).alias("rows_out"),
+        tally(first, F.col("copies")).alias("rows_in"),
+        tally(first, F.col("copies") - 1).alias("rows_duplicate"),
+        tally(~priced).alias("rows_bad_price"),
+        tally(priced).alias("rows_exploded"),
+        tally(priced & ~valid).alias("rows_bad_date"),
+        tally(valid).alias("rows_out"),
     ).withColumn("rows_removed", F.col("rows_in") - F.col("rows_out"))
 
 

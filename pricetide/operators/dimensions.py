@@ -97,9 +97,7 @@ def new_merchants(
     )
     numbered = bucketed.withColumn("_i", in_bucket).join(F.broadcast(starts), "_b")
     if first_id is None:
-        highest = stored.agg(F.coalesce(F.max("merchant_id"), F.lit(0)).alias("_base"))
-        numbered = numbered.crossJoin(F.broadcast(highest))  # one row
-        base = F.col("_base")
+        base = stored.agg(F.coalesce(F.max("merchant_id"), F.lit(0))).scalar()
     else:
         base = F.lit(first_id - 1)
     return numbered.select(

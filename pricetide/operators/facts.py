@@ -104,10 +104,9 @@ def new_facts(facts: DataFrame, stored: DataFrame) -> DataFrame:
 
 def load_accounting(facts_in: DataFrame, facts: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows received, inserted and skipped when ``facts`` are loaded onto ``stored``."""
+    inserted = new_facts(facts, stored).agg(F.count(F.lit(1)))
     received = facts_in.agg(F.count(F.lit(1)).alias("received"))
-    inserted = new_facts(facts, stored).agg(F.count(F.lit(1)).alias("inserted"))
-    # Both sides are one row.
-    return received.crossJoin(inserted).withColumn(
+    return received.withColumn("inserted", inserted.scalar()).withColumn(
         "skipped", F.col("received") - F.col("inserted")
     )
 

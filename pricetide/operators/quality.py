@@ -124,18 +124,23 @@ def type_conformance(rows: DataFrame) -> DataFrame:
 # --- batch report and gate --------------------------------------------------
 
 
+def count_copies(rows: DataFrame, batch: str | None = None) -> DataFrame:
+    """Each distinct row once, with how often it occurs as ``_copies``.
+
+    The only shuffle on whole rows that validation and cleaning need. Its map-side
+    combine absorbs a row that is repeated very often.
+    """
+    columns = [c for c in rows.columns if c == batch or c not in LINEAGE_COLUMNS]
+    return rows.groupBy(*map(quoted, columns)).agg(F.count(F.lit(1)).alias("_copies"))
+
+
 def duplicate_count(rows: DataFrame) -> DataFrame:
     """Rows beyond the first copy of each row, over all feed columns."""
-    columns = [c for c in rows.columns if c not in LINEAGE_COLUMNS]
-    return (
-        rows.groupBy(*map(quoted, columns))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
-            F.count(F.lit(1)).alias("distinct_rows"),
-        )
-        .withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows"))
+    totals = count_copies(rows).agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
+        F.count(F.lit(1)).alias("distinct_rows"),
     )
+    return totals.withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows"))
 
 
 def validation_report(
@@ -149,30 +154,30 @@ def validation_report(
 ) -> DataFrame:
     """One row of metrics per batch, with its status and first failing check.
 
-    Counting copies of each row first leaves a single shuffle on whole rows, whose
-    map-side combine also absorbs a row repeated very often. Every other figure is a
-    sum over the copy counts.
+    Takes raw rows, or rows already counted with ``count_copies``. Every figure is a sum
+    over copy counts, so one plan with one shuffle on whole rows gives them all.
     """
     require_columns(raw, required)
-    columns = [c for c in raw.columns if c not in LINEAGE_COLUMNS and c != batch]
+    copies = raw if "_copies" in raw.columns else count_copies(raw, batch)
     keys = [batch] if batch else []
-    copies = raw.groupBy(*keys, *map(quoted, columns)).agg(F.count(F.lit(1)).alias("_n"))
+    feed_columns = len(copies.columns) - 1 - len(keys)
+    n = F.col("_copies")
     low = number(quoted("prices.amountMin"))
     high = number(quoted("prices.amountMax"))
     weighted = copies.select(
         *keys,
-        "_n",
+        "_copies",
         (low.isNull() | high.isNull()).alias("_null_price"),
         ((low < minimum_price) | (high < minimum_price)).alias("_low_price"),
         (F.coalesce(strip(quoted("id")), F.lit("")) == "").alias("_no_id"),
     )
     report = weighted.groupBy(*keys).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
-        F.lit(len(columns)).cast("bigint").alias("column_count"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
-        tally(F.col("_null_price"), F.col("_n")).alias("null_price_rows"),
-        tally(F.col("_low_price"), F.col("_n")).alias("invalid_price_rows"),
-        tally(F.col("_no_id"), F.col("_n")).alias("null_product_ids"),
+        F.coalesce(F.sum(n), F.lit(0)).alias("row_count"),
+        F.lit(feed_columns).cast("bigint").alias("column_count"),
+        F.coalesce(F.sum(n - 1), F.lit(0)).alias("duplicates"),
+        tally(F.col("_null_price"), n).alias("null_price_rows"),
+        tally(F.col("_low_price"), n).alias("invalid_price_rows"),
+        tally(F.col("_no_id"), n).alias("null_product_ids"),
     )
     failures = [
         (not allow_duplicates, "duplicates", "duplicates"),

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..operators import cleaning, dimensions, facts, history, market, quality
 from ..schema import RAW_COLUMNS, RAW_TO_CLEAN
-from ..session import prepare, shared_folder
+from ..session import prepare, shared_folder, staged
 from ..sources import raw as raw_source
 from ..sources.feeds import as_file_feed, event_feed, order_feed
 from ..sources.warehouse import Warehouse
@@ -76,8 +76,9 @@ def known_sellers(spark: SparkSession, folder: str) -> DataFrame:
     return all_sellers(spark, folder).where("s_acctbal > 0").drop("s_acctbal")
 
 
-def id_facts(spark: SparkSession, folder: str) -> DataFrame:
-    prepared = facts.prepare_facts(order_clean(spark, folder), all_sellers(spark, folder))
+def id_facts(spark: SparkSession, folder: str, clean_rows: DataFrame | None = None) -> DataFrame:
+    rows = order_clean(spark, folder) if clean_rows is None else clean_rows
+    prepared = facts.prepare_facts(rows, all_sellers(spark, folder))
     return facts.distinct_facts(facts.loadable(prepared))
 
 
@@ -222,6 +223,7 @@ def _unchecked(spark: SparkSession, folder: str) -> DataFrame:
     rows = cleaning.select_business_columns(cleaning.dedup_exact(order_raw(spark, folder)))
     parsed = cleaning.explode_dates(cleaning.parse_prices(rows)).withColumns(
         {
+            "currency": F.upper("currency"),
             "merchant": F.lower("merchant"),
             "price": (F.col("price_min") + F.col("price_max")) / 2,
             "observed_at": F.col("date_seen"),
@@ -235,15 +237,17 @@ def load_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def constraint_violations(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _unchecked(spark, folder)
-    products = order_clean(spark, folder).select("product_id", "product_name", "brand").distinct()
+    rows = staged(_unchecked(spark, folder), "constraints")
+    good = rows.where("reject_reason is null")
+    products = good.select("product_id", "product_name", "brand").distinct()
     merchants = rows.select(F.col("merchant").alias("merchant_name"))
     return quality.constraint_violations(rows, products, merchants)
 
 
 def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
-    rows = id_facts(spark, folder)
-    products = earlier(order_clean(spark, folder), "date_seen").select("product_id").distinct()
+    clean_rows = staged(order_clean(spark, folder), "orphans")
+    rows = id_facts(spark, folder, clean_rows)
+    products = earlier(clean_rows, "date_seen").select("product_id").distinct()
     return quality.fk_orphans(rows, products, known_sellers(spark, folder))
 
 
@@ -275,13 +279,10 @@ def products_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 def merchants_merge(spark: SparkSession, folder: str) -> DataFrame:
     stored = known_sellers(spark, folder)
-    merged = dimensions.merge_merchants(
-        stored, dimensions.dim_merchants(order_clean(spark, folder)), F.current_timestamp()
-    )
-    base = stored.agg(F.max("merchant_id").alias("base"))
-    flagged = merged.crossJoin(F.broadcast(base)).withColumn(  # one row
-        "is_new", F.col("merchant_id") > F.col("base")
-    )
+    names = staged(dimensions.dim_merchants(order_clean(spark, folder)), "merchants")
+    merged = dimensions.merge_merchants(stored, names)
+    highest = stored.agg(F.max("merchant_id")).scalar()
+    flagged = merged.withColumn("is_new", F.col("merchant_id") > highest)
     # New ids are generated, so only stored ones are shown.
     return flagged.select(
         "merchant_name",
@@ -347,22 +348,22 @@ def price_history_load(spark: SparkSession, folder: str) -> DataFrame:
 
 def price_history_reload(spark: SparkSession, folder: str) -> DataFrame:
     """The whole feed again after an earlier load: only later observations are new."""
-    rows = id_facts(spark, folder)
+    rows = staged(id_facts(spark, folder), "reload")
     return facts.new_facts(rows, earlier(rows))
 
 
 def load_accounting(spark: SparkSession, folder: str) -> DataFrame:
     prepared = facts.prepare_facts(order_clean(spark, folder), all_sellers(spark, folder))
-    incoming = facts.loadable(prepared)
+    incoming = staged(facts.loadable(prepared), "accounting")
     rows = facts.distinct_facts(incoming)
     return facts.load_accounting(incoming, rows, earlier(rows))
 
 
 def price_facts_star(spark: SparkSession, folder: str) -> DataFrame:
-    rows = id_facts(spark, folder)
-    joined = facts.star(
-        rows, dim_products(spark, folder), all_sellers(spark, folder), dimensions.dim_date(rows)
-    )
+    clean_rows = staged(order_clean(spark, folder), "star")
+    rows = staged(id_facts(spark, folder, clean_rows), "star")
+    products = dimensions.dim_products(clean_rows)
+    joined = facts.star(rows, products, all_sellers(spark, folder), dimensions.dim_date(rows))
     return joined.groupBy("brand", "merchant_name", "observed_year", "quarter", "is_weekend").agg(
         F.count(F.lit(1)).alias("observations"),
         F.sum("price").alias("total_price"),
@@ -393,9 +394,11 @@ def _of_events(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 def _runs(spark: SparkSession, folder: str) -> DataFrame:
     """Each ship day as one strict pipeline run: it fails when a check of it fails."""
-    raw = order_raw(spark, folder, batch=True)
-    report = quality.validation_report(raw, "_batch_id")
-    clean_rows = cleaning.accepted(cleaning.observe(raw, ["_batch_id"]), ["_batch_id"])
+    counted = quality.count_copies(order_raw(spark, folder, batch=True), "_batch_id")
+    rows = staged(counted, "runs")
+    report = quality.validation_report(rows, "_batch_id")
+    observed = cleaning.observe_distinct(rows, ["_batch_id"])
+    clean_rows = cleaning.accepted(observed, ["_batch_id"])
     cleaned = clean_rows.groupBy("_batch_id").agg(F.count(F.lit(1)).alias("n_clean"))
     loaded = (
         facts.named_facts(clean_rows, ["_batch_id"])

@@ -7,8 +7,14 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cleaning import accepted, observe, rejected
-from ..operators.quality import require_valid, validation_report
+from ..operators.cleaning import accepted, observe_distinct, rejected
+from ..operators.quality import (
+    count_copies,
+    require_columns,
+    require_valid,
+    validation_report,
+)
+from ..schema import RAW_COLUMNS
 from ..session import prepare
 from ..sources.raw import land_raw
 from ..sources.warehouse import LoadResult, Warehouse
@@ -60,12 +66,18 @@ def run_pipeline(
         raw = land_raw(spark, source, f"{root}/raw", batch, multiline)
         counts["records_received"] = raw.count()
 
+        # Written once: the report and the cleaning both start from distinct rows, and
+        # whole rows are shuffled a single time per run.
+        require_columns(raw, RAW_COLUMNS)
+        counted_path = f"{root}/staged/rows"
+        count_copies(raw).write.mode("overwrite").parquet(counted_path)
+        rows = spark.read.parquet(counted_path)
         report_path = f"{root}/reports/batch={batch}"
-        validation_report(raw, **checks).write.mode("overwrite").json(report_path)
+        validation_report(rows, **checks).write.mode("overwrite").json(report_path)
         if policy == "strict":
             require_valid(spark.read.json(report_path))
 
-        observed = observe(raw)
+        observed = observe_distinct(rows)
         write_processed(observed, f"{root}/processed")
         processed = read_processed(spark, f"{root}/processed", observed)
         refused = rejected(processed.where("outcome = 'rejected'")).drop("outcome")

@@ -34,3 +34,10 @@ def checkpoint(rows: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(rows.sparkSession, "checkpoint"))
     return rows.checkpoint()
+
+
+def staged(rows: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back, for plans that use it twice."""
+    path = shared_folder(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

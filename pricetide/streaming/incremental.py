@@ -37,7 +37,7 @@ def load_arrivals(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         observed = observe(batch)
-        staged = f"{warehouse.root}/staged"
+        staged = f"{warehouse.root}/staged/arrivals"
         write_processed(observed, staged)
         processed = read_processed(batch.sparkSession, staged, observed)
         Warehouse(batch.sparkSession, root).load(accepted(processed.where("outcome = 'clean'")))
