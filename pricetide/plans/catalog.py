@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import cleaning, dimensions, facts, history, market, quality
+from ..operators.skew import SMALL_INPUT_BYTES, input_bytes
 from ..schema import RAW_COLUMNS, RAW_TO_CLEAN
 from ..session import prepare, shared_folder, staged
 from ..sources import raw as raw_source
@@ -373,12 +374,11 @@ def price_facts_star(spark: SparkSession, folder: str) -> DataFrame:
 # --- price questions -----------------------------------------------------------------------
 
 
-def price_history_view(spark: SparkSession, folder: str) -> DataFrame:
-    return history.price_history_view(order_facts(spark, folder))
-
-
-def price_change_feed(spark: SparkSession, folder: str) -> DataFrame:
-    return history.price_change(order_facts(spark, folder))
+def read_twice(rows: DataFrame) -> DataFrame:
+    """Facts for operators that look for heavy groups first: stored once when large."""
+    size = input_bytes(rows)
+    small = size is not None and size <= SMALL_INPUT_BYTES
+    return rows if small else staged(rows, "facts")
 
 
 def _of_orders(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -389,6 +389,14 @@ def _of_events(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: operator(event_facts(spark, folder))
 
 
+def _of_order_groups(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: operator(read_twice(order_facts(spark, folder)))
+
+
+def _of_event_groups(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: operator(read_twice(event_facts(spark, folder)))
+
+
 # --- runs -----------------------------------------------------------------------------------
 
 
@@ -503,21 +511,21 @@ QUERIES: dict[str, Query] = {
     "load_accounting": load_accounting,
     "price_facts_star": price_facts_star,
     "current_price": _of_orders(history.current_price),
-    "cheapest_merchant": _of_orders(market.cheapest_merchant),
-    "competitor_comparison": _of_orders(market.competitor_comparison),
-    "avg_competitor_price": _of_orders(market.avg_competitor_price),
+    "cheapest_merchant": _of_order_groups(market.cheapest_merchant),
+    "competitor_comparison": _of_order_groups(market.competitor_comparison),
+    "avg_competitor_price": _of_order_groups(market.avg_competitor_price),
     "avg_price_across_competitors": _of_orders(market.avg_price_across_competitors),
     "price_trend_monthly": _of_orders(lambda rows: history.price_trend(rows, "month")),
     "price_trend_daily": _of_orders(lambda rows: history.price_trend(rows, "day")),
     "lowest_recorded_price": _of_orders(history.lowest_recorded_price),
     "highest_recorded_price": _of_orders(history.highest_recorded_price),
-    "price_history_view": price_history_view,
-    "price_change_feed": price_change_feed,
-    "previous_price": _of_events(history.previous_price),
-    "price_change": _of_events(history.price_change),
-    "price_change_points": _of_events(history.price_change_points),
-    "price_change_frequency": _of_events(history.change_frequency),
-    "price_fluctuation": _of_events(history.price_fluctuation),
+    "price_history_view": _of_order_groups(history.price_history_view),
+    "price_change_feed": _of_order_groups(history.price_change),
+    "previous_price": _of_event_groups(history.previous_price),
+    "price_change": _of_event_groups(history.price_change),
+    "price_change_points": _of_event_groups(history.price_change_points),
+    "price_change_frequency": _of_event_groups(history.change_frequency),
+    "price_fluctuation": _of_event_groups(history.price_fluctuation),
     "top_price_increases": _of_orders(history.top_price_increases),
     "top_price_decreases": _of_orders(history.top_price_decreases),
     "top_price_increases_since_first": _of_events(

@@ -43,9 +43,11 @@ def scan_raw_prices(spark: SparkSession, path: str | list[str], multiline: bool
     return missing_cells(_scan_text(spark, path, multiline))
 
 
-def stream_raw_prices(spark: SparkSession, path: str, **options: object) -> DataFrame:
-    """The same scan as a file stream; it needs the feed's columns up front."""
-    reader = spark.readStream.schema(RAW_SCHEMA).options(**CSV_OPTIONS, enforceSchema=False)
+def stream_raw_prices(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, **options: object
+) -> DataFrame:
+    """The same scan as a file stream; it needs the feed's columns, in order, up front."""
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS, enforceSchema=False)
     return missing_cells(reader.options(**options).csv(path))
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators.cleaning import accepted, observe
 from ..plans.pipeline import read_processed, write_processed
+from ..schema import RAW_SCHEMA
 from ..session import prepare
 from ..sources.raw import stream_raw_prices
 from ..sources.warehouse import Warehouse
@@ -17,6 +19,7 @@ def load_arrivals(
     source: str,
     root: str,
     *,
+    schema: StructType = RAW_SCHEMA,
     max_files: int | None = None,
     once: bool = True,
     interval: str = "1 minute",
@@ -33,7 +36,7 @@ def load_arrivals(
     options = {"recursiveFileLookup": True}
     if max_files:
         options["maxFilesPerTrigger"] = max_files
-    arrivals = stream_raw_prices(spark, source, **options)
+    arrivals = stream_raw_prices(spark, source, schema, **options)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         observed = observe(batch)
