@@ -84,26 +84,25 @@ class Warehouse:
         reader = self.spark.read.schema(schema).option("basePath", self._path(table))
         return reader.parquet(*folders).select(*schema.names)
 
-    def products(self) -> DataFrame:
-        done = self._committed()
+    def products(self, done: list | None = None) -> DataFrame:
+        done = self._committed() if done is None else done
         folders = [self._path("products", f"version={done[-1].load}")] if done else []
         return self._read("products", PRODUCTS, folders)
 
-    def merchants(self) -> DataFrame:
-        folders = [self._path("merchants", f"load={c.load}") for c in self._committed()]
+    def merchants(self, done: list | None = None) -> DataFrame:
+        done = self._committed() if done is None else done
+        folders = [self._path("merchants", f"load={c.load}") for c in done]
         return self._read("merchants", MERCHANTS, folders)
 
-    def price_history(self) -> DataFrame:
-        folders = [
-            self._path("price_history", f"load={c.load}")
-            for c in self._committed()
-            if c.inserted
-        ]
+    def price_history(self, done: list | None = None) -> DataFrame:
+        done = self._committed() if done is None else done
+        folders = [self._path("price_history", f"load={c.load}") for c in done if c.inserted]
         return self._read("price_history", PRICE_HISTORY, folders)
 
     def facts(self) -> DataFrame:
         """Price history with product and merchant names, for the price questions."""
-        return star(self.price_history(), self.products(), self.merchants())
+        done = self._committed()
+        return star(self.price_history(done), self.products(done), self.merchants(done))
 
     def rejects(self, load: int) -> DataFrame:
         return self.spark.read.parquet(self._path("rejects", f"load={load}"))
@@ -125,10 +124,10 @@ class Warehouse:
             raise LoadRejected(f"Load {load} is already committed")
         now = F.current_timestamp()
 
-        changed = upsert_products(self.products(), dim_products(clean_rows), now)
+        changed = upsert_products(self.products(done), dim_products(clean_rows), now)
         self._write(changed.drop("change"), "products", f"version={load}")
 
-        known = self.merchants()
+        known = self.merchants(done)
         next_id = done[-1].next_merchant_id if done else 1
         added = new_merchants(known, dim_merchants(clean_rows), now, first_id=next_id)
         self._write(added, "merchants", f"load={load}")
@@ -144,7 +143,7 @@ class Warehouse:
             raise LoadRejected(f"{missing} rows have no product id")
 
         facts = distinct_facts(loadable(prepared))
-        fresh = new_facts(facts, self._same_months(clean_rows))
+        fresh = new_facts(facts, self._same_months(clean_rows, done))
         first_price = done[-1].next_price_id if done else 1
         inserted, next_price = self._append_facts(fresh, load, first_price)
 
@@ -160,12 +159,12 @@ class Warehouse:
         # Overwriting makes a repeated, uncommitted load start clean.
         rows.write.mode("overwrite").partitionBy(*by).parquet(self._path(*folder))
 
-    def _same_months(self, clean_rows: DataFrame) -> DataFrame:
+    def _same_months(self, clean_rows: DataFrame, done: list) -> DataFrame:
         """Stored facts of the months a batch touches, so that no others are read.
 
         Observation times are bounded by the parser, so there are at most 7,032 months.
         """
-        stored = self.price_history()
+        stored = self.price_history(done)
         touched = clean_rows.select("observed_year", "observed_month").distinct().collect()
         by_year: dict[int, list[int]] = {}
         for year, month in touched:
