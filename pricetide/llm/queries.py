@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pricetide.llm import substring_dedup
+from pricetide.llm import substring_dedup, suffix_dedup
 
 
 def registered() -> dict:
     return {
+        "op1_suffix_array_dedup": suffix_dedup.op1_suffix_array_dedup,
         "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     }
 
 
 def statements() -> dict[str, str]:
     return {
+        "op1_suffix_array_dedup": suffix_dedup.SQL,
         "op5_substring_dedup": substring_dedup.SQL,
     }

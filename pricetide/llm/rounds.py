@@ -80,13 +80,13 @@ ANSWER_TYPE = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("values
 
 
 def answer(
-    sent: DataFrame, judge: Callable[[np.ndarray, np.ndarray, np.ndarray, list], np.ndarray]
+    sent: DataFrame, judge: Callable[[np.ndarray, np.ndarray, np.ndarray, list, list], np.ndarray]
 ) -> DataFrame:
     """Each bucket's verdict on the entries sent to it.
 
-    ``judge(first, group, chunk_of, extras)`` sees the entries sorted by hash: ``first`` are the
+    ``judge(first, group, order, extras, sizes)`` sees the entries sorted by hash: ``first`` are the
     places where a new hash begins, ``group`` the number of the hash of each entry, ``order`` where
-    each entry stood as sent, ``extras`` what the chunks added. It returns one byte per entry.
+    each entry stood as sent, ``extras`` what the chunks added, ``sizes`` the lengths of their lists. It returns one byte per entry.
     """
 
     def bucket(rows: pa.Table) -> pa.Table:
@@ -98,7 +98,7 @@ def answer(
         first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
         group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(hashes))))
         values = np.empty(len(order), np.uint8)
-        values[order] = judge(first, group, order, rows["extra"].to_pylist())
+        values[order] = judge(first, group, order, rows["extra"].to_pylist(), [len(x) for x in lists])
         ends = np.cumsum([len(x) for x in lists])
         return pa.table(
             {

@@ -65,7 +65,7 @@ def _sender(size: int, buckets: int):
     return send
 
 
-def _smaller_elsewhere(first, group, order, extras) -> np.ndarray:
+def _smaller_elsewhere(first, group, order, extras, sizes) -> np.ndarray:
     """1 where another chunk holds the window in a document with a smaller id."""
     ids = []
     for blob in extras:
