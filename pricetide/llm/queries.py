@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pricetide.llm import substring_dedup, suffix_dedup
+from pricetide.llm import ngram_join, substring_dedup, suffix_dedup
 
 
 def registered() -> dict:
     return {
         "op1_suffix_array_dedup": suffix_dedup.op1_suffix_array_dedup,
         "op5_substring_dedup": substring_dedup.op5_substring_dedup,
+        "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
     }
 
 
@@ -16,4 +17,5 @@ def statements() -> dict[str, str]:
     return {
         "op1_suffix_array_dedup": suffix_dedup.SQL,
         "op5_substring_dedup": substring_dedup.SQL,
+        "op9_ngram_jaccard_join": ngram_join.SQL,
     }

@@ -30,6 +30,7 @@ ANSWER = "chunk int, bucket int, values binary"
 class Deal:
     chunks: int
     buckets: int
+    size: int
 
 
 def deal(docs: DataFrame, text: str = "text", least: int = 1 << 20, most: int = 1 << 25) -> Deal:
@@ -40,7 +41,7 @@ def deal(docs: DataFrame, text: str = "text", least: int = 1 << 20, most: int =
     """
     size = max(1, text_bytes(docs, text))
     chunk = min(most, max(least, int(math.sqrt(size * 4000))))
-    return Deal(chunks=-(-size // chunk), buckets=max(1, -(-size // (chunk * 4))))
+    return Deal(-(-size // chunk), -(-size // (chunk * 4)), size)
 
 
 def dealt(docs: DataFrame, plan: Deal, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -63,15 +64,16 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> U(40)) * U(buckets) >> U(24)).astype(np.int64)
 
 
-def send(chunk: int, hashes: np.ndarray, buckets: int, extra: Callable | None = None, head: bytes = b"") -> dict:
-    """Lists for the buckets of ascending distinct hashes; ``extra(lo, hi)`` adds bytes for a slice."""
+def send(chunk: int, hashes: np.ndarray, buckets: int, extra: Callable, drop: int = 0) -> dict:
+    """Lists for the buckets of ascending distinct hashes; ``extra(lo, hi)`` adds bytes for
+    a slice; the last ``drop`` bits of a hash are not sent."""
     cut = np.searchsorted(bucket_of(hashes, buckets), np.arange(buckets + 1))
     rows = [b for b in range(buckets) if cut[b + 1] > cut[b]]
     return {
         "bucket": rows,
         "chunk": [chunk] * len(rows),
-        "hashes": [pack(hashes[cut[b] : cut[b + 1]]) for b in rows],
-        "extra": [extra(cut[b], cut[b + 1]) if extra else head for b in rows],
+        "hashes": [pack(hashes[cut[b] : cut[b + 1]] >> U(drop)) for b in rows],
+        "extra": [extra(cut[b], cut[b + 1]) for b in rows],
     }
 
 
