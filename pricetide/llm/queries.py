@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pricetide.llm import ngram_join, substring_dedup, suffix_dedup
+from pricetide.llm import ngram_join, quality_rules, substring_dedup, suffix_dedup
 
 
 def registered() -> dict:
     return {
         "op1_suffix_array_dedup": suffix_dedup.op1_suffix_array_dedup,
+        "op2_quality_rules": quality_rules.op2_quality_rules,
         "op5_substring_dedup": substring_dedup.op5_substring_dedup,
         "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
     }
@@ -16,6 +17,7 @@ def registered() -> dict:
 def statements() -> dict[str, str]:
     return {
         "op1_suffix_array_dedup": suffix_dedup.SQL,
+        "op2_quality_rules": quality_rules.SQL,
         "op5_substring_dedup": substring_dedup.SQL,
         "op9_ngram_jaccard_join": ngram_join.SQL,
     }
