@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricetide.llm import ngram_join, quality_rules, substring_dedup, suffix_dedup
+from pricetide.llm import mixing, ngram_join, quality_rules, substring_dedup, suffix_dedup
 
 
 def registered() -> dict:
@@ -10,6 +10,7 @@ def registered() -> dict:
         "op1_suffix_array_dedup": suffix_dedup.op1_suffix_array_dedup,
         "op2_quality_rules": quality_rules.op2_quality_rules,
         "op5_substring_dedup": substring_dedup.op5_substring_dedup,
+        "op7_source_mixing": mixing.op7_source_mixing,
         "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
     }
 
@@ -19,5 +20,6 @@ def statements() -> dict[str, str]:
         "op1_suffix_array_dedup": suffix_dedup.SQL,
         "op2_quality_rules": quality_rules.SQL,
         "op5_substring_dedup": substring_dedup.SQL,
+        "op7_source_mixing": mixing.SQL,
         "op9_ngram_jaccard_join": ngram_join.SQL,
     }
