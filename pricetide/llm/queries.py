@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pricetide.llm import mixing, ngram_join, quality_rules, substring_dedup, suffix_dedup
+from pricetide.llm import mixing, ngram_join, quality_rules, substring_dedup, suffix_dedup, token_files
 
 
 def registered() -> dict:
     return {
         "op1_suffix_array_dedup": suffix_dedup.op1_suffix_array_dedup,
         "op2_quality_rules": quality_rules.op2_quality_rules,
+        "op3_token_files": token_files.op3_token_files,
         "op5_substring_dedup": substring_dedup.op5_substring_dedup,
         "op7_source_mixing": mixing.op7_source_mixing,
         "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
