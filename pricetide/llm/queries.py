@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricetide.llm import mixing, ngram_join, quality_rules, substring_dedup, suffix_dedup, token_files
+from pricetide.llm import mixing, ngram_join, quality_rules, substring_dedup, suffix_dedup, token_files, warc
 
 
 def registered() -> dict:
@@ -13,6 +13,7 @@ def registered() -> dict:
         "op5_substring_dedup": substring_dedup.op5_substring_dedup,
         "op7_source_mixing": mixing.op7_source_mixing,
         "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
+        "op10_warc": warc.op10_warc,
     }
 
 
@@ -23,4 +24,5 @@ def statements() -> dict[str, str]:
         "op5_substring_dedup": substring_dedup.SQL,
         "op7_source_mixing": mixing.SQL,
         "op9_ngram_jaccard_join": ngram_join.SQL,
+        "op10_warc": warc.SQL,
     }
