@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricetide.llm import mixing, ngram_join, quality_rules, substring_dedup, suffix_dedup, token_files, warc
+from pricetide.llm import html_text, mixing, ngram_join, quality_rules, substring_dedup, suffix_dedup, token_files, warc
 
 
 def registered() -> dict:
@@ -12,6 +12,7 @@ def registered() -> dict:
         "op3_token_files": token_files.op3_token_files,
         "op5_substring_dedup": substring_dedup.op5_substring_dedup,
         "op7_source_mixing": mixing.op7_source_mixing,
+        "op8_html_extraction": html_text.op8_html_extraction,
         "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
         "op10_warc": warc.op10_warc,
     }
