@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricetide.llm import html_text, mixing, ngram_join, quality_rules, substring_dedup, suffix_dedup, token_files, warc
+from pricetide.llm import html_text, mixing, ngram_join, quality_rules, sentencepieces, substring_dedup, suffix_dedup, token_files, warc
 
 
 def registered() -> dict:
@@ -11,6 +11,7 @@ def registered() -> dict:
         "op2_quality_rules": quality_rules.op2_quality_rules,
         "op3_token_files": token_files.op3_token_files,
         "op5_substring_dedup": substring_dedup.op5_substring_dedup,
+        "op6_sentencepiece": sentencepieces.op6_sentencepiece,
         "op7_source_mixing": mixing.op7_source_mixing,
         "op8_html_extraction": html_text.op8_html_extraction,
         "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
