@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricetide.llm import html_text, mixing, ngram_join, quality_rules, sentencepieces, substring_dedup, suffix_dedup, token_files, warc
+from pricetide.llm import html_text, mixing, ngram_join, quality_rules, sentencepieces, simhash, substring_dedup, suffix_dedup, token_files, warc
 
 
 def registered() -> dict:
@@ -10,6 +10,7 @@ def registered() -> dict:
         "op1_suffix_array_dedup": suffix_dedup.op1_suffix_array_dedup,
         "op2_quality_rules": quality_rules.op2_quality_rules,
         "op3_token_files": token_files.op3_token_files,
+        "op4_simhash": simhash.op4_simhash,
         "op5_substring_dedup": substring_dedup.op5_substring_dedup,
         "op6_sentencepiece": sentencepieces.op6_sentencepiece,
         "op7_source_mixing": mixing.op7_source_mixing,
