@@ -47,13 +47,13 @@ def fingerprints(texts: list[bytes]) -> np.ndarray:
     hashes = np.concatenate((hashes, words.whole()[short]))[first]
     owner = owner[first]
     order = np.argsort(owner, kind="stable")
-    hashes, owner, weight = hashes[order], owner[order], 1 + np.log2(count[order])
-    votes = np.zeros((len(texts), BITS), np.float64)
+    hashes, owner, weight = hashes[order], owner[order], np.rint(64 * (1 + np.log2(count[order]))).astype(np.int32)
+    votes = np.zeros((len(texts), BITS), np.int64)  # whole numbers: sums do not depend on blocks
     for lo in range(0, len(hashes), _TERMS):
         h, o = hashes[lo : lo + _TERMS], owner[lo : lo + _TERMS]
         two = np.stack((h, mix(h ^ U(0x6A09E667F3BCC909))), axis=1).astype("<u8")
-        bits = np.unpackbits(two.view(np.uint8), axis=1).astype(np.float32)
-        bits = (bits * 2 - 1) * weight[lo : lo + _TERMS, None].astype(np.float32)
+        bits = np.unpackbits(two.view(np.uint8), axis=1).astype(np.int32)
+        bits = (bits * 2 - 1) * weight[lo : lo + _TERMS, None]
         opens = np.flatnonzero(np.concatenate(([True], o[1:] != o[:-1])))
         votes[o[opens]] += np.add.reduceat(bits, opens, axis=0)
     return np.packbits(votes > 0, axis=1)
