@@ -12,11 +12,13 @@ Documents link when the sets of their 5-word shingles have a Jaccard similarity
    when l matches are asked for. Partners must share the smaller of their two l.
 3. A prefix shingle that no other set holds cannot match. Most documents have no other kind in
    their prefix, and drop out here with all their shingles.
-4. Equal sets become one. Shingles held by the same sets stand for each other. Sets that share a
-   prefix shingle are compared in one block: prefix matches first, then, where enough match and
-   the sizes fit, whole sets. Groups of over ``BLOCK`` sets are cut into slices, and each two
-   slices make a block, so no task holds more than two slices and no pair is left out.
-   A block returns the links of a spanning forest, at most one row per set in it.
+4. Equal sets become one. Sets that share a prefix shingle meet in the block of the least of
+   them (by hash), once for all the shingles that lead there; a set with fewer shared prefix
+   shingles than any partner there asks for stays out. In a block, prefix matches are counted
+   first, then, where enough match and the sizes fit, whole sets are compared. Blocks of over
+   ``BLOCK`` sets are cut into slices, and each two slices are compared, so no comparison holds
+   more than two slices and no pair is left out. A comparison returns the links of a spanning
+   forest, at most one row per set in it.
 5. Connected components over those links, by joins.
 
 Defined cases: null or wordless text has an empty set and no links; a text of fewer than five
@@ -39,7 +41,7 @@ from pricetide.llm.shared import stage, table
 
 SHINGLE, PERCENT = 5, 80
 BLOCK = 1024  # sets in a slice
-MOST_MATCHES = 4  # the largest l tried
+MOST_MATCHES = 8  # the largest l tried
 SETS = "chunk int, doc_id bigint, sid binary, n bigint, ell int, tokens array<bigint>, rest binary"
 SETS_TYPE = pa.schema(
     [("chunk", pa.int32()), ("doc_id", pa.int64()), ("sid", pa.binary()), ("n", pa.int64()), ("ell", pa.int32()), ("tokens", pa.list_(pa.int64())), ("rest", pa.binary())]
@@ -216,23 +218,23 @@ def set_links(sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> Da
     sent = sets.where("tokens is not null")
     one = sent.groupBy("sid").agg(F.min("chunk").alias("chunk"))
     sent = sent.join(one, ["sid", "chunk"], "left_semi")
-    held = sent.select("sid", F.explode("tokens").alias("gid"))
-    held = stage(held, "prefixes")
-    # shingles that the same sets hold stand for each other: the least of them goes on
-    groups = held.groupBy("gid").agg(
-        F.count("*").alias("m"),
-        F.sum(F.xxhash64("sid").cast("decimal(38,0)")).alias("s"),
-        F.bit_xor(F.xxhash64(F.lit(1), "sid")).alias("x"),
-    )
-    groups = groups.where("m > 1").groupBy("m", "s", "x").agg(F.min("gid").alias("gid"))
-    slices = F.ceil(F.col("m") / block).cast("int")
-    members = held.join(groups.select("gid", slices.alias("k")), "gid")
-    members = members.withColumn("mine", F.pmod(F.xxhash64("sid"), F.col("k")).cast("int"))
-    members = stage(members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))), "members")
+    held = stage(sent.select("sid", "ell", F.explode("tokens").alias("token")), "prefixes")
+    # a group meets in the block of its least member, where a set comes once for all its groups
+    mark = F.xxhash64("sid")
+    groups = held.groupBy("token").agg(F.count("*").alias("m"), F.min("ell").alias("asked"), F.min(mark).alias("hub"))
+    shared = held.select("sid", "token").join(groups.where("m > 1"), "token")
+    # every pair of a group shares at least ``asked`` shingles, so its sets have as many with company
+    company = shared.groupBy("sid").agg(F.count("*").alias("company"))
+    members = shared.join(company, "sid").where("company >= asked").select("hub", "sid").distinct()
+    members = stage(members, "members")
+    sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / block).cast("int").alias("k"), F.count("*").alias("m"))
+    members = members.join(sizes.where("m > 1"), "hub")
+    members = members.withColumn("mine", F.pmod(mark, F.col("k")).cast("int"))
+    members = stage(members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))), "blocks")
     bins = max(1, members.count() // 2000)
     placed = members.select(
         "sid",
-        "gid",
+        F.col("hub").alias("gid"),
         F.least("mine", "other").alias("i"),
         F.greatest("mine", "other").alias("j"),
         (F.col("mine") > F.col("other")).cast("int").alias("side"),
