@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.llm import rounds
@@ -42,9 +42,9 @@ from pricetide.llm.shared import stage, table
 SHINGLE, PERCENT = 5, 80
 BLOCK = 1024  # sets in a slice
 MOST_MATCHES = 8  # the largest l tried
-SETS = "chunk int, doc_id bigint, sid binary, n bigint, ell int, tokens array<bigint>, rest binary"
+SETS = "chunk int, doc_id bigint, row bigint, row2 int, sid binary, n bigint, ell int, tokens array<bigint>, rest binary"
 SETS_TYPE = pa.schema(
-    [("chunk", pa.int32()), ("doc_id", pa.int64()), ("sid", pa.binary()), ("n", pa.int64()), ("ell", pa.int32()), ("tokens", pa.list_(pa.int64())), ("rest", pa.binary())]
+    [("chunk", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int64()), ("row2", pa.int32()), ("sid", pa.binary()), ("n", pa.int64()), ("ell", pa.int32()), ("tokens", pa.list_(pa.int64())), ("rest", pa.binary())]
 )
 
 
@@ -116,7 +116,8 @@ def _describe(size, drop, percent):
         df, hashes = df[order], sets.hash[order]
         out = {name: [] for name in SETS_TYPE.names}
         number = chunk["chunk"][0].as_py()
-        for i, doc in enumerate(chunk["doc_id"].to_pylist()):
+        names = zip(*(chunk[c].to_pylist() for c in ("doc_id", "row", "row2")))
+        for i, name in enumerate(names):
             ell = tokens = rest = None
             if sets.lead[i]:
                 lo, hi = sets.first[i], sets.first[i + 1]
@@ -127,8 +128,8 @@ def _describe(size, drop, percent):
                     tokens = tokens.view(np.int64)
                 else:
                     ell = tokens = None
-            for name, value in zip(out, (number, doc, sets.sid[i], int(sets.n[i]), ell, tokens, rest)):
-                out[name].append(value)
+            for column, value in zip(out, (number, *name, sets.sid[i], int(sets.n[i]), ell, tokens, rest)):
+                out[column].append(value)
         return pa.table(out, schema=SETS_TYPE)
 
     return describe
@@ -243,24 +244,50 @@ def set_links(sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> Da
     return shipped.groupBy("bin").applyInArrow(_verify(percent), "a binary, b binary")
 
 
-def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of docs."""
+def _row_names() -> tuple[Column, Column]:
+    """Two hashes (96 bits) that name a row by id and text; repeated rows have one name."""
+    return F.xxhash64("doc_id", "text").alias("row"), F.hash("text", "doc_id").alias("row2")
+
+
+def classified(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """(doc_id, row, row2, n, root) for each row of docs; rows of one root are connected, and
+    rows without a root (no words) are linked with nothing."""
     plan = rounds.deal(docs)
     drop = max(0, 64 - 8 - plan.size.bit_length())
-    texts = rounds.dealt(docs, plan)
+    texts = rounds.dealt(docs, plan, *_row_names())
     counts = texts.groupBy("chunk").applyInArrow(_send_counts(size, drop, plan.buckets), rounds.SENT)
     answers = rounds.answer(counts, _sum_counts)
     sets = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_describe(size, drop, percent), SETS)
     sets = stage(sets, "sets")
     roots = components(set_links(sets, percent, block)).withColumnRenamed("node", "sid")
-    rows = sets.select("doc_id", "sid", "n").join(roots, "sid", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "sid"))
+    rows = sets.select("doc_id", "row", "row2", "sid", "n").join(roots, "sid", "left")
+    return rows.withColumn("root", F.coalesce("root", "sid")).drop("sid")
+
+
+def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of docs."""
+    rows = classified(docs, size, percent, block)
     names = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return rows.join(names, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
 
 
+def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """One row of each component, with its columns: the one with the smallest id (nulls last).
+
+    Rows without words stay; rows that repeat id and text become one row.
+    """
+    rows = stage(classified(docs, size, percent, block), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "row2")).alias("f")
+    kept = rows.where("root is not null").groupBy("root").agg(first).select("f.row", "f.row2")
+    kept = kept.unionByName(rows.where("root is null").select("row", "row2"))
+    keys = ["row", "row2"]
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
+    named = docs.select(whole, *_row_names())
+    return named.join(kept, keys, "left_semi").dropDuplicates(keys).select("whole.*")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return join(table(spark, folder, "documents"))
 

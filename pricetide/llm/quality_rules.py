@@ -206,7 +206,10 @@ def judge_documents(docs: DataFrame) -> DataFrame:
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with their columns."""
     cells = sketch(measured(docs.select("lang", "source", "text"), keep_text=False))
-    return judged(measured(docs, keep_text=True), limits(cells)).where("_kept").select(*docs.columns)
+    own = {c: c if c in ("lang", "source", "text") else f"_own_{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select(*(F.col(f"`{c}`").alias(name) for c, name in own.items()))
+    kept = judged(measured(rows, keep_text=True), limits(cells)).where("_kept")
+    return kept.select(*(F.col(name).alias(c) for c, name in own.items()))
 
 
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricetide.llm.hashing import U, pack, squeeze, text_buffer, unpack, unsqueeze  # noqa: F401
@@ -44,15 +44,12 @@ def deal(docs: DataFrame, text: str = "text", least: int = 1 << 20, most: int =
     return Deal(-(-size // chunk), -(-size // (chunk * 4)), size)
 
 
-def dealt(docs: DataFrame, plan: Deal, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(chunk, doc_id, text); null texts stay null. Every round must use this same frame:
+def dealt(docs: DataFrame, plan: Deal, *others: Column) -> DataFrame:
+    """(chunk, doc_id, text, others); null texts stay null. Every round must use this same frame:
     equal plans let Spark shuffle the texts once and use the same files in each round."""
     ship(docs.sparkSession)
-    return docs.select(
-        F.pmod(F.xxhash64(F.col(doc_id)), F.lit(plan.chunks)).cast("int").alias("chunk"),
-        F.col(doc_id).alias("doc_id"),
-        F.col(text).alias("text"),
-    )
+    chunk = F.pmod(F.xxhash64("doc_id"), F.lit(plan.chunks)).cast("int").alias("chunk")
+    return docs.select(chunk, "doc_id", "text", *others)
 
 
 def texts_of(chunk: pa.Table) -> list[bytes]:

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from pricetide.llm import rounds
 from pricetide.llm.hashing import _BASE, _BYTE, U, byte_range_hash, byte_sums, mix, unsqueeze, squeeze
@@ -205,10 +206,12 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[opens], reach[np.append(opens[1:], len(start)) - 1]
 
 
-def _cutter(depth, seed, with_bytes):
+def _cutter(depth, seed, content, others):
+    schema = pa.schema([*OUT_TYPE, *others])
+
     def cut(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         if not chunk.num_rows:
-            return OUT_TYPE.empty_table()
+            return schema.empty_table()
         texts = rounds.texts_of(chunk)
         suffixes = Suffixes(texts, depth, seed)
         which = np.array(answers["round"].to_pylist(), np.int64)
@@ -231,32 +234,51 @@ def _cutter(depth, seed, with_bytes):
             for s in spans:
                 kept.append(texts[i][at : start[s] - base])
                 at = int(end[s]) - base
-            kept = b"".join([*kept, texts[i][at:]])
-            row = (doc, len(texts[i]), len(texts[i]) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept if with_bytes else None)
+            kept.append(texts[i][at:])
+            whole = "".join(k.decode("utf-8", "ignore") for k in kept).encode() if content == "text" else None
+            kept = b"".join(kept)
+            row = (doc, len(texts[i]), len(texts[i]) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept if content == "bytes" else whole)
             for name, value in zip(out, row):
                 out[name].append(value)
-        return pa.table(out, schema=OUT_TYPE)
+        return pa.table(out | {f.name: chunk[f.name] for f in others}, schema=schema)
 
     return cut
 
 
-def remove_repeated_strings(docs: DataFrame, depth: int = DEPTH, seed: int = SEED, with_bytes: bool = True) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each row of docs.
+def remove_repeated_strings(
+    docs: DataFrame, depth: int = DEPTH, seed: int = SEED, content: str | None = "bytes", others: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, others) for each row of docs.
 
     ``seed`` is a power of two of at most ``depth`` bytes; it affects cost, not results.
+    ``kept`` holds the remaining bytes, or for content="text" those of whole characters between
+    the cuts, or nothing for None. ``others`` are columns of docs to hand through.
     """
     plan = rounds.deal(docs)
-    texts = rounds.dealt(docs, plan)
+    texts = rounds.dealt(docs, plan, *(F.col(c) for c in others))
+    carried = [docs.schema[c] for c in others]
+    out = f"{OUT}{''.join(f', {f.name} {f.dataType.simpleString()}' for f in carried)}"
+    fields = [pa.field(f.name, to_arrow_type(f.dataType)) for f in carried]
     seeds = texts.groupBy("chunk").applyInArrow(_send_seeds(depth, seed, plan.buckets), rounds.SENT)
     first = rounds.answer(seeds, _judge_seeds)
     windows = texts.groupBy("chunk").cogroup(first.groupBy("chunk"))
     second = rounds.answer(windows.applyInArrow(_send_windows(depth, seed, plan.buckets), rounds.SENT), _judge_windows)
     both = first.withColumn("round", F.lit(1)).unionByName(second.withColumn("round", F.lit(2)))
-    return texts.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(_cutter(depth, seed, with_bytes), OUT)
+    return texts.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(_cutter(depth, seed, content, fields), out)
+
+
+def clean_documents(docs: DataFrame) -> DataFrame:
+    """Rows of documents (doc_id, text, lang, source, n_chars) without their repeated strings.
+
+    What is left of a character that was cut in two goes too; rows left without text are dropped.
+    """
+    rows = remove_repeated_strings(docs, content="text", others=("lang", "source"))
+    rows = rows.withColumn("text", F.col("kept").cast("string")).where("length(text) > 0")
+    return rows.select("doc_id", "text", "lang", "source", F.length("text").cast("bigint").alias("n_chars"))
 
 
 def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return remove_repeated_strings(table(spark, folder, "documents"), with_bytes=False).drop("kept")
+    return remove_repeated_strings(table(spark, folder, "documents"), content=None).drop("kept")
 
 
 SQL = r"""
