@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from pricetide.plans import catalog, reference_sql
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["lineitem", "part", "supplier", "events"]
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = catalog.registered()
+SQL = reference_sql.statements()
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +28,7 @@ def plain(value):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert QUERIES.keys() <= entry_points.queries().keys() and SQL.keys() <= entry_points.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
