@@ -7,3 +7,7 @@ class FeedRejected(ValueError):
 
 class LoadRejected(ValueError):
     """Prepared facts broke a requirement of the warehouse."""
+
+
+class SharedFolderMissing(RuntimeError):
+    """Intermediate tables have no shared folder to go to."""

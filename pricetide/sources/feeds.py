@@ -16,19 +16,9 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _spread(rows: DataFrame, key: str) -> DataFrame:
-    """Use every core on a table that comes as fewer pieces than there are cores.
-
-    A small file of one row group is one task however it is read. Larger tables have
-    pieces enough and are left as they are.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def order_feed(spark: SparkSession, folder: str, batch: bool = False) -> DataFrame:
     """Raw feed rows from order lines; ``batch`` adds the ship day as ``_batch_id``."""
-    lines = _spread(_table(spark, folder, "lineitem"), "l_orderkey")
+    lines = _table(spark, folder, "lineitem")
     parts = _table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     sellers = _table(spark, folder, "supplier").select("s_suppkey", "s_name")
     rows = lines.join(parts, F.expr("l_partkey = p_partkey")).join(
@@ -74,7 +64,7 @@ def event_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Raw feed rows from the event stream: long series per product and merchant."""
     price = """cast(cast(cast(floor(value / 10) as bigint) * 10 + 1 as decimal(12,2))
                as string)"""
-    return _spread(_table(spark, folder, "events"), "event_id").selectExpr(
+    return _table(spark, folder, "events").selectExpr(
         "concat('U', cast(user_id as string)) AS id",
         "concat('user ', cast(user_id as string)) AS name",
         "cast(null as string) AS brand",

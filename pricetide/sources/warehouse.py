@@ -26,6 +26,7 @@ from ..operators.dimensions import dim_merchants, dim_products, new_merchants, u
 from ..operators.facts import distinct_facts, loadable, new_facts, prepare_facts, star
 from ..operators.quality import require_loadable
 from ..schema import MERCHANTS, PRICE_HISTORY, PRODUCTS
+from ..session import missing_path
 
 COMMITS = T.StructType(
     [
@@ -36,6 +37,7 @@ COMMITS = T.StructType(
         T.StructField("inserted", T.LongType()),
         T.StructField("rejected", T.LongType()),
         T.StructField("committed_at", T.TimestampType()),
+        T.StructField("batch", T.StringType()),
     ]
 )
 
@@ -71,7 +73,9 @@ class Warehouse:
     def commits(self) -> DataFrame:
         try:
             return self.spark.read.schema(COMMITS).json(self._path("commits"))
-        except AnalysisException:
+        except AnalysisException as error:
+            if not missing_path(error):
+                raise
             return self.spark.createDataFrame([], COMMITS)
 
     def _committed(self) -> list:
@@ -110,15 +114,24 @@ class Warehouse:
     # --- loading ---
 
     def load(
-        self, clean_rows: DataFrame, load: int | None = None, policy: str = "quarantine"
+        self,
+        clean_rows: DataFrame,
+        load: int | None = None,
+        policy: str = "quarantine",
+        batch: str | None = None,
     ) -> LoadResult:
         """Load clean observations; rows already stored are skipped.
 
         ``clean_rows`` is read several times and should be a stored table. Rows that
         cannot become facts are kept as rejects; under the ``strict`` policy a row
-        without a product id fails the load.
+        without a product id fails the load. A ``batch`` that was committed before is not
+        loaded again; its first result is returned.
         """
         done = self._committed()
+        for known in done if batch is not None else []:
+            if known.batch == batch:
+                skipped = known.received - known.rejected - known.inserted
+                return LoadResult(known.load, known.received, known.inserted, skipped, known.rejected)
         load = load if load is not None else (done[-1].load + 1 if done else 1)
         if any(c.load == load for c in done):
             raise LoadRejected(f"Load {load} is already committed")
@@ -134,15 +147,18 @@ class Warehouse:
         added = self._read("merchants", MERCHANTS, [self._path("merchants", f"load={load}")])
         next_id += added.count()
 
+        # Typed, mapped and judged once; rejects and facts are both read from it.
         prepared = prepare_facts(clean_rows, known.unionByName(added))
-        rejects = prepared.where(F.col("reject_reason").isNotNull())
-        self._write(rejects, "rejects", f"load={load}")
+        self._write(prepared, "staged", "prepared")
+        prepared = self.spark.read.schema(prepared.schema).parquet(self._path("staged", "prepared"))
+        self._write(prepared.where(F.col("reject_reason").isNotNull()), "rejects", f"load={load}")
         rejected = self.rejects(load)
         missing = rejected.where("reject_reason = 'product_missing'").count()
         if policy == "strict" and missing:
             raise LoadRejected(f"{missing} rows have no product id")
 
-        facts = distinct_facts(loadable(prepared))
+        self._write(distinct_facts(loadable(prepared)), "staged", "facts")
+        facts = self.spark.read.parquet(self._path("staged", "facts"))
         fresh = new_facts(facts, self._same_months(clean_rows, done))
         first_price = done[-1].next_price_id if done else 1
         inserted, next_price = self._append_facts(fresh, load, first_price)
@@ -150,7 +166,7 @@ class Warehouse:
         received = clean_rows.count()
         refused = rejected.count()
         record = (load, next_id, next_price, received, inserted, refused)
-        commit = self.spark.createDataFrame([(*record, None)], COMMITS)
+        commit = self.spark.createDataFrame([(*record, None, batch)], COMMITS)
         commit = commit.withColumn("committed_at", now)
         commit.coalesce(1).write.mode("append").json(self._path("commits"))
         return LoadResult(load, received, inserted, received - refused - inserted, refused)

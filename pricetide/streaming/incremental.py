@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.cleaning import accepted, observe
+from ..operators.cleaning import accepted, observe, rejected
 from ..plans.pipeline import read_processed, write_processed
 from ..schema import RAW_SCHEMA
 from ..session import prepare
@@ -43,7 +43,11 @@ def load_arrivals(
         staged = f"{warehouse.root}/staged/arrivals"
         write_processed(observed, staged)
         processed = read_processed(batch.sparkSession, staged, observed)
-        Warehouse(batch.sparkSession, root).load(accepted(processed.where("outcome = 'clean'")))
+        # Rejects of a micro-batch have a folder of its own, which a repeat writes again.
+        refused = rejected(processed.where("outcome = 'rejected'")).drop("outcome")
+        refused.write.mode("overwrite").parquet(f"{warehouse.root}/failed/batch=stream-{batch_id}")
+        clean_rows = accepted(processed.where("outcome = 'clean'"))
+        Warehouse(batch.sparkSession, root).load(clean_rows, batch=f"stream-{batch_id}")
 
     writer = arrivals.writeStream.foreachBatch(load).option(
         "checkpointLocation", f"{warehouse.root}/stream_checkpoint"

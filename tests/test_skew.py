@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from pricetide.operators import history, market, skew
 
-# Examine every input and treat any group of more than a few rows as heavy.
-CUT = {"small_bytes": -1, "light_rows": 4}
+# Treat any group of more than a few rows as heavy.
+CUT = {"rows_per_task": 4}
 
 SCHEMA = """product_id string, merchant string, currency string, condition string,
     observed_at timestamp, price decimal(12,2), price_min decimal(12,2), price_max decimal(12,2)"""
@@ -43,7 +43,7 @@ def same(left, right):
 
 
 def test_heavy_groups_are_found(facts):
-    found = skew.heavy_groups(facts, ["product_id"], **CUT)
+    found = {r["_hash"]: r["_rows"] for r in skew.heavy_groups(facts, ["product_id"], **CUT).collect()}
     expected = {
         r.h: r.n
         for r in facts.groupBy(skew.group_hash(["product_id"]).alias("h")).agg(F.count("*").alias("n")).collect()
@@ -52,16 +52,15 @@ def test_heavy_groups_are_found(facts):
     assert found == expected
 
 
-def test_small_inputs_are_not_examined(spark):
+def test_ordinary_groups_are_not_heavy(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    assert skew.input_bytes(rows) < skew.SMALL_INPUT_BYTES
-    assert skew.heavy_groups(rows, ["l_partkey"]) == {}
+    assert skew.heavy_groups(rows, ["l_partkey"]) is None
 
 
 def test_slices_are_small_and_ordered(facts):
     keys = history.offer("merchant")
     heavy = skew.heavy_groups(facts, keys, **CUT)
-    cuts = skew.choose_cuts(facts, keys, history.ORDER, heavy, light_rows=4)
+    cuts = skew.choose_cuts(facts, keys, history.ORDER, heavy, rows_per_task=4)
     sliced = skew.assign_slices(facts, keys, history.ORDER, cuts)
     biggest = sliced.groupBy(*keys, "_slice").count().agg(F.max("count")).first()[0]
     assert biggest <= 5
