@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..errors import FeedRejected
 from ..operators import cleaning, dimensions, facts, history, market, quality
 from ..schema import RAW_COLUMNS, RAW_TO_CLEAN
 from ..session import prepare, shared_folder, staged
@@ -99,6 +100,22 @@ def scan_raw_prices(spark: SparkSession, folder: str) -> DataFrame:
     return renamed(raw_source.scan_raw_prices(spark, path).select([f"`{c}`" for c in RAW_COLUMNS]))
 
 
+def scan_mixed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that order their columns differently, and rows broken by line breaks in cells."""
+    path = shared_folder(spark, "mixed")
+    rows = as_file_feed(order_feed(spark, folder))
+    turned, broken = F.col("id").like("%3"), F.col("id").like("%7")
+    backwards = [F.col(f"`{c}`") for c in reversed(RAW_COLUMNS)]
+    raw_source.write_raw_files(rows.where(~turned & ~broken), f"{path}/a")
+    raw_source.write_raw_files(rows.where(turned).select(*backwards), f"{path}/b")
+    two_lines = rows.where(broken).withColumn("name", F.concat("name", F.lit("\nmore")))
+    raw_source.write_raw_files(two_lines, f"{path}/c")
+    scanned = raw_source.scan_raw_prices(spark, [f"{path}/{name}" for name in "abc"])
+    is_broken = F.col(raw_source.MALFORMED).isNotNull()
+    cells = [F.when(~is_broken, F.col(f"`{c}`")).alias(c) for c in RAW_COLUMNS]
+    return renamed(scanned.select(*cells, is_broken.alias("malformed")))
+
+
 def land_raw(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "land")
     raw_source.write_raw_files(order_feed(spark, folder), f"{path}/feed")
@@ -134,9 +151,14 @@ def pipeline_load(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pipeline_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """Two runs of the same feed: the second has nothing to add."""
+    """A strict run, which the feed's bad prices fail, and two that set bad rows aside: the
+    second of those has nothing to add."""
     path = shared_folder(spark, "runs")
     raw_source.write_raw_files(order_feed(spark, folder), f"{path}/feed")
+    try:
+        run_pipeline(spark, f"{path}/feed", f"{path}/store", policy="strict")
+    except FeedRejected:
+        pass  # the ledger has it
     for _ in range(2):
         run_pipeline(spark, f"{path}/feed", f"{path}/store", policy="quarantine")
     runs = ledger.RunLedger(spark, f"{path}/store").runs()
@@ -489,6 +511,7 @@ def incremental_replay(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_raw_prices": scan_raw_prices,
+    "scan_mixed_files": scan_mixed_files,
     "land_raw": land_raw,
     "select_business_columns": select_business_columns,
     "dedup_exact": dedup_exact,

@@ -21,9 +21,10 @@ from ..operators.quality import (
     tally,
     validation_report,
 )
+from ..errors import FeedRejected
 from ..schema import RAW_COLUMNS
 from ..session import prepare
-from ..sources.raw import land_raw
+from ..sources.raw import MALFORMED, land_raw
 from ..sources.warehouse import LoadResult, Warehouse
 from .ledger import RunLedger
 
@@ -46,6 +47,15 @@ def read_processed(spark: SparkSession, path: str, schema: DataFrame) -> DataFra
     return spark.read.schema(fields).parquet(path)
 
 
+def malformed(landed: DataFrame) -> DataFrame:
+    """Rows that do not fit their header, as rejects that keep the text."""
+    return landed.where(F.col(MALFORMED).isNotNull()).select(
+        F.lit("scan").alias("reject_stage"),
+        F.lit("row_malformed").alias("reject_reason"),
+        F.col(MALFORMED).alias("row_text"),
+    )
+
+
 def usable_rows(rows: DataFrame) -> int:
     """Received rows, copies included, whose prices pass validation."""
     priced = parse_prices(select_business_columns(rows, ["_copies"]))
@@ -77,8 +87,13 @@ def run_pipeline(
     counts: dict[str, int] = {}
     try:
         batch = str(run_id)
-        raw = land_raw(spark, source, f"{root}/raw", batch, multiline)
-        counts["records_received"] = raw.count()
+        landed = land_raw(spark, source, f"{root}/raw", batch, multiline)
+        counts["records_received"], broken = landed.agg(
+            F.count(F.lit(1)), F.count(MALFORMED)
+        ).first()
+        if broken and policy == "strict":
+            raise FeedRejected(f"row_malformed: {broken} rows do not fit their header")
+        raw = landed.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
 
         # Written once: the report and the cleaning both start from distinct rows, and
         # whole rows are shuffled a single time per run.
@@ -97,6 +112,8 @@ def run_pipeline(
         write_processed(observed, f"{root}/processed")
         processed = read_processed(spark, f"{root}/processed", observed)
         refused = rejected(processed.where("outcome = 'rejected'")).drop("outcome")
+        if broken:
+            refused = refused.unionByName(malformed(landed), allowMissingColumns=True)
         refused.write.mode("overwrite").parquet(f"{root}/failed/batch={batch}")
         clean_rows = accepted(processed.where("outcome = 'clean'"))
         counts["records_transformed"] = clean_rows.count()

@@ -423,6 +423,13 @@ def statements() -> dict[str, str]:
       {_double('price', 'price_min', 'price_max', 'previous_price')}, previous_at"""
     found = {
         "scan_raw_prices": f"WITH {RAW} SELECT {RAW_AS_CLEAN} FROM raw",
+        # A broken row is two rows, neither of which fits the header.
+        "scan_mixed_files": f"""WITH {RAW},
+            whole AS (SELECT {RAW_AS_CLEAN} FROM raw)
+            SELECT *, false AS malformed FROM whole WHERE product_id NOT LIKE '%7'
+            UNION ALL
+            SELECT {', '.join(['NULL'] * 10)}, true FROM whole, (VALUES (1), (2)) AS half(n)
+            WHERE product_id LIKE '%7'""",
         "land_raw": f"""WITH {RAW}
             SELECT 'day1' AS _batch_id, count(*) AS row_count, count(*) AS stamped_rows,
                    count(*) AS traced_rows, count(id) AS id_rows,
@@ -675,11 +682,16 @@ def statements() -> dict[str, str]:
                          FROM raw),
             cleaned AS (SELECT count(*) AS n FROM clean),
             stored AS (SELECT count(*) AS n FROM facts)
+            SELECT 1::BIGINT AS run_id, 'FAILED' AS status, n AS records_received,
+                   0::BIGINT AS records_validated, 0::BIGINT AS records_transformed,
+                   0::BIGINT AS records_loaded
+            FROM received
+            UNION ALL
             SELECT CAST(run AS BIGINT) AS run_id, 'SUCCESS' AS status,
                    received.n AS records_received, received.valid AS records_validated,
                    cleaned.n AS records_transformed,
-                   CASE WHEN run = 1 THEN stored.n ELSE 0 END AS records_loaded
-            FROM received, cleaned, stored, (VALUES (1), (2)) AS r(run)""",
+                   CASE WHEN run = 2 THEN stored.n ELSE 0 END AS records_loaded
+            FROM received, cleaned, stored, (VALUES (2), (3)) AS r(run)""",
         "incremental_load": _EVENT_ROWS,
         "incremental_replay": _EVENT_ROWS,
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +23,16 @@ CSV_OPTIONS = {
 }
 
 
+# Text of a row whose cells do not fit its header, NULL for other rows.
+MALFORMED = "_malformed"
+
+
 def missing_cells(rows: DataFrame) -> DataFrame:
     """Turn missing-value tokens into NULL in every text column."""
     return rows.select(
         *[
             missing_as_null(f.name).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
+            if isinstance(f.dataType, T.StringType) and f.name != MALFORMED
             else F.col(f"`{f.name}`")
             for f in rows.schema.fields
         ]
@@ -36,9 +42,10 @@ def missing_cells(rows: DataFrame) -> DataFrame:
 def scan_raw_prices(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
     """CSV feed as text columns, extra columns included, missing-value tokens as NULL.
 
-    Nothing is inferred, so ids keep their zeros and no extra pass is made. Set
-    ``multiline`` only for feeds with line breaks inside cells: such files cannot be
-    split between tasks.
+    Nothing is inferred, so ids keep their zeros. Columns are taken by the header of each
+    file. A row that does not have as many cells as its header keeps its text in
+    ``MALFORMED``; that includes both halves of a row with a line break inside a cell. Set
+    ``multiline`` for feeds with such cells: their files cannot be split between tasks.
     """
     return missing_cells(_scan_text(spark, path, multiline))
 
@@ -82,9 +89,44 @@ def landed(spark: SparkSession, table: str, batch_id: str) -> DataFrame:
 
 def _scan_text(spark: SparkSession, source: str | list[str], multiline: bool) -> DataFrame:
     try:
-        return spark.read.options(**CSV_OPTIONS, multiLine=multiline).csv(source)
+        parts = [
+            _scan_alike(spark, names, files, multiline)
+            for names, files in _by_header(spark, source).items()
+        ]
     except AnalysisException as error:
         raise LoadRejected(f"Feed cannot be read: {source}") from error
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _by_header(spark: SparkSession, source: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of a feed by their column names, one line read from each by a task."""
+    reader = spark.read.options(**CSV_OPTIONS)
+    files = spark.read.text(source).inputFiles()
+    if len(files) < 2:
+        return {tuple(reader.csv(source).columns): [source] if isinstance(source, str) else source}
+    lines = spark.read.text(source).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("at"),
+            F.monotonically_increasing_id().alias("n"),
+            "value",
+        ).alias("line"),
+    )
+    first = lines.groupBy("file").agg(F.min("line").alias("line"))
+    alike = first.groupBy("line.value").agg(F.collect_list("file").alias("files"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in alike.collect():  # one row per kind of header
+        names = tuple(reader.csv(row.files[0]).columns)
+        found.setdefault(names, []).extend(row.files)
+    return found
+
+
+def _scan_alike(
+    spark: SparkSession, names: tuple[str, ...], files: list[str], multiline: bool
+) -> DataFrame:
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*names, MALFORMED)])
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multiline)
+    return reader.option("columnNameOfCorruptRecord", MALFORMED).csv(files)
 
 
 def write_raw_files(rows: DataFrame, path: str) -> None:
