@@ -37,7 +37,8 @@ from pricetide.llm.shared import shared_path, ship, stage, table
 
 ARC_FILE, ARC_DATE, ARC_IP = "pages.arc", "20000101000000", "0.0.0.0"
 LEAST_BYTES = 1000  # shorter payloads are never revisits
-FILE_BYTES = 1 << 24
+FILE_BYTES = 1 << 23
+_ROWS = 256  # pages worked on at a time
 CRLF = b"\r\n"
 # The field names of ARC header lines, by version of the format.
 FIELDS = {
@@ -70,7 +71,9 @@ def parse_arc(data: bytes) -> Iterator[Archived]:
             raise ValueError(f"ARC header line at byte {at} does not end")
         line = data[at:end].rstrip(b"\r").decode("utf-8", "replace")
         described = line.startswith("filedesc:")
-        names = FIELDS[1] if described and len(line.split(" ")) == 5 else FIELDS[version]
+        if described:  # the first line comes before its block names the version
+            version = 2 if line.count(" ") >= len(FIELDS[2]) - 1 else 1
+        names = FIELDS[version]
         parts = line.rsplit(" ", len(names) - 1)
         if len(parts) != len(names) or not parts[-1].isdigit():
             raise ValueError(f"not an ARC version {version} header line at byte {at}: {line[:80]!r}")
@@ -173,15 +176,17 @@ def _archive(batches):
     """Every page becomes an ARC record, and that a WARC record; one warcinfo record per task."""
     described = False
     for batch in batches:
-        pages = zip(*(batch[c].to_pylist() for c in ("page_id", "url", "payload", "keeper")))
-        out = []
-        for page_id, url, payload, keeper in pages:
-            info, record = parse_arc(arc_description(ARC_FILE) + arc_record(page_id, url, payload))
-            if not described:
-                out.append(convert(info))
-                described = True
-            out.append(convert(record, None if keeper is None else record_id(ARC_FILE, str(keeper))))
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).view(pa.string())], names=["value"])
+        for lo in range(0, batch.num_rows, _ROWS):
+            part = batch.slice(lo, _ROWS)
+            pages = zip(*(part[c].to_pylist() for c in ("page_id", "url", "payload", "keeper")))
+            out = []
+            for page_id, url, payload, keeper in pages:
+                info, record = parse_arc(arc_description(ARC_FILE) + arc_record(page_id, url, payload))
+                if not described:
+                    out.append(convert(info))
+                    described = True
+                out.append(convert(record, None if keeper is None else record_id(ARC_FILE, str(keeper))))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).view(pa.string())], names=["value"])
 
 
 def write_archives(pages: DataFrame, path: str) -> None:

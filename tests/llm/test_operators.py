@@ -369,7 +369,8 @@ def test_warc(spark, tmp_path):
 
 def test_arc_versions():
     http = b"HTTP/1.0 200 OK\r\nA: b\r\n\r\nbody\n\nmore"
-    one = b"filedesc://old.arc 0.0.0.0 19970102030405 text/plain 77\n" + (b"1 0 Archive\nURL IP-address Archive-date Content-type Archive-length\n".ljust(77, b"\n")) + b"\n"
+    version = b"1 0 Archive\nURL IP-address Archive-date Content-type Archive-length\n"
+    one = b"filedesc://old.arc 0.0.0.0 19970102030405 text/plain %d\n" % len(version) + version + b"\n"
     one += b"http://x/a b 1.2.3.4 1997 text/html %d\n" % len(http) + http + b"\n" + b"dns:x 1.2.3.4 19970102030405 text/dns 5\nhello\n"
     info, page, name = warc.parse_arc(one)
     assert page.fields["url"] == "http://x/a b" and page.block == http and name.block == b"hello"
