@@ -509,6 +509,30 @@ def incremental_replay(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(spark, f"{path}/store")
 
 
+def _order_arrivals(spark: SparkSession, folder: str) -> str:
+    """The store after the order feed arrived in two parts, products apart."""
+    path = shared_folder(spark, "arrivals")
+    rows = order_feed(spark, folder)
+    first = F.col("id").rlike("[0-4]$")
+    for name, part in {"a": rows.where(first), "b": rows.where(~first)}.items():
+        _arrive(part, path, name)
+        load_arrivals(spark, f"{path}/feed", f"{path}/store").awaitTermination()
+    return f"{path}/store"
+
+
+def incremental_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejects of all micro-batches."""
+    rows = spark.read.parquet(f"{_order_arrivals(spark, folder)}/failed")
+    names = ["product_id", "merchant", *cleaning.TEXT_KEPT, "reject_stage", "reject_reason"]
+    return rows.select(*names)
+
+
+def incremental_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Each micro-batch is a run of its own."""
+    runs = ledger.RunLedger(spark, _order_arrivals(spark, folder)).runs()
+    return runs.select("run_id", "status", *ledger.COUNTS)
+
+
 QUERIES: dict[str, Query] = {
     "scan_raw_prices": scan_raw_prices,
     "scan_mixed_files": scan_mixed_files,
@@ -576,6 +600,8 @@ QUERIES: dict[str, Query] = {
     "pipeline_runs": pipeline_runs,
     "incremental_load": incremental_load,
     "incremental_replay": incremental_replay,
+    "incremental_rejects": incremental_rejects,
+    "incremental_runs": incremental_runs,
 }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,16 +79,37 @@ def run_pipeline(
     aside with a reason and loads the rest. ``checks`` are options of the validation
     report. Any error closes the run as FAILED and is raised again.
     """
+    root = root.rstrip("/")
+
+    def land(batch: str) -> DataFrame:
+        return land_raw(spark, source, f"{root}/raw", batch, multiline)
+
+    return run_batch(spark, root, land, policy=policy, **checks)
+
+
+def run_batch(
+    spark: SparkSession,
+    root: str,
+    land: Callable[[str], DataFrame],
+    *,
+    policy: str,
+    batch: str | None = None,
+    **checks: object,
+) -> PipelineRun:
+    """One run: ``land`` writes the batch of the given name and returns its rows.
+
+    Runs without a batch name of their own are named by their number. A named batch that
+    was loaded before adds nothing.
+    """
     if policy not in ("strict", "quarantine"):
         raise ValueError("policy is 'strict' or 'quarantine'")
     prepare(spark)
-    root = root.rstrip("/")
     ledger = RunLedger(spark, root)
     run_id = ledger.open()
     counts: dict[str, int] = {}
     try:
-        batch = str(run_id)
-        landed = land_raw(spark, source, f"{root}/raw", batch, multiline)
+        name = str(run_id) if batch is None else batch
+        landed = land(name)
         counts["records_received"], broken = landed.agg(
             F.count(F.lit(1)), F.count(MALFORMED)
         ).first()
@@ -101,11 +123,10 @@ def run_pipeline(
         counted_path = f"{root}/staged/rows"
         count_copies(raw).write.mode("overwrite").parquet(counted_path)
         rows = spark.read.parquet(counted_path)
-        report_path = f"{root}/reports/batch={batch}"
+        report_path = f"{root}/reports/batch={name}"
         validation_report(rows, **checks).write.mode("overwrite").json(report_path)
         if policy == "strict":
             require_valid(spark.read.json(report_path))
-
         counts["records_validated"] = usable_rows(rows)
 
         observed = observe_distinct(rows)
@@ -114,11 +135,11 @@ def run_pipeline(
         refused = rejected(processed.where("outcome = 'rejected'")).drop("outcome")
         if broken:
             refused = refused.unionByName(malformed(landed), allowMissingColumns=True)
-        refused.write.mode("overwrite").parquet(f"{root}/failed/batch={batch}")
+        refused.write.mode("overwrite").parquet(f"{root}/failed/batch={name}")
         clean_rows = accepted(processed.where("outcome = 'clean'"))
         counts["records_transformed"] = clean_rows.count()
 
-        result = Warehouse(spark, root).load(clean_rows, policy=policy)
+        result = Warehouse(spark, root).load(clean_rows, policy=policy, batch=batch)
         counts["records_loaded"] = result.inserted
     except Exception as error:
         ledger.close(run_id, "FAILED", {"records_received": counts.get("records_received", 0)}, str(error))

@@ -695,5 +695,16 @@ def statements() -> dict[str, str]:
         "incremental_load": _EVENT_ROWS,
         "incremental_replay": _EVENT_ROWS,
     }
+    found["incremental_rejects"] = found["quarantine"]
+    found["incremental_runs"] = f"""WITH {FACTS},
+        part AS (SELECT * FROM (VALUES (1::BIGINT, '[0-4]$'), (2::BIGINT, '[5-9]$')) AS p(run_id, ids))
+        SELECT run_id, 'SUCCESS' AS status,
+               (SELECT count(*) FROM raw WHERE regexp_matches(id, ids)) AS records_received,
+               (SELECT count(*) FROM raw WHERE regexp_matches(id, ids)
+                  AND TRY_CAST(amount_min AS DOUBLE) >= 0
+                  AND TRY_CAST(amount_max AS DOUBLE) >= TRY_CAST(amount_min AS DOUBLE)) AS records_validated,
+               (SELECT count(*) FROM clean WHERE regexp_matches(product_id, ids)) AS records_transformed,
+               (SELECT count(*) FROM facts WHERE regexp_matches(product_id, ids)) AS records_loaded
+        FROM part"""
     sliced = ["cheapest_merchant", "competitor_comparison", "price_change_feed", "previous_price", "price_fluctuation"]
     return found | {f"{name}_sliced": found[name] for name in sliced}

@@ -54,7 +54,9 @@ def stream_raw_prices(
     spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, **options: object
 ) -> DataFrame:
     """The same scan as a file stream; it needs the feed's columns, in order, up front."""
-    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS, enforceSchema=False)
+    cells = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    reader = spark.readStream.schema(cells).options(**CSV_OPTIONS, enforceSchema=False)
+    reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
     return missing_cells(reader.options(**options).csv(path))
 
 

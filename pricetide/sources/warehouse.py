@@ -82,6 +82,10 @@ class Warehouse:
         """Commit records in order: one small row per load ever made."""
         return self.commits().orderBy("load").collect()
 
+    def has(self, batch: str) -> bool:
+        """Whether a load of this batch was committed."""
+        return not self.commits().where(F.col("batch") == batch).isEmpty()
+
     def _read(self, table: str, schema: T.StructType, folders: list[str]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], schema)

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.cleaning import accepted, observe, rejected
-from ..plans.pipeline import read_processed, write_processed
+from ..plans.pipeline import run_batch
 from ..schema import RAW_SCHEMA
 from ..session import prepare
-from ..sources.raw import stream_raw_prices
+from ..sources.raw import landed, stream_raw_prices
 from ..sources.warehouse import Warehouse
 
 
@@ -24,33 +23,34 @@ def load_arrivals(
     once: bool = True,
     interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Start a stream that cleans and loads every file not seen before.
+    """Start a stream that takes every file not seen before through the pipeline.
 
-    With ``once`` it works through what has arrived and ends; otherwise it keeps
+    Each micro-batch is landed, reported on, cleaned and loaded as a run of its own in the
+    ledger, with its rejects kept. With ``once`` it works through what has arrived and ends; otherwise it keeps
     looking. The load key makes it safe to repeat a micro-batch and to receive an
     observation late or twice: what is stored is skipped, so no watermark or state is
     needed and lateness is unlimited.
     """
     prepare(spark)
-    warehouse = Warehouse(spark, root)
+    store = root.rstrip("/")
     options = {"recursiveFileLookup": True}
     if max_files:
         options["maxFilesPerTrigger"] = max_files
     arrivals = stream_raw_prices(spark, source, schema, **options)
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        observed = observe(batch)
-        staged = f"{warehouse.root}/staged/arrivals"
-        write_processed(observed, staged)
-        processed = read_processed(batch.sparkSession, staged, observed)
-        # Rejects of a micro-batch have a folder of its own, which a repeat writes again.
-        refused = rejected(processed.where("outcome = 'rejected'")).drop("outcome")
-        refused.write.mode("overwrite").parquet(f"{warehouse.root}/failed/batch=stream-{batch_id}")
-        clean_rows = accepted(processed.where("outcome = 'clean'"))
-        Warehouse(batch.sparkSession, root).load(clean_rows, batch=f"stream-{batch_id}")
+    def load(rows: DataFrame, batch_id: int) -> None:
+        session, batch = rows.sparkSession, f"stream-{batch_id}"
+        if Warehouse(session, root).has(batch):
+            return  # a repeat of a micro-batch that was committed
+
+        def land(name: str) -> DataFrame:
+            rows.write.mode("overwrite").parquet(f"{store}/raw/_batch_id={name}")
+            return landed(session, f"{store}/raw", name)
+
+        run_batch(session, store, land, policy="quarantine", batch=batch)
 
     writer = arrivals.writeStream.foreachBatch(load).option(
-        "checkpointLocation", f"{warehouse.root}/stream_checkpoint"
+        "checkpointLocation", f"{store}/stream_checkpoint"
     )
     trigger = {"availableNow": True} if once else {"processingTime": interval}
     return writer.trigger(**trigger).start()
