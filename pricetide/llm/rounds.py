@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.hashing import U, pack, squeeze, text_buffer, unpack, unsqueeze  # noqa: F401
+from pricetide.llm.hashing import U, pack, squeeze, unpack, unsqueeze
 from pricetide.llm.shared import ship, text_bytes
 
 SENT = "bucket int, chunk int, hashes binary, extra binary"
@@ -119,10 +119,6 @@ def answered(rows: pa.Table) -> np.ndarray:
     return np.frombuffer(b"".join(unsqueeze(values[i]) for i in at), np.uint8)
 
 
-def empty(schema: pa.Schema) -> pa.Table:
-    return schema.empty_table()
-
-
 def blocks(items: list, sizes: list[int], most: int) -> Iterator[list]:
     """Consecutive items whose sizes add up to ``most``; a larger item comes alone."""
     block, held = [], 0

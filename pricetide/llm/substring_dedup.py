@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from pricetide.llm import rounds
-from pricetide.llm.hashing import Words, covered, pack, squeeze, unpack, unsqueeze
+from pricetide.llm.hashing import Words, covered, squeeze, unsqueeze
 from pricetide.llm.shared import table
 
 WINDOW = 13

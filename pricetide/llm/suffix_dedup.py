@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from pricetide.llm import rounds
-from pricetide.llm.hashing import _BASE, _BYTE, U, byte_range_hash, byte_sums, mix, unsqueeze, squeeze
+from pricetide.llm.hashing import _BASE, _BYTE, U, byte_range_hash, byte_sums, mix, squeeze, unsqueeze
 from pricetide.llm.shared import table
 
 DEPTH = 200

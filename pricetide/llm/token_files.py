@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -40,7 +41,8 @@ from pricetide.llm.shared import shared_path, ship, table, text_bytes
 
 TOKENIZER, END = "byte_bpe_50k.json", 2
 ROW_GROUP, PAGE = 8 << 20, 64 << 10
-KEPT_CHARS = 12_000_000  # of encoded pieces in a worker's memory
+KEPT_CHARS = 5_000_000  # of encoded pieces in a worker's memory, some 150 MB with their ids
+_ROWS = 1000  # rows whose texts are held at a time
 _UNSAFE = re.compile(r"\s \s|\s $")
 WRITTEN = "part int, doc_id bigint, start bigint, n_tokens bigint, ids array<int>"
 WRITTEN_TYPE = pa.schema(
@@ -55,10 +57,28 @@ class _New(dict):
         self.pieces, self.lead = pieces, lead
 
     def __missing__(self, key: str) -> int:
-        self[key] = number = self.pieces.add(self.lead + key)
+        # a full stop or comma after a letter or digit is always a token of its own
+        if len(key) > 1 and key[-1] in ".," and key[-2].isalnum():
+            self[key] = number = self.pieces.add((self[key[:-1]], self.pieces.first[key[-1]]))
+        else:
+            self[key] = number = self.pieces.add(self.lead + key)
+        self.pieces.chars += len(key) + 1
         return number
 
 
+class _Grown:
+    """A number array that grows at its end."""
+
+    def __init__(self, values: list[int], kind: type):
+        self.data, self.size = np.array(values, kind), len(values)
+
+    def extend(self, values: np.ndarray) -> None:
+        if self.size + len(values) > len(self.data):
+            self.data = np.resize(self.data, 2 * (self.size + len(values)))
+        self.data[self.size : self.size + len(values)] = values
+        self.size += len(values)
+
+
 class Pieces:
     """Ids of pieces of text, encoded once and kept."""
 
@@ -71,13 +91,28 @@ class Pieces:
         self.forget()
 
     def forget(self) -> None:
-        self.inner, self.first, self.whole = _New(self, " "), _New(self, ""), _New(self, "")
-        self.ids, self.at, self.new, self.chars = np.array([self.end], np.int32), np.array([0, 1]), [], 0
+        self.inner, self.first, self.whole = _New(self, " "), _New(self, ""), {}
+        self.ids, self.at = _Grown([self.end], np.int32), _Grown([0, 1], np.int64)
+        self.new, self.chars = [], 0
 
-    def add(self, piece: str) -> int:
+    def add(self, piece: str | tuple[int, int]) -> int:
         self.new.append(piece)
-        self.chars += len(piece)
-        return len(self.at) - 1 + len(self.new) - 1
+        return self.at.size - 1 + len(self.new) - 1
+
+    def _keep_new(self) -> None:
+        texts = [p for p in self.new if isinstance(p, str)]
+        coded = iter(self.tokenizer.encode_batch(texts, add_special_tokens=False))
+        known, found = self.at.size - 1, []
+        at, ids = self.at.data, self.ids.data
+        for piece in self.new:
+            if isinstance(piece, str):
+                found.append(next(coded).ids)
+            else:
+                found.append([i for n in piece for i in (found[n - known] if n >= known else ids[at[n] : at[n + 1]].tolist())])
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        self.at.extend(at[known] + np.cumsum(size))
+        self.ids.extend(np.fromiter(chain.from_iterable(found), np.int32, int(size.sum())))
+        self.new = []
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with its end id, and how many each has."""
@@ -86,22 +121,25 @@ class Pieces:
         numbers, counts = [], []
         for text in texts:
             if _UNSAFE.search(text):
-                own = [self.whole[text]]
+                if text not in self.whole:
+                    self.whole[text] = self.add(text)
+                    self.chars += len(text)
+                numbers.append(self.whole[text])
+                counts.append(2)
             else:
                 head, *rest = text.split(" ")
-                own = [self.first[head], *map(self.inner.__getitem__, rest)]
-            own.append(0)  # the end id
-            numbers.append(np.array(own, np.int64))
-            counts.append(len(own))
+                numbers.append(self.first[head])
+                numbers.extend(map(self.inner.__getitem__, rest))
+                counts.append(len(rest) + 2)
+            numbers.append(0)  # the end id
         if self.new:
-            found = [e.ids for e in self.tokenizer.encode_batch(self.new, add_special_tokens=False)]
-            self.at = np.concatenate((self.at, self.at[-1] + np.cumsum([len(f) for f in found])))
-            self.ids = np.concatenate((self.ids, *(np.array(f, np.int32) for f in found)))
-            self.new = []
-        numbers = np.concatenate(numbers)
-        size = self.at[numbers + 1] - self.at[numbers]
+            self._keep_new()
+        numbers = np.array(numbers, np.int64)
+        at = self.at.data
+        start = at[numbers]
+        size = at[numbers + 1] - start
         ends = np.cumsum(size)
-        ids = self.ids[np.repeat(self.at[numbers] - ends + size, size) + np.arange(ends[-1])]
+        ids = self.ids.data[np.repeat(start - ends + size, size) + np.arange(ends[-1])]
         upto = ends[np.cumsum(counts) - 1]
         return ids, np.diff(upto, prepend=0)
 
@@ -115,20 +153,21 @@ def _encoder(path: str, end: int):
     def encode(batches):
         pieces, start, part = _pieces(path, end), 0, TaskContext.get().partitionId()
         for batch in batches:
-            docs, texts = batch["doc_id"], [t or "" for t in batch["text"].to_pylist()]
-            at = 0
-            for block in rounds.blocks(texts, [len(t) for t in texts], 1 << 20):
-                ids, size = pieces.encode(block)
-                offsets = np.concatenate(([0], np.cumsum(size)))
-                columns = [
-                    pa.array(np.full(len(block), part, np.int32)),
-                    docs.slice(at, len(block)).cast(pa.int64()),
-                    pa.array(start + offsets[:-1]),
-                    pa.array(size),
-                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, schema=WRITTEN_TYPE)
-                start, at = start + int(offsets[-1]), at + len(block)
+            for lo in range(0, batch.num_rows, _ROWS):
+                rows, at = batch.slice(lo, _ROWS), 0
+                texts = [t or "" for t in rows["text"].to_pylist()]
+                for block in rounds.blocks(texts, [len(t) for t in texts], 1 << 20):
+                    ids, size = pieces.encode(block)
+                    offsets = np.concatenate(([0], np.cumsum(size)))
+                    columns = [
+                        pa.array(np.full(len(block), part, np.int32)),
+                        rows["doc_id"].slice(at, len(block)).cast(pa.int64()),
+                        pa.array(start + offsets[:-1]),
+                        pa.array(size),
+                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, schema=WRITTEN_TYPE)
+                    start, at = start + int(offsets[-1]), at + len(block)
 
     return encode
 
