@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .catalog import EARLIER_ARRIVAL, EARLIER_LOAD
+from .catalog import EARLIER_LOAD
 
 # --- shared steps -----------------------------------------------------------------
 

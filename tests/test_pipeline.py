@@ -1,10 +1,13 @@
 import itertools
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from pricetide.errors import FeedRejected, LoadRejected
+from pricetide import session
+from pricetide.errors import FeedRejected, LoadRejected, SharedFolderMissing
 from pricetide.operators import cleaning
 from pricetide.plans.ledger import RunLedger, run_summary
 from pricetide.plans.pipeline import run_pipeline
@@ -196,3 +199,79 @@ def test_facts_are_laid_out_by_month(spark, tmp_path):
     plan = facts._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "observed_month" in plan.split("PartitionFilters")[1][:300]
     assert facts.agg(F.max("price_id")).first()[0] >= 1
+
+
+def test_validated_rows_count_copies(spark, tmp_path):
+    path = write(tmp_path / "a.csv", line(), *[line(low="x")] * 3)
+    root = str(tmp_path / "store")
+    run_pipeline(spark, path, root, policy="quarantine")
+    run = RunLedger(spark, root).runs().first()
+    assert (run.records_received, run.records_validated, run.records_loaded) == (4, 1, 1)
+
+
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    names = HEADER.split(",")
+    write(tmp_path / "feed" / "a.csv", line("p1"))
+    turned = dict(zip(names, line("p2").split(",")))
+    write(tmp_path / "feed" / "b.csv", ",".join(turned[n] for n in reversed(names)), header=",".join(reversed(names)))
+    rows = raw_source.scan_raw_prices(spark, str(tmp_path / "feed")).orderBy("id").collect()
+    assert [(r.id, r.name, r["prices.merchant"]) for r in rows] == [("p1", "name", "shop"), ("p2", "name", "shop")]
+
+
+def test_rows_that_do_not_fit_are_set_aside(spark, tmp_path):
+    path = write(tmp_path / "a.csv", line("a"), line("b") + ",x,y", '"c","two', 'lines",brand', line("d"))
+    root = str(tmp_path / "store")
+    with pytest.raises(FeedRejected, match="row_malformed: 3"):
+        run_pipeline(spark, path, root)
+    result = run_pipeline(spark, path, root, policy="quarantine")
+    assert result.load.inserted == 2
+    kept = spark.read.parquet(f"{root}/failed/batch=2").where("reject_reason = 'row_malformed'")
+    assert sorted(r.row_text for r in kept.collect()) == sorted([line("b") + ",x,y", '"c","two', 'lines",brand'])
+
+
+def test_stream_keeps_rejects_of_every_batch_and_a_run_each(spark, tmp_path):
+    root, folder = str(tmp_path / "stream"), tmp_path / "arrivals"
+    for i in range(2):
+        write(folder / f"{i}.csv", line(f"p{i}"), line(f"p{i}", low="x"))
+        load_arrivals(spark, str(folder), root).awaitTermination()
+    rejects = spark.read.parquet(f"{root}/failed")
+    assert sorted(r.product_id for r in rejects.collect()) == ["p0", "p1"]
+    runs = RunLedger(spark, root).runs().orderBy("run_id").collect()
+    assert [(r.status, r.records_received, r.records_loaded) for r in runs] == [("SUCCESS", 2, 1)] * 2
+    assert spark.read.json(f"{root}/reports").count() == 2
+
+
+def test_a_batch_that_was_committed_is_not_loaded_again(spark, tmp_path, feed):
+    store, clean = Warehouse(spark, str(tmp_path / "store")), cleaning.clean(feed({"id": "a"}))
+    first = store.load(clean, batch="stream-0")
+    assert store.load(clean, batch="stream-0") == first and store.has("stream-0") and not store.has("stream-1")
+    assert store.commits().count() == 1
+
+
+def test_only_a_missing_path_means_an_empty_store(spark, tmp_path):
+    with pytest.raises(AnalysisException) as missing:
+        spark.read.json(str(tmp_path / "nothing"))
+    with pytest.raises(AnalysisException) as other:
+        spark.table("nothing")
+    assert session.missing_path(missing.value) and not session.missing_path(other.value)
+
+
+def test_shared_folder_is_never_guessed(spark, tmp_path):
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=spark.sparkContext)
+    with pytest.raises(SharedFolderMissing, match="spark.checkpoint.dir"):
+        session.shared_folder(bare, "x")
+    assert session.shared_folder(bare, "x", str(tmp_path)).startswith(str(tmp_path))
+
+
+def test_a_small_batch_does_not_shuffle_the_store(spark, tmp_path, feed):
+    from pricetide.operators.facts import new_facts
+    from pricetide.schema import LOAD_KEY
+
+    rows = [(f"p{i % 50}", 1, datetime(2020, 1, 1 + i % 28), 1.0, 1.0, 1.0, "USD", str(i)) for i in range(500)]
+    columns = ["product_id", "merchant_id", "observed_at", "price", "price_min", "price_max", "currency", "condition"]
+    stored = spark.createDataFrame(rows, columns).select(*LOAD_KEY)
+    stored.write.parquet(str(tmp_path / "stored"))
+    stored.limit(5).write.parquet(str(tmp_path / "batch"))
+    fresh = new_facts(spark.read.parquet(str(tmp_path / "batch")), spark.read.parquet(str(tmp_path / "stored")))
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and fresh.count() == 0
