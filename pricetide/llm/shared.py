@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricetide.session import shared_folder
+
 #: Words of every contract: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -33,14 +34,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def shared_path(spark: SparkSession, purpose: str) -> str:
     """A new path under ``spark.checkpoint.dir``, which all executors share.
 
-    Only a local master may do without the setting; its executors are this process.
+    Only a local master, whose executors are this process, may do without the setting.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = os.path.join(tempfile.gettempdir(), "pricetide-shared")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if not base and spark.sparkContext.master.startswith("local["):
+        base = tempfile.gettempdir()
+    return shared_folder(spark, purpose, base)
 
 
 def stage(rows: DataFrame, purpose: str) -> DataFrame:
