@@ -190,5 +190,16 @@ def near(prints: DataFrame, radius: int = 3, bucket: int = 256) -> DataFrame:
     return entries.groupBy("key", "i", "j").applyInArrow(compare, "a string, b string, distance bigint").distinct()
 
 
+def with_neighbours(rows: DataFrame, radius: int = 3) -> DataFrame:
+    """rows with ``n_near``: how many other rows have a fingerprint within the radius."""
+    held = rows.groupBy("fingerprint").agg(F.count("*").alias("held"))
+    pairs = near(rows, radius)
+    both = pairs.select(F.col("a").alias("at"), F.col("b").alias("fingerprint")).union(pairs.select("b", "a"))
+    close = both.join(held, "fingerprint").groupBy("at").agg(F.sum("held").alias("close"))
+    total = held.join(close.withColumnRenamed("at", "fingerprint"), "fingerprint", "left")
+    total = total.select("fingerprint", (F.col("held") - 1 + F.coalesce("close", F.lit(0))).alias("n_near"))
+    return rows.join(total, "fingerprint", "left").select(*rows.columns, "n_near")
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return compare_with_next(table(spark, folder, "documents"))

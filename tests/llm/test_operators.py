@@ -234,6 +234,13 @@ def test_simhash_against_next(spark, part_bytes):
     assert simhash.compare_with_next(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_simhash_neighbours(spark):
+    numbers = [0, 0, 1, 3, 7, 15, 31, 1 << 100, (1 << 100) | 6]
+    rows = spark.createDataFrame([(i, f"{n:032x}") for i, n in enumerate(numbers)], "doc_id int, fingerprint string")
+    found = {r.doc_id: r.n_near for r in simhash.with_neighbours(rows).collect()}
+    assert found == {i: sum((n ^ m).bit_count() <= 3 for j, m in enumerate(numbers) if i != j) for i, n in enumerate(numbers)}
+
+
 def test_simhash_likeness():
     rng = random.Random(4)
     a = prose(rng, 400).split()
