@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from pricetide.llm import html_text, mixing, ngram_join, quality_rules, sentencepieces, simhash, substring_dedup, suffix_dedup, token_files, warc
+from pricetide.llm import (
+    filter_audit,
+    html_text,
+    importance,
+    mixing,
+    ngram_join,
+    personal_data,
+    quality_rules,
+    sentencepieces,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    token_files,
+    warc,
+)
 
 
 def registered() -> dict:
@@ -17,6 +31,9 @@ def registered() -> dict:
         "op8_html_extraction": html_text.op8_html_extraction,
         "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
         "op10_warc": warc.op10_warc,
+        "op11_importance_resampling": importance.op11_importance_resampling,
+        "op12_filter_audit": filter_audit.op12_filter_audit,
+        "op13_pii_spans": personal_data.op13_pii_spans,
     }
 
 
@@ -28,4 +45,7 @@ def statements() -> dict[str, str]:
         "op7_source_mixing": mixing.SQL,
         "op9_ngram_jaccard_join": ngram_join.SQL,
         "op10_warc": warc.SQL,
+        "op11_importance_resampling": importance.SQL,
+        "op12_filter_audit": filter_audit.SQL,
+        "op13_pii_spans": personal_data.SQL,
     }
