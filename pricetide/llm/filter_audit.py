@@ -23,7 +23,7 @@ rows; other columns are ignored. The matrix keeps one row per input row.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import permutations
 from math import factorial
 
@@ -38,7 +38,7 @@ from pricetide.llm.hashing import byte_range_hash, byte_sums, squeeze, text_buff
 from pricetide.llm.shared import ship, stage, table, text_bytes
 
 FILTERS = "ABCDE"
-SHARD, BUCKET = 1 << 22, 1 << 26
+SHARD, BUCKET = 1 << 21, 1 << 25
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _MARK = np.zeros(256, bool)
@@ -87,10 +87,9 @@ class Coded:
         self.row_ends = np.searchsorted(cell // max(1, len(order)), np.arange(len(texts)), side="right")
 
         def total(flags: np.ndarray) -> np.ndarray:
-            sums = np.concatenate(([0], np.cumsum(flags)))
-            return sums[starts[1:] - 1] - sums[starts[:-1]]  # without the line feed that joins texts
+            return np.add.reduceat(flags.view(np.uint8), starts[:-1], dtype=np.int64)
 
-        self.n_chars = total((data & 0xC0) != 0x80)
+        self.n_chars = total((data & 0xC0) != 0x80) - 1  # without the line feed that joins texts
         self.n_upper = total((data >= 65) & (data <= 90))
         self.marked = total(_MARK[data]) > 0
 
@@ -157,39 +156,43 @@ def _renumber(shards: pa.Table, answers: pa.Table) -> pa.Table:
     return shards.set_column(place, "columns", pa.array([squeeze(own[columns].astype("<i8"))], pa.binary()))
 
 
-def term_matrix(docs: DataFrame, shard_bytes: int | None = None) -> DataFrame:
-    """The document-term matrix of ``docs`` (doc_id, part, text) in shards of compressed rows.
+def _row_sums(shard: pa.Table) -> pa.Table:
+    """Row sums and nonzero entries of one shard, with what else is known of its documents."""
+    ends, counts = (np.frombuffer(unsqueeze(shard[name][0].as_py()), "<i4") for name in ("row_ends", "counts"))
+    sums = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+    columns = [shard["doc_id"][0].values, shard["part"][0].values]
+    columns += [pa.array(np.diff(sums[ends], prepend=0)), pa.array(np.diff(ends, prepend=0).astype(np.int64))]
+    columns += [shard[name][0].values for name in ("n_chars", "n_upper", "marked", "digest")]
+    return pa.table(columns, names=[f.split()[0] for f in ROWS.split(", ")])
 
-    ``row_ends``, ``columns`` and ``counts`` are zstd-packed numbers of 4, 8 and 4 bytes; a
-    column's number stands for the same word in every shard. ``doc_id`` and what else is known of
-    the documents are lists, one entry per row of the shard.
-    """
+
+def _shards(docs: DataFrame, use: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """What ``use`` makes of each shard of the matrix, in the task that completes it."""
     ship(docs.sparkSession)
     buckets = max(1, -(-text_bytes(docs) // BUCKET))
     coded = docs.select("doc_id", "part", "text").mapInArrow(_coded(buckets), f"{MATRIX}, sent {SENT}")
     coded = stage(coded, "coded")  # names the shards once and for all
     sent = coded.select("shard", F.inline("sent"))
     answers = sent.groupBy("bucket").applyInArrow(_numbered(buckets), "shard long, bucket int, numbers binary")
-    return coded.drop("sent").groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_renumber, MATRIX)
+    shards = coded.drop("sent").groupBy("shard").cogroup(answers.groupBy("shard"))
+    return shards.applyInArrow(lambda rows, numbers: use(_renumber(rows, numbers)), schema)
 
 
-def _row_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            ends = np.frombuffer(unsqueeze(batch["row_ends"][i].as_py()), "<i4")
-            counts = np.frombuffer(unsqueeze(batch["counts"][i].as_py()), "<i4")
-            sums = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
-            columns = [batch["doc_id"][i].values, batch["part"][i].values]
-            columns += [pa.array(np.diff(sums[ends], prepend=0)), pa.array(np.diff(ends, prepend=0).astype(np.int64))]
-            columns += [batch[name][i].values for name in ("n_chars", "n_upper", "marked", "digest")]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in ROWS.split(", ")])
+def term_matrix(docs: DataFrame) -> DataFrame:
+    """The document-term matrix of ``docs`` (doc_id, part, text) in shards of compressed rows.
+
+    ``row_ends``, ``columns`` and ``counts`` are zstd-packed numbers of 4, 8 and 4 bytes; a
+    column's number stands for the same word in every shard. ``doc_id`` and what else is known of
+    the documents are lists, one entry per row of the shard.
+    """
+    return _shards(docs, lambda shard: shard, MATRIX)
 
 
 def flagged(docs: DataFrame) -> DataFrame:
     """(doc_id, part, failed) of every document: the sum of 1, 2, 4, 8, 16 for the filters it fails."""
     part = F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), part, F.col("text").cast("string").alias("text"))
-    rows = stage(term_matrix(rows).mapInArrow(_row_sums, ROWS), "row_sums")
+    rows = stage(_shards(rows, _row_sums, ROWS), "row_sums")
     # Texts that occur more than once, with the least id of each; copies meet in partial sums.
     copies = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     rows = rows.join(copies.where("n > 1").select("digest", "first_id"), "digest", "left")
