@@ -10,30 +10,27 @@ from .history import MARKET, current_price, mean, offer, percent
 from .skew import flagged, heavy_groups, with_total_before
 
 
-def cheapest_merchant(facts: DataFrame, merchant: str = "merchant", **limits: int) -> DataFrame:
-    """Merchants with the lowest current price of each product; all ties are kept."""
-    now = current_price(facts, merchant)
-    columns = [*offer(merchant), "price", "observed_at"]
-    heavy = heavy_groups(facts, MARKET, **limits)
-    # Ranked before the shuffle as well: only each task's own cheapest rows travel.
-    by_price = Window.partitionBy(*MARKET).orderBy("price")
+def current_offers(facts: DataFrame, merchant: str) -> DataFrame:
+    """Current price of every offer, stored: the history is read once, and what follows counts
+    and compares one row per offer."""
+    return staged(current_price(facts, merchant), "offers")
 
-    def ranked(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("_rank", F.rank().over(by_price)).where("_rank = 1").select(*columns)
 
-    if heavy is None:
-        return ranked(now)
-    # A product with very many merchants is compared with its minimum instead.
-    rows = staged(flagged(now, MARKET, heavy), "current")
-    lowest = rows.where("_busy").groupBy(*MARKET).agg(F.min("price").alias("_low"))
-    tied = rows.where("_busy").join(lowest, MARKET).where("price = _low")
-    return ranked(rows.where("not _busy")).unionByName(tied.select(*columns))
+def cheapest_merchant(facts: DataFrame, merchant: str = "merchant") -> DataFrame:
+    """Merchants with the lowest current price of each product; all ties are kept.
+
+    The minimum of a product combines before the shuffle and is joined back, so no task ever
+    holds a product with all its merchants.
+    """
+    now = current_offers(facts, merchant)
+    lowest = now.groupBy(*MARKET).agg(F.min("price").alias("price"))
+    return now.join(lowest, [*MARKET, "price"]).select(*offer(merchant), "price", "observed_at")
 
 
 def market_position(facts: DataFrame, merchant: str = "merchant", **limits: int) -> DataFrame:
     """Each current offer with the size, sum and minimum of its market and its price rank."""
-    now = current_price(facts, merchant)
-    heavy = heavy_groups(facts, MARKET, **limits)
+    now = current_offers(facts, merchant)
+    heavy = heavy_groups(now, MARKET, **limits)
     whole = Window.partitionBy(*MARKET)
 
     def windowed(rows: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import FeedRejected, LoadRejected
@@ -18,6 +19,7 @@ from ..schema import (
     MERCHANT_WIDTH,
     PRODUCT_ID_WIDTH,
     RAW_COLUMNS,
+    STATUS_WIDTH,
 )
 
 
@@ -205,6 +207,33 @@ def require_valid(report: DataFrame) -> None:
         )
 
 
+def quality_trend(reports: DataFrame, over: int = 3) -> DataFrame:
+    """Each metric from batch to batch, from stored reports: one row per report and metric.
+
+    ``share`` is the metric's part of the batch's rows, ``usual_share`` that of the ``over``
+    batches before it taken together, ``change`` their difference; the first batch has neither.
+    ``first_failing`` names the first run in which the metric was not 0.
+    """
+    metrics = ["duplicates", "null_price_rows", "invalid_price_rows", "null_product_ids"]
+    pairs = F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics))
+    rows = reports.select("run_id", "status", "row_count", F.inline(pairs))
+    by_metric = Window.partitionBy("metric")
+    before = by_metric.orderBy("run_id").rowsBetween(-over, -1)
+    share = F.try_divide(F.col("value").cast("double"), F.col("row_count").cast("double"))
+    usual = F.try_divide(F.sum("value").over(before).cast("double"), F.sum("row_count").over(before).cast("double"))
+    return rows.select(
+        "run_id",
+        "metric",
+        "status",
+        "row_count",
+        "value",
+        share.alias("share"),
+        usual.alias("usual_share"),
+        (share - usual).alias("change"),
+        F.min(F.when(F.col("value") > 0, F.col("run_id"))).over(by_metric).alias("first_failing"),
+    )
+
+
 # --- rejects ----------------------------------------------------------------
 
 
@@ -249,57 +278,98 @@ def _checks(rows: DataFrame, checks: dict[str, Column]) -> DataFrame:
 # --- declared constraints ----------------------------------------------------
 
 
-def _repeats(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """Rows beyond the first for a key that must be unique."""
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations")).select(
-        F.lit(name).alias("check_name"), "violations"
+class Rules(NamedTuple):
+    """Declared constraints of a table: unique keys, and conditions that break it by name."""
+
+    table: str
+    unique: Sequence[str]
+    broken: dict[str, Column]
+
+
+def _required(*names: str) -> dict[str, Column]:
+    return {f"{name} not null": F.col(name).isNull() for name in names}
+
+
+def _bounded(**widths: int) -> dict[str, Column]:
+    return {f"{name} length": F.length(name) > width for name, width in widths.items()}
+
+
+def _not_negative(*names: str) -> dict[str, Column]:
+    return {f"{name} >= 0": F.col(name) < 0 for name in names}
+
+
+def product_rules() -> Rules:
+    widths = _bounded(product_id=PRODUCT_ID_WIDTH, brand=BRAND_WIDTH)
+    return Rules("products", ["product_id"], _required("product_id", "product_name") | widths)
+
+
+def merchant_rules() -> Rules:
+    widths = _bounded(merchant_name=MERCHANT_WIDTH)
+    return Rules("merchants", ["merchant_id", "merchant_name"], _required("merchant_id", "merchant_name") | widths)
+
+
+def price_rules() -> Rules:
+    money = ["price_min", "price_max", "price"]
+    return Rules(
+        "price_history",
+        ["price_id"],
+        _required("price_id", "product_id", "merchant_id", *money, "observed_at")
+        | _bounded(product_id=PRODUCT_ID_WIDTH, currency=CURRENCY_WIDTH, condition=CONDITION_WIDTH)
+        | _not_negative(*money)
+        | {"price_min <= price_max": F.col("price_min") > F.col("price_max")},
+    )
+
+
+def run_rules() -> Rules:
+    """The ledger's rules: those declared, and that a run ends after it began, with an outcome."""
+    running = F.col("status") == "RUNNING"
+    counts = ["records_received", "records_validated", "records_transformed", "records_loaded"]
+    return Rules(
+        "pipeline_runs",
+        ["run_id"],
+        _required("run_id", "started_at", "status")
+        | _bounded(status=STATUS_WIDTH)
+        | _not_negative(*counts)
+        | {
+            "status known": ~F.col("status").isin("RUNNING", "SUCCESS", "FAILED"),
+            "completed_at >= started_at": F.col("completed_at") < F.col("started_at"),
+            "completed_at of ended runs": F.col("status").isNotNull() & ~running & F.col("completed_at").isNull(),
+        },
+    )
+
+
+def violations(rows: DataFrame, rules: Rules) -> DataFrame:
+    """(check_name, violations) for every rule of a table, also those that hold; one scan.
+
+    Each row expands into its unique keys and the conditions it breaks. Counting those per rule
+    and key, combined before the shuffle, serves uniqueness and conditions alike: a key beyond
+    its first row is a violation, and so is every broken condition.
+    """
+    keys = [
+        F.when(F.col(key).isNotNull(), F.struct(F.lit(f"{rules.table}.{key} unique").alias("check_name"), F.col(key).cast("string").alias("key")))
+        for key in rules.unique
+    ]
+    breaks = [
+        F.when(broken, F.struct(F.lit(f"{rules.table}.{name}").alias("check_name"), F.lit(None).cast("string").alias("key")))
+        for name, broken in rules.broken.items()
+    ]
+    found = rows.select(F.inline(F.array_compact(F.array(*keys, *breaks))))
+    counted = found.groupBy("check_name", "key").agg(F.count(F.lit(1)).alias("n"))
+    spare = F.col("n") - F.col("key").isNotNull().cast("int")
+    totals = counted.groupBy("check_name").agg(F.sum(spare).alias("n"))
+    names = [f"{rules.table}.{key} unique" for key in rules.unique] + [f"{rules.table}.{name}" for name in rules.broken]
+    every = rows.sparkSession.createDataFrame([(name,) for name in names], "check_name string")
+    return every.join(totals, "check_name", "left").select(
+        "check_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("violations")
     )
 
 
 def constraint_violations(
-    facts: DataFrame, products: DataFrame, merchants: DataFrame
+    facts: DataFrame, products: DataFrame, merchants: DataFrame, runs: DataFrame
 ) -> DataFrame:
-    """Violations of every declared constraint of the three tables, as (check, count)."""
-    parts = [
-        _checks(
-            products,
-            {
-                "products.product_id not null": F.col("product_id").isNull(),
-                "products.product_id length": F.length("product_id") > PRODUCT_ID_WIDTH,
-                "products.product_name not null": F.col("product_name").isNull(),
-                "products.brand length": F.length("brand") > BRAND_WIDTH,
-            },
-        ),
-        _repeats(products, "product_id", "products.product_id unique"),
-        _checks(
-            merchants,
-            {
-                "merchants.merchant_name not null": F.col("merchant_name").isNull(),
-                "merchants.merchant_name length": F.length("merchant_name") > MERCHANT_WIDTH,
-            },
-        ),
-        _repeats(merchants, "merchant_name", "merchants.merchant_name unique"),
-        _checks(
-            facts,
-            {
-                "price_history.product_id not null": F.col("product_id").isNull(),
-                "price_history.product_id length": F.length("product_id") > PRODUCT_ID_WIDTH,
-                "price_history.merchant_id not null": F.col("merchant_id").isNull(),
-                "price_history.price_min not null": F.col("price_min").isNull(),
-                "price_history.price_max not null": F.col("price_max").isNull(),
-                "price_history.price not null": F.col("price").isNull(),
-                "price_history.observed_at not null": F.col("observed_at").isNull(),
-                "price_history.currency length": F.length("currency") > CURRENCY_WIDTH,
-                "price_history.condition length": F.length("condition") > CONDITION_WIDTH,
-                "price_history.price_min >= 0": F.col("price_min") < 0,
-                "price_history.price_max >= 0": F.col("price_max") < 0,
-                "price_history.price >= 0": F.col("price") < 0,
-                "price_history.price_min <= price_max": F.col("price_min") > F.col("price_max"),
-            },
-        ),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Violations of every declared constraint of the four tables, as (check, count)."""
+    tables = {product_rules: products, merchant_rules: merchants, price_rules: facts, run_rules: runs}
+    return reduce(DataFrame.unionByName, [violations(rows, rules()) for rules, rows in tables.items()])
 
 
 def fk_orphans(facts: DataFrame, products: DataFrame, merchants: DataFrame) -> DataFrame:

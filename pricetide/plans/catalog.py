@@ -16,8 +16,8 @@ from ..sources import raw as raw_source
 from ..sources.feeds import as_file_feed, event_feed, order_feed
 from ..sources.warehouse import Warehouse
 from ..streaming.incremental import load_arrivals
-from . import ledger
-from .pipeline import run_pipeline
+from . import ledger, replay
+from .pipeline import run_batch, run_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -237,7 +237,16 @@ def validation_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quality_by_batch(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.validation_report(order_raw(spark, folder, batch=True), "_batch_id")
+    """The reports that real runs stored, batch by batch."""
+    return _reports(spark, folder).drop("batch")
+
+
+def quality_trend(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_trend(_reports(spark, folder), over=2)
+
+
+def _reports(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.json(f"{_real_runs(spark, folder)}/reports")
 
 
 def _unchecked(spark: SparkSession, folder: str) -> DataFrame:
@@ -258,12 +267,39 @@ def load_gate(spark: SparkSession, folder: str) -> DataFrame:
     return quality.load_gate(_unchecked(spark, folder))
 
 
+# Changes that break every declared constraint somewhere, in SQL that both engines know.
+BROKEN_PRODUCT = """CASE WHEN product_id LIKE '%99' THEN repeat(product_id, 100)
+    WHEN product_id LIKE '%98' THEN NULL ELSE product_id END AS product_id"""
+BROKEN_NAMES = """CASE WHEN product_id LIKE '%5' THEN NULL ELSE product_name END AS product_name,
+    CASE WHEN product_id LIKE '%7' THEN repeat(brand, 40) ELSE brand END AS brand"""
+BROKEN_MERCHANT = """CASE WHEN product_id LIKE '%3' THEN repeat(merchant, 40) ELSE merchant END AS merchant_name,
+    merchant_id"""
+BROKEN_FACT = """CASE WHEN product_id LIKE '%6' THEN NULL ELSE CAST(substr(product_id, 2) AS BIGINT) % 1000 END AS price_id,
+    CASE WHEN product_id LIKE '%1' THEN repeat(currency, 4) ELSE currency END AS currency,
+    CASE WHEN product_id LIKE '%2' THEN repeat(condition, 40) ELSE condition END AS condition,
+    CASE WHEN product_id LIKE '%4' THEN -price_max ELSE price_max END AS price_max,
+    merchant_id, price_min, price, observed_at"""
+BROKEN_RUN = """nullif(user_id % 700, 13) AS run_id,
+    CASE WHEN user_id % 5 = 0 THEN NULL ELSE CAST(ts AS TIMESTAMP) END AS started_at,
+    CASE WHEN user_id % 7 = 0 THEN NULL ELSE CAST(ts AS TIMESTAMP) + (user_id % 3 - 1) * INTERVAL '1' HOUR END AS completed_at,
+    CASE user_id % 6 WHEN 0 THEN NULL WHEN 1 THEN repeat(event_type, 20) WHEN 2 THEN 'RUNNING' WHEN 3 THEN 'FAILED'
+      ELSE 'SUCCESS' END AS status,
+    CAST(floor(value) AS BIGINT) - 10 AS records_received, CAST(floor(value) AS BIGINT) - 20 AS records_validated,
+    CAST(floor(value) AS BIGINT) - 30 AS records_transformed, CAST(floor(value) AS BIGINT) - 40 AS records_loaded"""
+
+
+def _exprs(rows: DataFrame, *parts: str) -> DataFrame:
+    rows.createOrReplaceTempView("broken_rows")
+    return rows.sparkSession.sql(f"SELECT {', '.join(parts)} FROM broken_rows")
+
+
 def constraint_violations(spark: SparkSession, folder: str) -> DataFrame:
     rows = staged(_unchecked(spark, folder), "constraints")
-    good = rows.where("reject_reason is null")
-    products = good.select("product_id", "product_name", "brand").distinct()
-    merchants = rows.select(F.col("merchant").alias("merchant_name"))
-    return quality.constraint_violations(rows, products, merchants)
+    products = _exprs(rows.where("reject_reason is null"), BROKEN_PRODUCT, BROKEN_NAMES).distinct()
+    merchants = _exprs(rows, BROKEN_MERCHANT)
+    prices = _exprs(rows, BROKEN_PRODUCT, BROKEN_FACT)
+    runs = _exprs(spark.read.parquet(f"{folder}/events.parquet"), BROKEN_RUN)
+    return quality.constraint_violations(prices, products, merchants, runs)
 
 
 def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
@@ -431,42 +467,110 @@ def _of_event_groups(operator: Callable[[DataFrame], DataFrame]) -> Query:
 # --- runs -----------------------------------------------------------------------------------
 
 
-def _runs(spark: SparkSession, folder: str) -> DataFrame:
-    """Each ship day as one strict pipeline run: it fails when a check of it fails."""
-    counted = quality.count_copies(order_raw(spark, folder, batch=True), "_batch_id")
-    rows = staged(counted, "runs")
-    report = quality.validation_report(rows, "_batch_id")
-    observed = cleaning.observe_distinct(rows, ["_batch_id"])
-    clean_rows = cleaning.accepted(observed, ["_batch_id"])
-    cleaned = clean_rows.groupBy("_batch_id").agg(F.count(F.lit(1)).alias("n_clean"))
-    loaded = (
-        facts.named_facts(clean_rows, ["_batch_id"])
-        .groupBy("_batch_id")
-        .agg(F.count(F.lit(1)).alias("n_loaded"))
-    )
-    joined = report.join(cleaned, "_batch_id", "left").join(loaded, "_batch_id", "left")
-    passed = F.col("status") == "PASSED"
-
-    def count(name: str) -> object:
-        return F.when(passed, F.coalesce(name, F.lit(0))).otherwise(F.lit(0)).cast("bigint")
-
-    day = F.col("_batch_id").cast("date")
-    outcomes = joined.select(
-        F.date_format(day, "yyyyMMdd").cast("bigint").alias("run_id"),
-        day.cast("timestamp").alias("started_at"),
-        F.timestamp_add("HOUR", F.lit(1), day.cast("timestamp")).alias("completed_at"),
-        F.when(passed, "SUCCESS").otherwise("FAILED").alias("status"),
-        F.col("row_count").alias("records_received"),
-        count("row_count").alias("records_validated"),
-        count("n_clean").alias("records_transformed"),
-        count("n_loaded").alias("records_loaded"),
-        F.when(~passed, F.col("first_failure")).alias("error_message"),
-    )
-    return ledger.latest_runs(ledger.run_events(outcomes))
+# Stores that several queries look at, made once per application and folder.
+_STORES: dict[tuple[str, str, str], str] = {}
+
+
+def _store(make: Callable[[SparkSession, str, str], None]) -> Callable[[SparkSession, str], str]:
+    def stored(spark: SparkSession, folder: str) -> str:
+        key = (make.__name__, spark.sparkContext.applicationId, folder)
+        root = _STORES.get(key)
+        if root is None or Warehouse(spark, root).commits().isEmpty():
+            path = shared_folder(spark, "store")
+            make(spark, folder, path)
+            root = _STORES[key] = f"{path}/store"
+        return root
+
+    return stored
+
+
+@_store
+def _real_runs(spark: SparkSession, folder: str, path: str) -> None:
+    """The order feed in four files of two ship years each, every other one under strict checks."""
+    rows = order_feed(spark, folder, batch=True)
+    part = F.expr("greatest(0, least(3, floor((year(cast(_batch_id as date)) - 1994) / 2)))")
+    for k in range(4):
+        raw_source.write_raw_files(as_file_feed(rows.where(part == k)), f"{path}/feed{k}")
+        try:
+            run_pipeline(spark, f"{path}/feed{k}", f"{path}/store", policy="quarantine" if k % 2 else "strict")
+        except FeedRejected:
+            pass  # the ledger has it
+
+
+def run_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    runs = ledger.RunLedger(spark, _real_runs(spark, folder)).runs()
+    failure = F.split_part("error_message", F.lit(":"), F.lit(1)).alias("failure")
+    ended = (F.col("completed_at") >= F.col("started_at")).alias("ended")
+    return runs.select("run_id", "status", *ledger.COUNTS, failure, ended)
 
 
 def run_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return ledger.run_summary(_runs(spark, folder))
+    return ledger.run_summary(ledger.RunLedger(spark, _real_runs(spark, folder)).runs())
+
+
+def runs_recovered(spark: SparkSession, folder: str) -> DataFrame:
+    """A run that is killed after it landed its feed, and the next one, which finds it open."""
+    path = shared_folder(spark, "killed")
+    raw_source.write_raw_files(order_feed(spark, folder), f"{path}/feed")
+
+    def scan(name: str) -> DataFrame:
+        raw_source.land_raw(spark, f"{path}/feed", f"{path}/store/raw", name)
+        raise SystemExit
+
+    try:
+        run_batch(spark, f"{path}/store", scan, policy="quarantine")
+    except SystemExit:
+        pass  # nothing could be written any more
+    run_pipeline(spark, f"{path}/feed", f"{path}/store", policy="quarantine")
+    runs = ledger.RunLedger(spark, f"{path}/store").runs()
+    return runs.select("run_id", "status", *ledger.COUNTS, "error_message")
+
+
+# The second load brings products under new names.
+@_store
+def _two_loads(spark: SparkSession, folder: str, path: str) -> None:
+    clean_rows = staged(order_clean(spark, folder), "clean")
+    first = F.col("date_seen") < F.lit(EARLIER_LOAD).cast("timestamp")
+    store = Warehouse(spark, f"{path}/store")
+    store.load(clean_rows.where(first))
+    store.load(clean_rows.where(~first).withColumn("product_name", F.upper("product_name")))
+    store.compact_products()
+
+
+def products_appended(spark: SparkSession, folder: str) -> DataFrame:
+    """Products after two loads and a compaction; those of both loads were updated."""
+    products = Warehouse(spark, _two_loads(spark, folder)).products()
+    updated = (F.col("updated_at") > F.col("created_at")).alias("updated")
+    return products.select("product_id", "product_name", "brand", "category", updated)
+
+
+def price_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of generated ids: from 1 on, without gaps, across loads."""
+    return Warehouse(spark, _two_loads(spark, folder)).price_history().groupBy("load").agg(
+        F.count(F.lit(1)).alias("facts"),
+        F.countDistinct("price_id").alias("ids"),
+        F.min("price_id").alias("first_id"),
+        F.max("price_id").alias("last_id"),
+    )
+
+
+def rejects_replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """Swapped prices are turned, negative ones take the other price; a second replay adds nothing."""
+    path = shared_folder(spark, "replay")
+    root = f"{path}/store"
+    raw_source.write_raw_files(order_feed(spark, folder), f"{path}/feed")
+    run_pipeline(spark, f"{path}/feed", root, policy="quarantine")
+    low, high = F.col("`prices.amountMin`"), F.col("`prices.amountMax`")
+    repairs = {
+        "price_range": {"prices.amountMin": high, "prices.amountMax": low},
+        "price_negative": {"prices.amountMin": high},
+    }
+    for _ in range(2):
+        replay.replay_rejects(spark, root, repairs)
+    states = replay.reject_states(spark, root).groupBy("reject_reason")
+    counted = states.agg(F.count(F.lit(1)).alias("rejects"), F.count("run_id").alias("loaded"))
+    stored = Warehouse(spark, root).price_history().agg(F.count(F.lit(1))).scalar()
+    return counted.withColumn("stored_facts", stored)
 
 
 # --- streaming -----------------------------------------------------------------------------------
@@ -509,6 +613,19 @@ def incremental_replay(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(spark, f"{path}/store")
 
 
+def incremental_mixed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of one stream that order their columns differently, some in one micro-batch."""
+    path = shared_folder(spark, "turning")
+    rows = as_file_feed(event_feed(spark, folder))
+    first, odd = F.col("`prices.dateSeen`") < EARLIER_ARRIVAL, F.col("id").rlike("[13579]$")
+    backwards = [F.col(f"`{c}`") for c in reversed(RAW_COLUMNS)]
+    for name, part in {"a": rows.where(first), "b": rows.where(~first)}.items():
+        raw_source.write_raw_files(part.where(odd), f"{path}/feed/{name}1")
+        raw_source.write_raw_files(part.where(~odd).select(*backwards), f"{path}/feed/{name}2")
+        load_arrivals(spark, f"{path}/feed", f"{path}/store").awaitTermination()
+    return _stored(spark, f"{path}/store")
+
+
 def _order_arrivals(spark: SparkSession, folder: str) -> str:
     """The store after the order feed arrived in two parts, products apart."""
     path = shared_folder(spark, "arrivals")
@@ -550,6 +667,7 @@ QUERIES: dict[str, Query] = {
     "duplicate_count": duplicate_count,
     "validation_report": validation_report,
     "quality_by_batch": quality_by_batch,
+    "quality_trend": quality_trend,
     "load_gate": load_gate,
     "constraint_violations": constraint_violations,
     "fk_orphans": fk_orphans,
@@ -568,9 +686,9 @@ QUERIES: dict[str, Query] = {
     "load_accounting": load_accounting,
     "price_facts_star": price_facts_star,
     "current_price": _of_orders(history.current_price),
-    "cheapest_merchant": _of_order_groups(market.cheapest_merchant),
-    "competitor_comparison": _of_order_groups(market.competitor_comparison),
-    "avg_competitor_price": _of_order_groups(market.avg_competitor_price),
+    "cheapest_merchant": _of_orders(market.cheapest_merchant),
+    "competitor_comparison": _of_orders(market.competitor_comparison),
+    "avg_competitor_price": _of_orders(market.avg_competitor_price),
     "avg_price_across_competitors": _of_orders(market.avg_price_across_competitors),
     "price_trend_monthly": _of_orders(lambda rows: history.price_trend(rows, "month")),
     "price_trend_daily": _of_orders(lambda rows: history.price_trend(rows, "day")),
@@ -584,8 +702,8 @@ QUERIES: dict[str, Query] = {
     "price_change_frequency": _of_event_groups(history.change_frequency),
     "price_fluctuation": _of_event_groups(history.price_fluctuation),
     # The same questions with groups cut into slices, as on a table with very busy groups.
-    "cheapest_merchant_sliced": _of_order_groups(sliced(market.cheapest_merchant, 2)),
-    "competitor_comparison_sliced": _of_order_groups(sliced(market.competitor_comparison, 2)),
+    "cheapest_merchant_sliced": _of_orders(market.cheapest_merchant),  # has no groups to cut
+    "competitor_comparison_sliced": _of_orders(sliced(market.competitor_comparison, 2)),
     "price_change_feed_sliced": _of_order_groups(sliced(history.price_change, 2)),
     "previous_price_sliced": _of_event_groups(sliced(history.previous_price, 20)),
     "price_fluctuation_sliced": _of_event_groups(sliced(history.price_fluctuation, 20)),
@@ -594,12 +712,17 @@ QUERIES: dict[str, Query] = {
     "top_price_increases_since_first": _of_events(
         lambda rows: history.top_price_increases(rows, basis="first")
     ),
-    "run_ledger": _runs,
+    "run_ledger": run_ledger,
     "run_summary": run_summary,
     "pipeline_load": pipeline_load,
     "pipeline_runs": pipeline_runs,
+    "runs_recovered": runs_recovered,
+    "products_appended": products_appended,
+    "price_ids": price_ids,
+    "rejects_replayed": rejects_replayed,
     "incremental_load": incremental_load,
     "incremental_replay": incremental_replay,
+    "incremental_mixed_files": incremental_mixed_files,
     "incremental_rejects": incremental_rejects,
     "incremental_runs": incremental_runs,
 }

@@ -5,27 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import (
     accepted,
     observe_distinct,
-    parse_prices,
+    price_problem,
     rejected,
-    select_business_columns,
 )
 from ..operators.quality import (
     count_copies,
+    quoted,
     require_columns,
     require_valid,
     tally,
     validation_report,
 )
 from ..errors import FeedRejected
+from ..functions import number
 from ..schema import RAW_COLUMNS
 from ..session import prepare
-from ..sources.raw import MALFORMED, land_raw
+from ..sources.raw import MALFORMED, landed, scan_for_landing, write_landed
 from ..sources.warehouse import LoadResult, Warehouse
 from .ledger import RunLedger
 
@@ -57,11 +58,10 @@ def malformed(landed: DataFrame) -> DataFrame:
     )
 
 
-def usable_rows(rows: DataFrame) -> int:
-    """Received rows, copies included, whose prices pass validation."""
-    priced = parse_prices(select_business_columns(rows, ["_copies"]))
-    valid = tally(F.col("reject_reason").isNull(), F.col("_copies"))
-    return priced.agg(valid.alias("n")).first()["n"]
+def usable_rows() -> Column:
+    """Copies of a counted row when its prices pass validation."""
+    problem = price_problem(number(quoted("prices.amountMin")), number(quoted("prices.amountMax")))
+    return tally(problem.isNull(), F.col("_copies"))
 
 
 def run_pipeline(
@@ -81,63 +81,76 @@ def run_pipeline(
     """
     root = root.rstrip("/")
 
-    def land(batch: str) -> DataFrame:
-        return land_raw(spark, source, f"{root}/raw", batch, multiline)
+    def scan(batch: str) -> DataFrame:
+        return scan_for_landing(spark, source, f"{root}/raw", batch, multiline)
 
-    return run_batch(spark, root, land, policy=policy, **checks)
+    return run_batch(spark, root, scan, policy=policy, **checks)
 
 
 def run_batch(
     spark: SparkSession,
     root: str,
-    land: Callable[[str], DataFrame],
+    scan: Callable[[str], DataFrame],
     *,
     policy: str,
     batch: str | None = None,
+    dead_after: float = 0,
     **checks: object,
 ) -> PipelineRun:
-    """One run: ``land`` writes the batch of the given name and returns its rows.
+    """One run over what ``scan`` returns for the name of the batch.
 
     Runs without a batch name of their own are named by their number. A named batch that
-    was loaded before adds nothing.
+    was loaded before adds nothing. Runs that died are closed first; as a warehouse has one
+    writer, that is every run still open after ``dead_after`` seconds.
+
+    The counts of the ledger are observed while the tables are written.
     """
     if policy not in ("strict", "quarantine"):
         raise ValueError("policy is 'strict' or 'quarantine'")
     prepare(spark)
     ledger = RunLedger(spark, root)
-    run_id = ledger.open()
+    run_id = ledger.open(dead_after)
     counts: dict[str, int] = {}
     try:
         name = str(run_id) if batch is None else batch
-        landed = land(name)
-        counts["records_received"], broken = landed.agg(
-            F.count(F.lit(1)), F.count(MALFORMED)
-        ).first()
+        seen = Observation()
+        scanned = scan(name).observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count(MALFORMED).alias("broken")
+        )
+        write_landed(scanned, f"{root}/raw", name)
+        counts["records_received"], broken = seen.get["rows"], seen.get["broken"]
         if broken and policy == "strict":
             raise FeedRejected(f"row_malformed: {broken} rows do not fit their header")
-        raw = landed.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+        batch_rows = landed(spark, f"{root}/raw", name)
+        raw = batch_rows.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
 
         # Written once: the report and the cleaning both start from distinct rows, and
         # whole rows are shuffled a single time per run.
         require_columns(raw, RAW_COLUMNS)
         counted_path = f"{root}/staged/rows"
-        count_copies(raw).write.mode("overwrite").parquet(counted_path)
+        seen = Observation()
+        counted = count_copies(raw).observe(seen, usable_rows().alias("usable"))
+        counted.write.mode("overwrite").parquet(counted_path)
+        usable = seen.get["usable"]
         rows = spark.read.parquet(counted_path)
         report_path = f"{root}/reports/batch={name}"
-        validation_report(rows, **checks).write.mode("overwrite").json(report_path)
+        report = validation_report(rows, **checks).withColumn("run_id", F.lit(run_id).cast("bigint"))
+        report.write.mode("overwrite").json(report_path)
         if policy == "strict":
             require_valid(spark.read.json(report_path))
-        counts["records_validated"] = usable_rows(rows)
+        counts["records_validated"] = usable
 
+        seen = Observation()
         observed = observe_distinct(rows)
-        write_processed(observed, f"{root}/processed")
+        clean_count = F.count(F.when(F.col("reject_reason").isNull(), 1))
+        write_processed(observed.observe(seen, clean_count.alias("clean")), f"{root}/processed")
+        counts["records_transformed"] = seen.get["clean"]
         processed = read_processed(spark, f"{root}/processed", observed)
         refused = rejected(processed.where("outcome = 'rejected'")).drop("outcome")
         if broken:
-            refused = refused.unionByName(malformed(landed), allowMissingColumns=True)
+            refused = refused.unionByName(malformed(batch_rows), allowMissingColumns=True)
         refused.write.mode("overwrite").parquet(f"{root}/failed/batch={name}")
         clean_rows = accepted(processed.where("outcome = 'clean'"))
-        counts["records_transformed"] = clean_rows.count()
 
         result = Warehouse(spark, root).load(clean_rows, policy=policy, batch=batch)
         counts["records_loaded"] = result.inserted

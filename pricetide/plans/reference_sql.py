@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from .catalog import EARLIER_LOAD
+from .catalog import (
+    BROKEN_FACT,
+    BROKEN_MERCHANT,
+    BROKEN_NAMES,
+    BROKEN_PRODUCT,
+    BROKEN_RUN,
+    EARLIER_LOAD,
+)
 
 # --- shared steps -----------------------------------------------------------------
 
@@ -272,11 +279,23 @@ _PRODUCT_RULES = [
 ]
 
 _MERCHANT_RULES = [
-    ("merchants.merchant_name not null", "merchant IS NULL"),
-    ("merchants.merchant_name length", "length(merchant) > 500"),
+    ("merchants.merchant_id not null", "merchant_id IS NULL"),
+    ("merchants.merchant_name not null", "merchant_name IS NULL"),
+    ("merchants.merchant_name length", "length(merchant_name) > 500"),
+]
+
+_RUN_RULES = [
+    *[(f"pipeline_runs.{c} not null", f"{c} IS NULL") for c in ("run_id", "started_at", "status")],
+    *[(f"pipeline_runs.{c} >= 0", f"{c} < 0")
+      for c in ("records_received", "records_validated", "records_transformed", "records_loaded")],
+    ("pipeline_runs.status length", "length(status) > 50"),
+    ("pipeline_runs.status known", "status NOT IN ('RUNNING', 'SUCCESS', 'FAILED')"),
+    ("pipeline_runs.completed_at >= started_at", "completed_at < started_at"),
+    ("pipeline_runs.completed_at of ended runs", "status <> 'RUNNING' AND completed_at IS NULL"),
 ]
 
 _FACT_RULES = [
+    ("price_history.price_id not null", "price_id IS NULL"),
     ("price_history.product_id not null", "product_id IS NULL"),
     ("price_history.product_id length", "length(product_id) > 255"),
     ("price_history.merchant_id not null", "merchant_id IS NULL"),
@@ -326,28 +345,40 @@ def _first_failure(duplicates: bool) -> str:
       WHEN null_product_ids > 0 THEN 'null_product_ids' ELSE '' END AS first_failure"""
 
 
-DAILY = f"""{RAW},
-copies AS (SELECT *, count(*) AS n FROM raw_batch GROUP BY ALL),
-metrics AS (SELECT batch, {_METRICS} FROM copies GROUP BY batch),
-daily AS (SELECT *, {_first_failure(False)} FROM metrics)"""
+PARTS = f"""{RAW},
+raw_part AS (SELECT * EXCLUDE (batch), greatest(0, least(3, (CAST(left(batch, 4) AS BIGINT) - 1994) // 2)) AS part FROM raw_batch),
+copies AS (SELECT *, count(*) AS n FROM raw_part GROUP BY ALL),
+metrics AS (SELECT part + 1 AS run_id, {_METRICS} FROM copies GROUP BY part),
+reports AS (SELECT *, {_STATUS} FROM (SELECT *, {_first_failure(False)} FROM metrics))"""
 
-RUNS = f"""{DAILY},{_observed('raw_batch', 'batch')},
-{_facts('merchant', carry='batch')},
-cleaned AS (SELECT batch, count(*) AS n_clean FROM clean GROUP BY batch),
-loaded AS (SELECT batch, count(*) AS n_loaded FROM facts GROUP BY batch),
+RUNS = f"""{PARTS},{_observed('raw_part', 'part')},
+{_facts('merchant', carry='part')},
+outcomes AS (SELECT *, run_id % 2 = 0 OR status = 'PASSED' AS ok FROM reports),
+valid AS (
+  SELECT part + 1 AS run_id, count(*) AS n_valid FROM raw_part
+  WHERE TRY_CAST(amount_min AS DOUBLE) >= 0 AND TRY_CAST(amount_max AS DOUBLE) >= TRY_CAST(amount_min AS DOUBLE)
+  GROUP BY part
+),
+cleaned AS (SELECT part + 1 AS run_id, count(*) AS n_clean FROM clean GROUP BY part),
+first_loads AS (
+  SELECT min(part) + 1 AS run_id FROM facts WHERE part + 1 IN (SELECT run_id FROM outcomes WHERE ok)
+  GROUP BY product_id, merchant, observed_at, price, price_min, price_max, currency, condition
+),
+loaded AS (SELECT run_id, count(*) AS n_loaded FROM first_loads GROUP BY run_id),
 runs AS (
-  SELECT CAST(replace(batch, '-', '') AS BIGINT) AS run_id,
-         CAST(batch AS TIMESTAMP) AS started_at,
-         CAST(batch AS TIMESTAMP) + INTERVAL 1 HOUR AS completed_at,
-         CASE WHEN first_failure = '' THEN 'SUCCESS' ELSE 'FAILED' END AS status,
-         row_count AS records_received,
-         CASE WHEN first_failure = '' THEN row_count ELSE 0 END AS records_validated,
-         CASE WHEN first_failure = '' THEN COALESCE(n_clean, 0) ELSE 0 END AS records_transformed,
-         CASE WHEN first_failure = '' THEN COALESCE(n_loaded, 0) ELSE 0 END AS records_loaded,
-         NULLIF(first_failure, '') AS error_message
-  FROM daily LEFT JOIN cleaned USING (batch) LEFT JOIN loaded USING (batch)
+  SELECT run_id, CASE WHEN ok THEN 'SUCCESS' ELSE 'FAILED' END AS status, row_count AS records_received,
+         CASE WHEN ok THEN COALESCE(n_valid, 0) ELSE 0 END AS records_validated,
+         CASE WHEN ok THEN COALESCE(n_clean, 0) ELSE 0 END AS records_transformed,
+         CASE WHEN ok THEN COALESCE(n_loaded, 0) ELSE 0 END AS records_loaded,
+         CASE WHEN NOT ok THEN first_failure END AS failure
+  FROM outcomes LEFT JOIN valid USING (run_id) LEFT JOIN cleaned USING (run_id) LEFT JOIN loaded USING (run_id)
 )"""
 
+_TREND = " UNION ALL ".join(
+    f"SELECT run_id, status, row_count, '{m}' AS metric, {m} AS value FROM reports"
+    for m in ("duplicates", "null_price_rows", "invalid_price_rows", "null_product_ids")
+)
+
 PRODUCTS = """
 first_rows AS (
   SELECT *, row_number() OVER (
@@ -498,16 +529,31 @@ def statements() -> dict[str, str]:
             metrics AS (SELECT {_METRICS} FROM copies),
             judged AS (SELECT *, {_first_failure(True)} FROM metrics)
             SELECT *, {_STATUS} FROM judged""",
-        "quality_by_batch": f"""WITH {DAILY}
-            SELECT * EXCLUDE (batch), batch AS _batch_id, {_STATUS} FROM daily""",
+        "quality_by_batch": f"WITH {PARTS} SELECT * FROM reports",
+        "quality_trend": f"""WITH {PARTS}, pairs AS ({_TREND})
+            SELECT run_id, metric, status, row_count, value,
+                   CAST(value AS DOUBLE) / row_count AS share,
+                   CAST(sum(value) OVER w AS DOUBLE) / CAST(sum(row_count) OVER w AS DOUBLE) AS usual_share,
+                   CAST(value AS DOUBLE) / row_count
+                     - CAST(sum(value) OVER w AS DOUBLE) / CAST(sum(row_count) OVER w AS DOUBLE) AS change,
+                   min(run_id) FILTER (value > 0) OVER (PARTITION BY metric) AS first_failing
+            FROM pairs
+            WINDOW w AS (PARTITION BY metric ORDER BY run_id ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING)""",
         "load_gate": f"WITH {UNCHECKED} {_rules(_GATE, 'unchecked')}",
         "constraint_violations": f"""WITH {UNCHECKED},
-            stored_products AS (SELECT DISTINCT product_id, product_name, brand FROM clean)
-            {_rules(_PRODUCT_RULES, 'stored_products')}
-            UNION ALL {_unique('products.product_id unique', 'product_id', 'stored_products')}
-            UNION ALL {_rules(_MERCHANT_RULES, 'unchecked')}
-            UNION ALL {_unique('merchants.merchant_name unique', 'merchant', 'unchecked')}
-            UNION ALL {_rules(_FACT_RULES, 'unchecked')}""",
+            some_products AS (SELECT DISTINCT {BROKEN_PRODUCT}, {BROKEN_NAMES} FROM clean),
+            some_merchants AS (SELECT {BROKEN_MERCHANT} FROM unchecked),
+            some_prices AS (SELECT {BROKEN_PRODUCT}, {BROKEN_FACT} FROM unchecked),
+            some_runs AS (SELECT {BROKEN_RUN} FROM events)
+            {_rules(_PRODUCT_RULES, 'some_products')}
+            UNION ALL {_unique('products.product_id unique', 'product_id', 'some_products')}
+            UNION ALL {_rules(_MERCHANT_RULES, 'some_merchants')}
+            UNION ALL {_unique('merchants.merchant_name unique', 'merchant_name', 'some_merchants')}
+            UNION ALL {_unique('merchants.merchant_id unique', 'merchant_id', 'some_merchants')}
+            UNION ALL {_rules(_FACT_RULES, 'some_prices')}
+            UNION ALL {_unique('price_history.price_id unique', 'price_id', 'some_prices')}
+            UNION ALL {_rules(_RUN_RULES, 'some_runs')}
+            UNION ALL {_unique('pipeline_runs.run_id unique', 'run_id', 'some_runs')}""",
         "fk_orphans": f"""WITH {ID_FACTS},
             held AS (SELECT DISTINCT product_id FROM clean WHERE product_id NOT LIKE '%7')
             SELECT 'product_id' AS foreign_key, product_id AS key_value, count(*) AS fact_rows
@@ -661,7 +707,54 @@ def statements() -> dict[str, str]:
         "top_price_increases": _top(PAIR, FACTS, ">", "DESC"),
         "top_price_decreases": _top(PAIR, FACTS, "<", "ASC"),
         "top_price_increases_since_first": _top(FIRST_PAIR, EVENT_FACTS, ">", "DESC"),
-        "run_ledger": f"WITH {RUNS} SELECT * FROM runs",
+        "run_ledger": f"WITH {RUNS} SELECT *, true AS ended FROM runs",
+        "runs_recovered": f"""WITH {FACTS}
+            SELECT 1::BIGINT AS run_id, 'FAILED' AS status, 0::BIGINT AS records_received, 0::BIGINT AS records_validated,
+                   0::BIGINT AS records_transformed, 0::BIGINT AS records_loaded,
+                   'The run ended without a result' AS error_message
+            UNION ALL
+            SELECT 2, 'SUCCESS', count(*), count(*) FILTER (TRY_CAST(amount_min AS DOUBLE) >= 0
+                     AND TRY_CAST(amount_max AS DOUBLE) >= TRY_CAST(amount_min AS DOUBLE)),
+                   (SELECT count(*) FROM clean), (SELECT count(*) FROM facts), NULL
+            FROM raw""",
+        "products_appended": f"""WITH {CLEAN},
+            loads AS (SELECT *, date_seen >= TIMESTAMP '{EARLIER_LOAD}' AS late FROM clean),
+            a AS (WITH {PRODUCTS.format(source='(SELECT * FROM loads WHERE NOT late)')} SELECT * FROM products),
+            b AS (WITH {PRODUCTS.format(source='(SELECT * REPLACE (upper(product_name) AS product_name) FROM loads WHERE late)')}
+                  SELECT * FROM products)
+            SELECT COALESCE(b.product_id, a.product_id) AS product_id,
+                   CASE WHEN b.product_id IS NULL THEN a.product_name ELSE b.product_name END AS product_name,
+                   CASE WHEN b.product_id IS NULL THEN a.brand ELSE b.brand END AS brand,
+                   CASE WHEN b.product_id IS NULL THEN a.category ELSE b.category END AS category,
+                   a.product_id IS NOT NULL AND b.product_id IS NOT NULL AS updated
+            FROM a FULL JOIN b ON a.product_id = b.product_id""",
+        "price_ids": f"""WITH {FACTS},
+            sizes AS (SELECT count(*) FILTER (observed_at < TIMESTAMP '{EARLIER_LOAD}') AS n, count(*) AS total FROM facts)
+            SELECT 1::BIGINT AS load, n AS facts, n AS ids, 1::BIGINT AS first_id, n AS last_id FROM sizes
+            UNION ALL SELECT 2, total - n, total - n, n + 1, total FROM sizes""",
+        "rejects_replayed": f"""WITH {FACTS},
+            waiting AS (
+              SELECT reject_reason, price_problem IN ('price_range', 'price_negative') AND len(list_filter(string_split(dates, ','),
+                       lambda piece: TRY_CAST(trim(piece) AS TIMESTAMP) IS NOT NULL)) > 0 AS loaded
+              FROM observed WHERE reject_reason IS NOT NULL
+            ),
+            again AS (
+              SELECT product_id, merchant, unnest(string_split(dates, ',')) AS piece, price_max AS price_min,
+                     CASE price_problem WHEN 'price_range' THEN price_min ELSE price_max END AS price_max, currency, condition
+              FROM priced WHERE price_problem IN ('price_range', 'price_negative')
+            ),
+            more AS (
+              SELECT *, TRY_CAST(trim(piece) AS TIMESTAMP) AS date_seen, (price_min + price_max) / 2 AS price FROM again
+            ),
+            every AS (
+              SELECT * FROM facts UNION
+              SELECT product_id, merchant, date_seen, {_money('price')}, {_money('price_min')}, {_money('price_max')},
+                     COALESCE(currency, ''), COALESCE(condition, '')
+              FROM more WHERE date_seen IS NOT NULL AND product_id <> '' AND merchant IS NOT NULL
+            )
+            SELECT reject_reason, count(*) AS rejects, count(*) FILTER (loaded) AS loaded,
+                   (SELECT count(*) FROM every) AS stored_facts
+            FROM waiting GROUP BY reject_reason""",
         "run_summary": f"""WITH {RUNS}
             SELECT status, count(*) AS runs,
                    CAST(sum(records_received) AS BIGINT) AS records_received,
@@ -694,6 +787,7 @@ def statements() -> dict[str, str]:
             FROM received, cleaned, stored, (VALUES (2), (3)) AS r(run)""",
         "incremental_load": _EVENT_ROWS,
         "incremental_replay": _EVENT_ROWS,
+        "incremental_mixed_files": _EVENT_ROWS,
     }
     found["incremental_rejects"] = found["quarantine"]
     found["incremental_runs"] = f"""WITH {FACTS},

@@ -37,6 +37,7 @@ CONDITION_WIDTH = 100
 PRODUCT_ID_WIDTH = 255
 BRAND_WIDTH = 255
 MERCHANT_WIDTH = 500
+STATUS_WIDTH = 50
 
 MONEY = T.DecimalType(12, 2)
 

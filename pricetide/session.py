@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from .errors import SharedFolderMissing
@@ -46,9 +45,9 @@ def release(spark: SparkSession, base: str | None = None) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def missing_path(error: AnalysisException) -> bool:
-    """Whether a read failed because there is nothing there yet."""
-    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def _own(spark: SparkSession, base: str) -> str:

@@ -4,7 +4,7 @@ Every load writes new folders only and then appends one commit record. Readers f
 the commit records, so a load that fails half way, or is repeated, leaves nothing
 visible behind. One writer at a time.
 
-    products/version=<load>/               rewritten by each load (type-1 upsert)
+    products/load=<load>/                  products of that load; the newest row of a key counts
     merchants/load=<load>/                 new merchants of that load
     price_history/load=<load>/observed_year=/observed_month=/
     rejects/load=<load>/                   rows the load could not take, with the reason
@@ -16,17 +16,16 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import LoadRejected
-from ..operators.dimensions import dim_merchants, dim_products, new_merchants, upsert_products
+from ..operators.dimensions import dim_merchants, dim_products, new_merchants
 from ..operators.facts import distinct_facts, loadable, new_facts, prepare_facts, star
 from ..operators.quality import require_loadable
 from ..schema import MERCHANTS, PRICE_HISTORY, PRODUCTS
-from ..session import missing_path
+from ..session import folder_exists
 
 COMMITS = T.StructType(
     [
@@ -38,6 +37,7 @@ COMMITS = T.StructType(
         T.StructField("rejected", T.LongType()),
         T.StructField("committed_at", T.TimestampType()),
         T.StructField("batch", T.StringType()),
+        T.StructField("products_base", T.LongType()),
     ]
 )
 
@@ -71,12 +71,9 @@ class Warehouse:
         return "/".join([self.root, *map(str, parts)])
 
     def commits(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(COMMITS).json(self._path("commits"))
-        except AnalysisException as error:
-            if not missing_path(error):
-                raise
+        if not folder_exists(self.spark, self._path("commits")):
             return self.spark.createDataFrame([], COMMITS)
+        return self.spark.read.schema(COMMITS).json(self._path("commits"))
 
     def _committed(self) -> list:
         """Commit records in order: one small row per load ever made."""
@@ -93,13 +90,42 @@ class Warehouse:
         return reader.parquet(*folders).select(*schema.names)
 
     def products(self, done: list | None = None) -> DataFrame:
+        """The newest row of each product, since it was first seen.
+
+        A load appends its products, whether they were stored before or not, so that it
+        writes and reads no more than itself. Readers take the newest; ``compact_products``
+        keeps what they read from growing with the number of loads.
+        """
         done = self._committed() if done is None else done
-        folders = [self._path("products", f"version={done[-1].load}")] if done else []
-        return self._read("products", PRODUCTS, folders)
+        base = max((c.products_base or 0 for c in done), default=0)
+        folders = [self._path("products", f"load={c.load}") for c in done if c.load >= base]
+        with_load = T.StructType([*PRODUCTS.fields, T.StructField("load", T.LongType())])
+        rows = self._read("products", with_load, folders)
+        if len(folders) < 2:
+            return rows.drop("load")
+        names = [f.name for f in PRODUCTS.fields]
+        latest = [n for n in names if n not in ("product_id", "created_at")]
+        newest = rows.groupBy("product_id").agg(
+            F.max_by(F.struct(*latest), "load").alias("last"), F.min("created_at").alias("created_at")
+        )
+        return newest.select(
+            *[n if n in ("product_id", "created_at") else F.col(f"last.{n}").alias(n) for n in names]
+        )
+
+    def compact_products(self) -> int:
+        """Write the newest row of every product as one table that later reads start from."""
+        done = self._committed()
+        if not done:
+            return 0
+        load = done[-1].load + 1
+        self._write(self.products(done), "products", f"load={load}")
+        last = done[-1]
+        self._commit((load, last.next_merchant_id, last.next_price_id, 0, 0, 0, None, None, load))
+        return load
 
     def merchants(self, done: list | None = None) -> DataFrame:
         done = self._committed() if done is None else done
-        folders = [self._path("merchants", f"load={c.load}") for c in done]
+        folders = [self._path("merchants", f"load={c.load}") for c in done if c.products_base is None]
         return self._read("merchants", MERCHANTS, folders)
 
     def price_history(self, done: list | None = None) -> DataFrame:
@@ -141,51 +167,56 @@ class Warehouse:
             raise LoadRejected(f"Load {load} is already committed")
         now = F.current_timestamp()
 
-        changed = upsert_products(self.products(done), dim_products(clean_rows), now)
-        self._write(changed.drop("change"), "products", f"version={load}")
+        stamped = dim_products(clean_rows).withColumns({"created_at": now, "updated_at": now})
+        self._write(stamped, "products", f"load={load}")
 
         known = self.merchants(done)
         next_id = done[-1].next_merchant_id if done else 1
+        seen = Observation()
         added = new_merchants(known, dim_merchants(clean_rows), now, first_id=next_id)
-        self._write(added, "merchants", f"load={load}")
+        self._write(added.observe(seen, F.count(F.lit(1)).alias("rows")), "merchants", f"load={load}")
+        next_id += seen.get["rows"]
         added = self._read("merchants", MERCHANTS, [self._path("merchants", f"load={load}")])
-        next_id += added.count()
 
         # Typed, mapped and judged once; rejects and facts are both read from it.
+        seen = Observation()
         prepared = prepare_facts(clean_rows, known.unionByName(added))
-        self._write(prepared, "staged", "prepared")
+        watched = prepared.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.count("reject_reason").alias("refused"),
+            F.count(F.when(F.col("reject_reason") == "product_missing", 1)).alias("missing"),
+        )
+        self._write(watched, "staged", "prepared")
+        received, refused, missing = (seen.get[name] for name in ("rows", "refused", "missing"))
         prepared = self.spark.read.schema(prepared.schema).parquet(self._path("staged", "prepared"))
         self._write(prepared.where(F.col("reject_reason").isNotNull()), "rejects", f"load={load}")
-        rejected = self.rejects(load)
-        missing = rejected.where("reject_reason = 'product_missing'").count()
         if policy == "strict" and missing:
             raise LoadRejected(f"{missing} rows have no product id")
 
         self._write(distinct_facts(loadable(prepared)), "staged", "facts")
         facts = self.spark.read.parquet(self._path("staged", "facts"))
-        fresh = new_facts(facts, self._same_months(clean_rows, done))
+        fresh = new_facts(facts, self._same_months(facts, done)) if done else facts
         first_price = done[-1].next_price_id if done else 1
-        inserted, next_price = self._append_facts(fresh, load, first_price)
+        inserted = self._append_facts(fresh, load, first_price)
+        self._commit((load, next_id, first_price + inserted, received, inserted, refused, None, batch, None))
+        return LoadResult(load, received, inserted, received - refused - inserted, refused)
 
-        received = clean_rows.count()
-        refused = rejected.count()
-        record = (load, next_id, next_price, received, inserted, refused)
-        commit = self.spark.createDataFrame([(*record, None, batch)], COMMITS)
-        commit = commit.withColumn("committed_at", now)
+    def _commit(self, record: tuple) -> None:
+        commit = self.spark.createDataFrame([record], COMMITS).withColumn("committed_at", F.current_timestamp())
         commit.coalesce(1).write.mode("append").json(self._path("commits"))
-        return LoadResult(load, received, inserted, received - refused - inserted, refused)
 
     def _write(self, rows: DataFrame, *folder: str, by: Iterable[str] = ()) -> None:
         # Overwriting makes a repeated, uncommitted load start clean.
         rows.write.mode("overwrite").partitionBy(*by).parquet(self._path(*folder))
 
-    def _same_months(self, clean_rows: DataFrame, done: list) -> DataFrame:
+    def _same_months(self, facts: DataFrame, done: list) -> DataFrame:
         """Stored facts of the months a batch touches, so that no others are read.
 
         Observation times are bounded by the parser, so there are at most 7,032 months.
         """
         stored = self.price_history(done)
-        touched = clean_rows.select("observed_year", "observed_month").distinct().collect()
+        touched = facts.select("observed_year", "observed_month").distinct().collect()
         by_year: dict[int, list[int]] = {}
         for year, month in touched:
             by_year.setdefault(year, []).append(month)
@@ -194,27 +225,39 @@ class Warehouse:
             keep = keep | ((F.col("observed_year") == year) & F.col("observed_month").isin(months))
         return stored.where(keep)
 
-    def _append_facts(self, fresh: DataFrame, load: int, first_price: int) -> tuple[int, int]:
+    def _append_facts(self, fresh: DataFrame, load: int, first_price: int) -> int:
+        """Store new facts under ids that follow each other without gaps; return their number.
+
+        Facts are laid out and written once with their place inside the task that wrote them.
+        Counts per task give each task its first id, and a second pass over the written files
+        adds the two: a repeated task finds the same files and gives the same ids.
+        """
+        task = F.spark_partition_id()
         laid_out = (
             fresh.repartitionByRange(*LAYOUT)
             .sortWithinPartitions(*LAYOUT)
-            .withColumns(
-                {
-                    # Unique and rising within the load; gaps are allowed, a second
-                    # pass over the facts to close them is not worth it.
-                    "price_id": F.lit(first_price) + F.monotonically_increasing_id(),
-                    "created_at": F.current_timestamp(),
-                }
-            )
+            .withColumns({"_task": task, "_row": F.monotonically_increasing_id() - F.shiftleft(task.cast("long"), 33)})
+        )
+        self._write(laid_out, "staged", "numbered")
+        numbered = self.spark.read.schema(laid_out.schema).parquet(self._path("staged", "numbered"))
+        # One row per task that wrote facts.
+        sizes = numbered.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
+        upto = F.sum("_n").over(Window.orderBy("_task"))
+        starts = sizes.withColumns({"_start": upto - F.col("_n"), "_all": upto}).persist()
+        inserted = starts.agg(F.coalesce(F.max("_all"), F.lit(0))).first()[0]
+        facts = numbered.join(starts.select("_task", "_start"), "_task").withColumns(
+            {
+                "price_id": F.lit(first_price) + F.col("_start") + F.col("_row"),
+                "created_at": F.current_timestamp(),
+            }
         )
         folder = f"load={load}"
-        self._write(laid_out, "price_history", folder, by=["observed_year", "observed_month"])
-        written = self._read("price_history", PRICE_HISTORY, [self._path("price_history", folder)])
-        require_loadable(written)
-        inserted, highest = written.agg(
-            F.count(F.lit(1)), F.coalesce(F.max("price_id"), F.lit(first_price - 1))
-        ).first()
-        return inserted, highest + 1
+        by = ["observed_year", "observed_month"]
+        ordered = facts.drop("_task", "_row", "_start").sortWithinPartitions(*LAYOUT)
+        self._write(ordered, "price_history", folder, by=by)
+        starts.unpersist()
+        require_loadable(self._read("price_history", PRICE_HISTORY, [self._path("price_history", folder)]))
+        return inserted
 
 
 def export_jdbc(

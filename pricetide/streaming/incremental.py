@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
-
 from ..plans.pipeline import run_batch
-from ..schema import RAW_SCHEMA
 from ..session import prepare
-from ..sources.raw import landed, stream_raw_prices
+from ..sources.raw import scan_for_landing, stream_arrivals
 from ..sources.warehouse import Warehouse
 
 
@@ -18,7 +15,6 @@ def load_arrivals(
     source: str,
     root: str,
     *,
-    schema: StructType = RAW_SCHEMA,
     max_files: int | None = None,
     once: bool = True,
     interval: str = "1 minute",
@@ -26,28 +22,30 @@ def load_arrivals(
     """Start a stream that takes every file not seen before through the pipeline.
 
     Each micro-batch is landed, reported on, cleaned and loaded as a run of its own in the
-    ledger, with its rejects kept. With ``once`` it works through what has arrived and ends; otherwise it keeps
-    looking. The load key makes it safe to repeat a micro-batch and to receive an
-    observation late or twice: what is stored is skipped, so no watermark or state is
-    needed and lateness is unlimited.
+    ledger, with its rejects kept. Every file is read by its own header, as in a batch load.
+    With ``once`` it works through what has arrived and ends; otherwise it keeps looking. The
+    load key makes it safe to repeat a micro-batch and to receive an observation late or twice:
+    what is stored is skipped, so no watermark or state is needed and lateness is unlimited.
     """
     prepare(spark)
     store = root.rstrip("/")
     options = {"recursiveFileLookup": True}
     if max_files:
         options["maxFilesPerTrigger"] = max_files
-    arrivals = stream_raw_prices(spark, source, schema, **options)
+    arrivals = stream_arrivals(spark, source, **options)
 
     def load(rows: DataFrame, batch_id: int) -> None:
         session, batch = rows.sparkSession, f"stream-{batch_id}"
         if Warehouse(session, root).has(batch):
             return  # a repeat of a micro-batch that was committed
 
-        def land(name: str) -> DataFrame:
-            rows.write.mode("overwrite").parquet(f"{store}/raw/_batch_id={name}")
-            return landed(session, f"{store}/raw", name)
+        # The stream's own log lists the files of a micro-batch on the driver, too.
+        files = [row.file for row in rows.distinct().collect()]
+
+        def scan(name: str) -> DataFrame:
+            return scan_for_landing(session, sorted(files), f"{store}/raw", name)
 
-        run_batch(session, store, land, policy="quarantine", batch=batch)
+        run_batch(session, store, scan, policy="quarantine", batch=batch)
 
     writer = arrivals.writeStream.foreachBatch(load).option(
         "checkpointLocation", f"{store}/stream_checkpoint"

@@ -1,14 +1,17 @@
 import itertools
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from decimal import Decimal
 from types import SimpleNamespace
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from pricetide import session
 from pricetide.errors import FeedRejected, LoadRejected, SharedFolderMissing
 from pricetide.operators import cleaning
+from pricetide.operators.quality import quality_trend
+from pricetide.plans import replay
 from pricetide.plans.ledger import RunLedger, run_summary
 from pricetide.plans.pipeline import run_pipeline
 from pricetide.sources import raw as raw_source
@@ -248,14 +251,6 @@ def test_a_batch_that_was_committed_is_not_loaded_again(spark, tmp_path, feed):
     assert store.commits().count() == 1
 
 
-def test_only_a_missing_path_means_an_empty_store(spark, tmp_path):
-    with pytest.raises(AnalysisException) as missing:
-        spark.read.json(str(tmp_path / "nothing"))
-    with pytest.raises(AnalysisException) as other:
-        spark.table("nothing")
-    assert session.missing_path(missing.value) and not session.missing_path(other.value)
-
-
 def test_shared_folder_is_never_guessed(spark, tmp_path):
     bare = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=spark.sparkContext)
     with pytest.raises(SharedFolderMissing, match="spark.checkpoint.dir"):
@@ -275,3 +270,124 @@ def test_a_small_batch_does_not_shuffle_the_store(spark, tmp_path, feed):
     fresh = new_facts(spark.read.parquet(str(tmp_path / "batch")), spark.read.parquet(str(tmp_path / "stored")))
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and fresh.count() == 0
+
+
+# --- headers -----------------------------------------------------------------------------------
+
+
+def test_headers_are_kept_and_the_feed_is_scanned_once(spark, tmp_path):
+    names = HEADER.split(",")
+    write(tmp_path / "feed" / "a.csv", line("p1"))
+    write(tmp_path / "feed" / "b.csv", ",".join(reversed(line("p2").split(","))), header=",".join(reversed(names)))
+    (tmp_path / "feed" / "empty.csv").write_text("")
+    table = str(tmp_path / "raw")
+    rows = raw_source.scan_for_landing(spark, str(tmp_path / "feed"), table, "b1")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2 and "Exchange" not in plan  # one scan for each kind of header
+    raw_source.write_landed(rows, table, "b1")
+    kept = {r.file.rsplit("/", 1)[1]: r.header for r in raw_source.landed_headers(spark, table).collect()}
+    assert kept == {"a.csv": HEADER, "b.csv": ",".join(reversed(names))}
+    landed = raw_source.landed(spark, table, "b1").orderBy("id").collect()
+    assert [(r.id, r["prices.merchant"], r._source_file.rsplit("/", 1)[1]) for r in landed] == [("p1", "shop", "a.csv"), ("p2", "shop", "b.csv")]
+
+
+def test_many_files_share_a_look(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(raw_source, "FILES_PER_LOOK", 3)
+    files = [write(tmp_path / f"{i}.csv", line(f"p{i}"), header=HEADER + (",more" if i % 2 else "")) for i in range(7)]
+    found = raw_source.file_headers(spark, files)
+    assert sorted((r.file, r.header.endswith("more")) for r in found.collect()) == [(f, bool(i % 2)) for i, f in enumerate(files)]
+    assert raw_source.scan_raw_prices(spark, files).where("more is null").count() == 7
+
+
+def test_stream_takes_files_of_any_column_order(spark, tmp_path):
+    root, folder, names = str(tmp_path / "stream"), tmp_path / "arrivals", HEADER.split(",")
+    write(folder / "0.csv", line("p0"))
+    write(folder / "1.csv", ",".join(reversed(line("p1").split(","))), header=",".join(reversed(names)))
+    load_arrivals(spark, str(folder), root).awaitTermination()
+    write(folder / "2.csv", "x," + line("p2"), header="extra," + HEADER)
+    load_arrivals(spark, str(folder), root).awaitTermination()
+    assert [r[:2] for r in stored(spark, root)] == [("p0", "shop"), ("p1", "shop"), ("p2", "shop")]
+
+
+# --- ledger ------------------------------------------------------------------------------------
+
+
+def test_openers_never_share_a_number(spark, tmp_path):
+    root = str(tmp_path / "store")
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(lambda _: RunLedger(spark, root).open(), range(8)))
+    assert sorted(set(numbers)) == sorted(numbers) and len(numbers) == 8
+    assert sorted(r.run_id for r in RunLedger(spark, root).runs().collect()) == sorted(numbers)
+
+
+def test_dead_runs_are_closed_by_age(spark, tmp_path):
+    ledger = RunLedger(spark, str(tmp_path / "store"))
+    ended, dead = ledger.open(), ledger.open()
+    ledger.close(ended, "SUCCESS", {"records_loaded": 3})
+    assert ledger.close_dead(3600) == []
+    third = ledger.open(dead_after=0)
+    runs = {r.run_id: r for r in ledger.runs().collect()}
+    assert [runs[i].status for i in (ended, dead, third)] == ["SUCCESS", "FAILED", "RUNNING"]
+    assert runs[dead].error_message == "The run ended without a result"
+    assert runs[dead].completed_at >= runs[dead].started_at and runs[ended].records_loaded == 3
+
+
+# --- products and ids --------------------------------------------------------------------------
+
+
+def test_a_load_writes_its_own_products_only(spark, tmp_path, feed):
+    store = Warehouse(spark, str(tmp_path / "store"))
+    store.load(cleaning.clean(feed(*[{"id": f"p{i}"} for i in range(20)])))
+    store.load(cleaning.clean(feed({"id": "p3", "name": "new"})))
+    assert spark.read.parquet(f"{store.root}/products/load=2").count() == 1
+    before = sorted(map(str, store.products().collect()))
+    assert store.products().where("product_name = 'new' and updated_at > created_at").count() == 1
+    assert store.compact_products() == 3
+    assert sorted(map(str, store.products().collect())) == before and len(before) == 20
+    assert "Aggregate" not in store.products()._jdf.queryExecution().executedPlan().toString()
+    store.load(cleaning.clean(feed({"id": "p4", "name": "newer", "prices.merchant": "another"})))
+    assert store.products().count() == 20 and store.products().where("product_name = 'newer'").count() == 1
+    assert sorted(r.merchant_id for r in store.merchants().collect()) == [1, 2]
+
+
+def test_ids_are_dense_and_the_same_after_a_retry(spark, tmp_path, feed, monkeypatch):
+    rows = [{"id": f"p{i % 37}", "prices.dateSeen": f"20{10 + i % 9}-0{1 + i % 9}-01"} for i in range(300)]
+    clean = cleaning.clean(feed(*rows))
+    store = Warehouse(spark, str(tmp_path / "store"))
+    monkeypatch.setattr("pricetide.sources.warehouse.require_loadable", lambda rows: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.load(clean)
+    monkeypatch.undo()
+    first = spark.read.parquet(f"{store.root}/price_history/load=1").select("product_id", "observed_at", "price_id")
+    first = sorted(map(tuple, first.collect()))
+    n = store.load(clean).inserted
+    again = sorted(map(tuple, store.price_history().select("product_id", "observed_at", "price_id").collect()))
+    assert again == first and sorted(r[2] for r in again) == list(range(1, n + 1))
+    store.load(cleaning.clean(feed({"id": "late", "prices.dateSeen": "2031-01-01"})))
+    assert store.price_history().where("product_id = 'late'").first().price_id == n + 1
+
+
+# --- rejects -----------------------------------------------------------------------------------
+
+
+def test_repaired_rejects_load_once(spark, tmp_path):
+    path = write(tmp_path / "a.csv", line("a"), line("b", low="5", high="2"), line("c", low="x"), line("d", low="9", high="3", date="bad"))
+    root = str(tmp_path / "store")
+    run_pipeline(spark, path, root, policy="quarantine")
+    low, high = F.col("`prices.amountMin`"), F.col("`prices.amountMax`")
+    rules = {"price_range": {"prices.amountMin": high, "prices.amountMax": low}}
+    run = replay.replay_rejects(spark, root, rules)
+    assert (run.run_id, run.load.inserted) == (2, 1)
+    assert replay.replay_rejects(spark, root, rules) is None
+    states = {r.id: r.run_id for r in replay.reject_states(spark, root).collect()}
+    assert states == {"b": 2, "c": None, "d": None}
+    assert [(r[0], r[3]) for r in stored(spark, root)] == [("a", Decimal("1.50")), ("b", Decimal("3.50"))]
+
+
+def test_reports_are_followed_from_batch_to_batch(spark, tmp_path):
+    root = str(tmp_path / "store")
+    for i, bad in enumerate([0, 1, 3]):
+        run_pipeline(spark, write(tmp_path / f"{i}.csv", line(), *[line(low="x", product=f"q{k}") for k in range(bad)]), root, policy="quarantine")
+    trend = quality_trend(spark.read.json(f"{root}/reports"), over=1).where("metric = 'null_price_rows'")
+    rows = [(r.run_id, r.value, r.share, r.usual_share, r.change, r.first_failing) for r in trend.orderBy("run_id").collect()]
+    assert rows == [(1, 0, 0.0, None, None, 2), (2, 1, 0.5, 0.0, 0.5, 2), (3, 3, 0.75, 0.5, 0.25, 2)]

@@ -84,7 +84,7 @@ def test_previous_price_equals_a_python_walk(spark, rows):
     for p, day, price in sorted(rows):
         expected.append((p, day, price, last.get(p)))
         last[p] = price
-    for limits in ({}, {"small_bytes": -1, "light_rows": 2}):
+    for limits in ({}, {"rows_per_task": 2}):
         got = [
             (r.product_id, r.observed_at.day, int(r.price), None if r.previous_price is None else int(r.previous_price))
             for r in history.previous_price(table, **limits).collect()

@@ -95,12 +95,23 @@ def test_constraints_and_orphans(spark):
     facts = spark.createDataFrame(
         [fact(), fact(price_min=Decimal("-1.00")), fact(price_min=Decimal("3.00")), fact(product_id="q", merchant_id=9)],
         FACT,
+    ).withColumn("price_id", F.when(F.col("product_id") == "p", F.lit(1).cast("bigint")))
+    runs = spark.createDataFrame(
+        [
+            (1, "2020-01-01", "2020-01-02", "SUCCESS", 1, 1, 1, 1),
+            (1, "2020-01-01", None, "RUNNING", 0, 0, 0, 0),
+            (2, None, None, "FAILED", 0, 0, 0, -1),
+            (3, "2020-01-02", "2020-01-01", "x" * 51, 0, 0, 0, 0),
+            (None, "2020-01-01", None, None, None, None, None, None),
+        ],
+        """run_id bigint, started_at string, completed_at string, status string, records_received bigint,
+        records_validated bigint, records_transformed bigint, records_loaded bigint""",
     )
     products = spark.createDataFrame(
         [("p", "a", "b" * 256), ("p", "a", ""), ("r", None, "")], "product_id string, product_name string, brand string"
     )
     merchants = spark.createDataFrame([(1, "m"), (2, "m"), (3, "x" * 501)], "merchant_id int, merchant_name string")
-    counts = {r.check_name: r.violations for r in quality.constraint_violations(facts, products, merchants).collect()}
+    counts = {r.check_name: r.violations for r in quality.constraint_violations(facts, products, merchants, runs).collect()}
     broken = {name: n for name, n in counts.items() if n}
     assert broken == {
         "products.product_name not null": 1,
@@ -108,11 +119,29 @@ def test_constraints_and_orphans(spark):
         "products.product_id unique": 1,
         "merchants.merchant_name unique": 1,
         "merchants.merchant_name length": 1,
+        "price_history.price_id not null": 1,
+        "price_history.price_id unique": 2,
         "price_history.price_min >= 0": 1,
         "price_history.price_min <= price_max": 1,
+        "pipeline_runs.run_id unique": 1,
+        "pipeline_runs.run_id not null": 1,
+        "pipeline_runs.started_at not null": 1,
+        "pipeline_runs.status not null": 1,
+        "pipeline_runs.status length": 1,
+        "pipeline_runs.status known": 1,
+        "pipeline_runs.records_loaded >= 0": 1,
+        "pipeline_runs.completed_at >= started_at": 1,
+        "pipeline_runs.completed_at of ended runs": 1,
     }
     orphans = quality.fk_orphans(facts, products, merchants).collect()
     assert {(r.foreign_key, r.key_value, r.fact_rows) for r in orphans} == {
         ("product_id", "q", 1),
         ("merchant_id", "9", 1),
     }
+
+
+def test_constraints_read_a_table_once(spark, tmp_path):
+    spark.createDataFrame([fact()], FACT).withColumn("price_id", F.lit(1)).write.parquet(str(tmp_path / "facts"))
+    found = quality.violations(spark.read.parquet(str(tmp_path / "facts")), quality.price_rules())
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert found.count() == 15 and found.where("violations > 0").isEmpty()
