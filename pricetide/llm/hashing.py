@@ -6,10 +6,13 @@ prefix sums (Rabin-Karp), so any window of any length costs one subtraction and
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
+_C = ctypes.CDLL(None)
 _BYTE = np.random.default_rng(20240229).integers(0, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _BASE, _WORD_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 _SEPARATOR = np.zeros(256, bool)
@@ -42,22 +45,71 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return known
 
 
-def prefix_sums(values: np.ndarray, base: int) -> np.ndarray:
-    out = np.zeros(len(values) + 1, U)
-    np.cumsum(values * powers(base, len(values))[0][: len(values)], out=out[1:])
-    return out
+#: Sums are taken modulo two primes below 2**31: modulo a power of two, long regular strings
+#: (such as the Thue-Morse word and its complement) are equal for every base.
+_PRIMES = (2147483647, 2147483629)
+_random = np.random.default_rng(20261201)
+_BASES = [int(_random.integers(1 << 20, p - 1)) for p in _PRIMES]
+_BYTES = [_random.integers(1, p, 256, dtype=np.uint64) for p in _PRIMES]
+_tables: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, U), np.ones(1, U))] * 2
+
+
+def _table(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse modulo its prime, n at least; kept while small."""
+    p, known = _PRIMES[k], _tables[k]
+    if len(known[0]) < n:
+        up, down = np.ones(1, U), np.ones(1, U)
+        base, inverse = _BASES[k], pow(_BASES[k], -1, p)
+        while len(up) < max(n, 1 << 16):
+            up = np.concatenate((up, up * U(pow(base, len(up), p)) % U(p)))
+            down = np.concatenate((down, down * U(pow(inverse, len(down), p)) % U(p)))
+        known = up, down
+        if len(up) <= 1 << 21:
+            _tables[k] = known
+    return known
+
+
+class Sums:
+    """Running sums of a sequence of numbers times powers, so that any range has a hash.
+
+    Ranges of n values that differ get equal hashes with odds of about 2**-62, and of at most
+    (n / 2**31)**2 whatever the values are.
+    """
+
+    def __init__(self, first: np.ndarray, second: np.ndarray):
+        self.sums = []
+        for k, values in enumerate((first, second)):
+            out = np.zeros(len(values) + 1, U)
+            terms = values * _table(k, len(values) + 1)[0][: len(values)]
+            terms %= U(_PRIMES[k])
+            np.cumsum(terms, out=out[1:])
+            self.sums.append(out)
+
+    def range(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        found = []
+        for k, sums in enumerate(self.sums):
+            p = U(_PRIMES[k])
+            found.append((sums[end] - sums[start]) % p * _table(k, len(sums))[1][start] % p)
+        return found[0] << U(31) | found[1]
+
+
+def byte_sums(data: np.ndarray) -> Sums:
+    return Sums(_BYTES[0][data], _BYTES[1][data])
 
 
-def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
-    return (sums[end] - sums[start]) * powers(base, len(sums))[1][start]
+def hash_sums(hashes: np.ndarray) -> Sums:
+    return Sums(hashes % U(_PRIMES[0]), mix(hashes ^ U(_WORD_BASE)) % U(_PRIMES[1]))
 
 
-def byte_sums(data: np.ndarray) -> np.ndarray:
-    return prefix_sums(_BYTE[data], _BASE)
+def byte_range_hash(sums: Sums, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return mix(sums.range(start, end))
 
 
-def byte_range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix(range_hash(sums, start, end, _BASE))
+def give_back() -> None:
+    """Return freed memory to the system: workers are used again by later stages."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_C, "malloc_trim"):
+        _C.malloc_trim(0)
 
 
 def text_buffer(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -87,17 +139,17 @@ class Words:
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """First word and hash of every run of ``size`` words within one text."""
         if self._sums is None:
-            self._sums = prefix_sums(self.hash, _WORD_BASE)
+            self._sums = hash_sums(self.hash)
         at = np.arange(max(0, len(self.start) - size + 1))
         if len(at):
             at = at[self.text[at] == self.text[at + size - 1]]
-        return at, mix(range_hash(self._sums, at, at + size, _WORD_BASE) + U(size))
+        return at, mix(self._sums.range(at, at + size) + U(size))
 
     def whole(self) -> np.ndarray:
         """A hash of each text's whole word sequence."""
         if self._sums is None:
-            self._sums = prefix_sums(self.hash, _WORD_BASE)
-        return mix(range_hash(self._sums, self.first[:-1], self.first[1:], _WORD_BASE) + self.count.astype(U))
+            self._sums = hash_sums(self.hash)
+        return mix(self._sums.range(self.first[:-1], self.first[1:]) + self.count.astype(U))
 
 
 def covered(starts: np.ndarray, size: int | np.ndarray, n: int) -> np.ndarray:

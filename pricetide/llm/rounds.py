@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.hashing import U, pack, squeeze, unpack, unsqueeze
+from pricetide.llm.hashing import U, give_back, pack, squeeze, unpack, unsqueeze
 from pricetide.llm.shared import ship, text_bytes
 
 SENT = "bucket int, chunk int, hashes binary, extra binary"
@@ -100,6 +100,7 @@ def answer(
         values = np.empty(len(order), np.uint8)
         values[order] = judge(first, group, order, rows["extra"].to_pylist(), [len(x) for x in lists])
         ends = np.cumsum([len(x) for x in lists])
+        give_back()
         return pa.table(
             {
                 "chunk": chunks,

@@ -34,12 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from pricetide.llm import rounds
-from pricetide.llm.hashing import _BASE, _BYTE, U, byte_range_hash, byte_sums, mix, squeeze, unsqueeze
+from pricetide.llm.hashing import _BASE, _BYTE, U, byte_range_hash, byte_sums, give_back, mix, squeeze, unsqueeze
 from pricetide.llm.shared import table
 
 DEPTH = 200
 SEED = 32
-_BLOCK = 1 << 20  # bytes of text worked on at a time
+_BLOCK = 1 << 18  # bytes of text worked on at a time
 _PLACE = U(0xFFFFFF)
 OUT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
 OUT_TYPE = pa.schema(
@@ -146,7 +146,9 @@ def _send_seeds(depth, seed, buckets):
         def extra(lo: int, hi: int) -> bytes:
             return x[lo:hi].astype("<u8").tobytes() + squeeze(many[lo:hi])
 
-        return pa.table(rounds.send(_number(chunk), a, buckets, extra), schema=rounds.SENT_TYPE)
+        sent = pa.table(rounds.send(_number(chunk), a, buckets, extra), schema=rounds.SENT_TYPE)
+        give_back()
+        return sent
 
     return send
 
@@ -186,6 +188,7 @@ def _send_windows(depth, seed, buckets):
         hashes, count = np.unique(suffixes.windows(chosen)[1], return_counts=True)
         many = (count > 1).astype(np.uint8)
         sent = rounds.send(_number(chunk), hashes, buckets, lambda lo, hi: squeeze(many[lo:hi]))
+        give_back()
         return pa.table(sent, schema=rounds.SENT_TYPE)
 
     return send
@@ -240,6 +243,7 @@ def _cutter(depth, seed, content, others):
             row = (doc, len(texts[i]), len(texts[i]) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept if content == "bytes" else whole)
             for name, value in zip(out, row):
                 out[name].append(value)
+        give_back()
         return pa.table(out | {f.name: chunk[f.name] for f in others}, schema=schema)
 
     return cut

@@ -86,7 +86,8 @@ class Pieces:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        # The library takes the names of added tokens out of a text before it splits the rest.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = end
         self.forget()
 
@@ -120,7 +121,7 @@ class Pieces:
             self.forget()
         numbers, counts = [], []
         for text in texts:
-            if _UNSAFE.search(text):
+            if _UNSAFE.search(text) or any(name in text for name in self.added):
                 if text not in self.whole:
                     self.whole[text] = self.add(text)
                     self.chars += len(text)

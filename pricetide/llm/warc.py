@@ -61,7 +61,7 @@ class Archived:
 
 def parse_arc(data: bytes) -> Iterator[Archived]:
     """Records of an ARC file, the file description first."""
-    version, name, at = 1, "", 0
+    version, name, at, first = 1, "", 0, True
     while at < len(data):
         if data[at : at + 1] in (b"\n", b"\r"):  # blank lines between records
             at += 1
@@ -70,7 +70,8 @@ def parse_arc(data: bytes) -> Iterator[Archived]:
         if end < 0:
             raise ValueError(f"ARC header line at byte {at} does not end")
         line = data[at:end].rstrip(b"\r").decode("utf-8", "replace")
-        described = line.startswith("filedesc:")
+        described = first and line.startswith("filedesc:")  # later, it is a page of that name
+        first = False
         if described:  # the first line comes before its block names the version
             version = 2 if line.count(" ") >= len(FIELDS[2]) - 1 else 1
         names = FIELDS[version]

@@ -196,8 +196,7 @@ def test_token_files(spark, tmp_path):
 
     path = public_tokenizers.path(token_files.TOKENIZER)
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
-    texts = ["a  b", "a   b", " x", "x ", "x  ", "\n \n y", "it's <|endoftext|> 12 \t", "naïve—“q”", "tab\t  z", "a \n", "w" * 3000, "   z"]
+    texts = ["<|endoftext|>", "a <|endoftext|> b<|endoftext|>", "a  b", "a   b", " x", "x ", "x  ", "\n \n y", "it's <|endoftext|> 12 \t", "naïve—“q”", "tab\t  z", "a \n", "w" * 3000, "   z"]
     rows = [(50 + i, t, None, None) for i, t in enumerate(texts)] + corpus()[:15]
     out = str(tmp_path / "tokens")
     token_files.write_tokens(frame(spark, rows), out, path, part_bytes=5000)
