@@ -51,24 +51,30 @@ _PRIMES = (2147483647, 2147483629)
 _random = np.random.default_rng(20261201)
 _BASES = [int(_random.integers(1 << 20, p - 1)) for p in _PRIMES]
 _BYTES = [_random.integers(1, p, 256, dtype=np.uint64) for p in _PRIMES]
-_tables: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, U), np.ones(1, U))] * 2
+_tables: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, np.uint32), np.ones(1, np.uint32))] * 2
 
 
 def _table(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a base and of its inverse modulo its prime, n at least; kept while small."""
-    p, known = _PRIMES[k], _tables[k]
+    known = _tables[k]
     if len(known[0]) < n:
-        up, down = np.ones(1, U), np.ones(1, U)
-        base, inverse = _BASES[k], pow(_BASES[k], -1, p)
-        while len(up) < max(n, 1 << 16):
-            up = np.concatenate((up, up * U(pow(base, len(up), p)) % U(p)))
-            down = np.concatenate((down, down * U(pow(inverse, len(down), p)) % U(p)))
-        known = up, down
-        if len(up) <= 1 << 21:
+        size = max(n + n // 8, 1 << 16)
+        known = tuple(_powers_of(base, _PRIMES[k], size) for base in (_BASES[k], pow(_BASES[k], -1, _PRIMES[k])))
+        if size <= 1 << 22:
             _tables[k] = known
     return known
 
 
+def _powers_of(base: int, prime: int, size: int) -> np.ndarray:
+    out = np.ones(size, np.uint32)
+    done = 1
+    while done < size:
+        more = min(done, size - done)
+        out[done : done + more] = out[:more] * U(pow(base, done, prime)) % U(prime)
+        done += more
+    return out
+
+
 class Sums:
     """Running sums of a sequence of numbers times powers, so that any range has a hash.
 
@@ -80,9 +86,10 @@ class Sums:
         self.sums = []
         for k, values in enumerate((first, second)):
             out = np.zeros(len(values) + 1, U)
-            terms = values * _table(k, len(values) + 1)[0][: len(values)]
+            terms = out[1:]
+            np.multiply(values, _table(k, len(values) + 1)[0][: len(values)], out=terms)
             terms %= U(_PRIMES[k])
-            np.cumsum(terms, out=out[1:])
+            np.cumsum(terms, out=terms)
             self.sums.append(out)
 
     def range(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
