@@ -1,16 +1,23 @@
 """Main text of web pages by two passes of rules over blocks.
 
 A page is cut into blocks at block-level tags. The first pass decides blocks by stop-word density,
-length, link density and where they stand: a block in navigation, a page's header or footer, a
-side bar, a form or an element that names itself an advert, notice, menu or comments is bad; so
-is one that is mostly links; a long block with enough stop words is good. Short blocks that these
-rules leave open inherit in the second pass: from the nearest decided block in the same container
-(article, main, section, div, ..), then from the nearest on either side, a heading from what
-follows it. Blocks of an article without any decided block in it are good; if a page has no
-decided block at all, blocks outside an article are bad.
+length, link density and where they stand: a block in navigation, a page's header or footer or a
+side bar is bad; so is one that is mostly links, but for paragraphs of an article; a long block
+with enough stop words is good. Short blocks that these rules leave open inherit in the second
+pass: from the nearest decided block in the same container (article, main, section, div, ..), then
+from the nearest on either side, a heading from what follows it. Blocks of an article without any
+decided block in it are good; if a page has no decided block at all, blocks outside an article
+are bad.
+
+Names are doubts, not proof. Inside a form, or an element that calls itself an advert, notice, menu
+or comments, blocks count as bad while the page has main text elsewhere: a block in an article, or
+one that the rules find good. Otherwise the rules alone decide them, as if they had no name. A name
+tells when it ends in a telling word or only parts follow it (``comment-list``); ``related-work``
+and ``has-sidebar`` do not, nor do names on ``body`` and ``main``.
 
 Markup may be broken: unclosed tags end with their container, end tags without a start are
 ignored, a page may stop anywhere, and scripts, styles or comments without an end run to it.
+Time grows with the length of a page, whatever its nesting.
 
 Defined cases: null and empty html give an empty text; rows that repeat are pages of their own;
 nothing is capped; other columns are ignored.
@@ -20,6 +27,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -39,7 +47,8 @@ BLOCKS = set(
 )
 CONTAINERS = set("article aside body div fieldset figure footer form header main nav section table".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
-BAD_PLACES = set("nav footer aside form".split())
+PROSE = HEADINGS | set("blockquote dd dt figcaption p pre td th".split())
+BAD_PLACES = set("nav footer aside".split())
 # Words in class, id, role or aria-label by which parts of pages name themselves.
 BAD_NAMES = set(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist complementary "
@@ -47,6 +56,13 @@ BAD_NAMES = set(
     "popup promo promoted recommended related reply replies respond search share sharing sidebar signup social sponsor sponsored "
     "subscribe subscription toolbar widget".split()
 )
+# Words for parts of such elements, and words that only mention them.
+PARTS = set(
+    "area articles bar block blocks body bottom box button buttons column container content count feed footer form group header icons "
+    "info inner item items law left line link links list main message notice outer overlay panel policy posts right row section "
+    "settings slot stories text thread this title top unit wrap wrapper".split()
+)
+MENTIONS = set("has hide no with without".split())
 # Frequent function words of the languages served.
 STOP_WORDS = set(
     "a about after all also an and are as at be been but by can for from had has have he her his if in into is it its more no not "
@@ -71,31 +87,45 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Block:
     text: str
     linked: int  # characters inside links
-    heading: bool
+    tag: str  # of the block's start, "" after an end tag
     container: int
-    place: str  # "bad", "good" (in an article) or ""
+    place: str  # "bad", "doubtful", "good" (in an article) or ""
     label: str = ""
 
 
-def _place(tag: str, attributes: str, inside: str) -> str:
-    """What an element says of its content; ``inside`` is what its parents say."""
-    if tag in ("article", "main"):
-        return "good" if inside != "bad" else inside
+def _tells(name: str) -> bool:
+    """Whether a class, id or label names a part of pages that is not main text."""
+    words = [w.lower() for w in _NAME_WORD.findall(name)]
+    if not MENTIONS.isdisjoint(words):
+        return False
+    at = next((i for i, w in enumerate(words) if w in BAD_NAMES), None)
+    return at is not None and (words[-1] in BAD_NAMES or PARTS.issuperset(words[at + 1 :]))
+
+
+def _place(tag: str, attributes: str, inside: str, first: bool) -> str:
+    """What an element says of its content; ``inside`` is what its parents say, ``first`` whether
+    no article has ended before it."""
     if inside == "bad" or tag in BAD_PLACES or (tag == "header" and inside != "good"):
         return "bad"
+    named = tag == "form"
     if attributes:
         if re.search(r"\bhidden\b(?!=)", attributes) and not re.search(r"""["'][^"']*\bhidden\b""", attributes):
             return "bad"
         for name, value in _ATTRIBUTE.findall(attributes):
-            name = name.lower()
+            name, value = name.lower(), value.strip("\"'")
             if name == "style" and _HIDDEN.search(value):
                 return "bad"
-            if name == "role" and value.strip("\"'").lower() == "main":
+            if name == "role" and value.lower() == "main":
                 return "good"
-            if name in ("class", "id", "role", "aria-label"):
-                if any(w.lower() in BAD_NAMES for w in _NAME_WORD.findall(value)):
-                    return "bad"
-    return inside
+            if name in ("class", "id"):
+                named |= any(_tells(v) for v in value.split())
+            elif name in ("role", "aria-label"):
+                named |= _tells(value)
+    if tag in ("article", "main"):
+        if tag == "article" and named:
+            return "doubtful"
+        return "good" if first or inside != "doubtful" else inside  # an unclosed advert swallows no article
+    return "doubtful" if named and tag != "body" else inside
 
 
 def blocks(page: str) -> list[Block]:
@@ -104,14 +134,16 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, int, str]] = [("", 0, "")]  # tag, container, place
     parts: list[str] = []
     links: list[str] = []
-    containers, depth_a, heading, at = 0, 0, False, 0
+    open_tags: Counter[str] = Counter()
+    ended = False  # an article
+    containers, depth_a, start, at = 0, 0, "", 0
 
     def close() -> None:
         nonlocal parts, links
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             linked = len(" ".join(html.unescape("".join(links)).split()))
-            found.append(Block(text, linked, heading, stack[-1][1], stack[-1][2]))
+            found.append(Block(text, linked, start, stack[-1][1], stack[-1][2]))
         parts, links = [], []
 
     def add(text: str) -> None:
@@ -155,17 +187,17 @@ def blocks(page: str) -> list[Block]:
             depth_a = 0
             if tag in CONTAINERS:
                 if ends:
-                    for i in range(len(stack) - 1, 0, -1):
-                        if stack[i][0] == tag:
-                            del stack[i:]
+                    while open_tags[tag]:
+                        last = stack.pop()[0]
+                        open_tags[last] -= 1
+                        ended |= last in ("article", "main")
+                        if last == tag:
                             break
                 elif not attributes.endswith("/"):
                     containers += 1
-                    inside = stack[-1][2]
-                    if tag in ("article", "main") and all(t not in BAD_PLACES and t != "header" for t, _, _ in stack):
-                        inside = ""  # an unclosed advert before it does not swallow an article
-                    stack.append((tag, containers, _place(tag, attributes, inside)))
-            heading = tag in HEADINGS and not ends
+                    stack.append((tag, containers, _place(tag, attributes, stack[-1][2], not ended)))
+                    open_tags[tag] += 1
+            start = "" if ends else tag
     close()
     return found
 
@@ -174,9 +206,11 @@ def first_pass(block: Block) -> str:
     words = [w.lower() for w in _WORD.findall(block.text)]
     stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     size = len(block.text)
-    if block.place == "bad" or block.linked > MOST_LINKS * size:
+    if block.place in ("bad", "doubtful"):
+        return "bad"
+    if block.linked > MOST_LINKS * size and not (block.place == "good" and block.tag in PROSE):
         return "bad"
-    if size < SHORT or block.heading:
+    if size < SHORT or block.tag in HEADINGS:
         return ""
     if stops >= GOOD_STOPS or (size >= LONG and stops >= SOME_STOPS):
         return "good"
@@ -189,6 +223,11 @@ def label(found: list[Block]) -> None:
     """Decide every block of a page; two sweeps find the decided neighbours of all open blocks."""
     for block in found:
         block.label = first_pass(block)
+    if not any(b.place == "good" or b.label == "good" for b in found):
+        for block in found:
+            if block.place == "doubtful":
+                block.place = ""
+                block.label = first_pass(block)
     sides = []
     for order in (range(len(found)), range(len(found) - 1, -1, -1)):
         at_all, within, seen = None, {}, {}
@@ -204,7 +243,8 @@ def label(found: list[Block]) -> None:
         for before, after in zip(sides[0][i], sides[1][i]):  # in the container, then anywhere
             if before or after:
                 if before and after and before[1] != after[1]:
-                    block.label = (after if block.heading or after[0] - i < i - before[0] else before)[1]
+                    later = block.tag in HEADINGS or after[0] - i < i - before[0]
+                    block.label = "good" if block.place == "good" and block.tag in PROSE else (after if later else before)[1]
                 else:
                     block.label = (before or after)[1]
                 break
