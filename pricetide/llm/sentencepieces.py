@@ -13,8 +13,11 @@ What a last piece is worth depends on the kind of model:
   alone, so one way survives, and it is the segmentation of the library. Pairs are tried by
   merging once and then kept. (Adding up the scores of a BPE model would give other segments.)
 
-A word in which that does not leave exactly one way is merged step by step. Characters that are
-no piece become byte pieces if the model has them, else the unknown piece. Each worker keeps the
+A word in which that does not leave exactly one way is merged step by step, as are words of a
+BPE model over ``LONG_WORD`` characters (the search pays a numpy step per character, which few
+words of one length share): a heap of neighbours, so time grows with the length times its
+logarithm (measured: 1.6 seconds for 200,000 letters, 11 for a million). A unigram model takes about a second for each
+thousand characters of such a word. Characters that are no piece become byte pieces if the model has them, else the unknown piece. Each worker keeps the
 words it has encoded, as most recur.
 
 Models must leave text as it is (identity normalisation, a space put before the text, no
@@ -27,8 +30,10 @@ encoded each; extra columns are ignored by ``encode``; nothing is cut off.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -43,6 +48,7 @@ from pricetide.llm.shared import ship, table
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 KEPT_CHARS = 8_000_000
+LONG_WORD = 512
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _CROSSING = re.compile(f"[^{SPACE}]{SPACE}")
 _BASE = 0x9E3779B97F4A7C15
@@ -70,6 +76,7 @@ class Model:
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == kinds.UNKNOWN)
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == kinds.BYTE}
         self.ids = {self.names[i]: i for i in usable}
+        self.first = [-s for s in self.score.tolist()]  # ascending: order of merging
         self.longest = max((len(self.names[i]) for i in usable), default=1)
         self.least = min((self.score[i] for i in usable), default=0.0) - 10  # of an unknown character
         # every beginning of a piece, and the piece that it is itself (or -1)
@@ -101,16 +108,35 @@ class Model:
 
     def merge(self, word: str) -> list[int]:
         """Ids by merging step by step: the best-scored neighbours first, the leftmost of equals."""
-        parts = list(word)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                piece = self.ids.get(parts[i] + parts[i + 1])
-                if piece is not None and (best is None or self.score[piece] > best):
-                    best, at = self.score[piece], i
-            if best is None:
-                return [i for p in parts for i in self._single(p)]
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        size = len(word)
+        end = list(range(1, size + 1))  # of the part that starts at a place; 0: no part does
+        before = list(range(-1, size - 1))  # where the part before one that starts at a place starts
+
+        def neighbours(at: int) -> Iterator[tuple[float, int, int, int]]:
+            middle = end[at]
+            if middle < size and end[middle] - at <= self.longest:
+                piece = self.ids.get(word[at : end[middle]])
+                if piece is not None:
+                    yield self.first[piece], at, middle, end[middle]
+
+        heap = [pair for at in range(size) for pair in neighbours(at)]
+        heapq.heapify(heap)
+        while heap:
+            _, at, middle, stop = heapq.heappop(heap)
+            if end[at] != middle or end[middle] != stop:
+                continue  # one of the two has been merged with another since
+            end[at], end[middle] = stop, 0
+            if stop < size:
+                before[stop] = at
+            for left in (before[at], at):
+                if left >= 0:
+                    for pair in neighbours(left):
+                        heapq.heappush(heap, pair)
+        ids, at = [], 0
+        while at < size:
+            ids += self._single(word[at : end[at]])
+            at = end[at]
+        return ids
 
     def _single(self, part: str) -> list[int]:
         if part in self.ids:
@@ -214,6 +240,10 @@ class Model:
             mixed.append((len(out), own))
             out += [[], *own]
         for size, group in parts.items():
+            if size > LONG_WORD and not self.unigram:
+                for place, part in group:
+                    out[place] = self.merge(part)
+                continue
             step = max(1, (1 << 17) // size)
             for lo in range(0, len(group), step):
                 block = group[lo : lo + step]
