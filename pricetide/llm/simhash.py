@@ -11,7 +11,8 @@ time (one plus the binary logarithm of its count), so repeated lines do not drow
 cut into radius + 1 blocks, two fingerprints within the radius agree in one block at least. Each
 table holds the fingerprints under one block; equal fingerprints are one entry. A block value
 that very many share is cut into slices, every two of which are compared in a task of their own,
-so nothing is left out; only pairs within the radius leave a task.
+so nothing is left out; only pairs within the radius leave a task. ``with_neighbours`` counts from
+these pairs how many other rows each row has within the radius, copies included.
 
 Defined cases: null text counts as empty; a text without words has the fingerprint 0 like any
 other such text; rows that repeat an id follow each other in the order of a hash of their text;
@@ -157,21 +158,26 @@ def near(prints: DataFrame, radius: int = 3, bucket: int = 256) -> DataFrame:
 
     Rows that share a fingerprint are joined to it by the caller: copies are not expanded here.
     """
-    ship(prints.sparkSession)
+    distinct = prints.select("fingerprint").where("fingerprint is not null").distinct()
+    return _pairs(stage(distinct, "prints"), radius, bucket)
+
+
+def _pairs(distinct: DataFrame, radius: int, bucket: int) -> DataFrame:
+    ship(distinct.sparkSession)
     blocks = radius + 1
     cuts = [round(i * (BITS // 4) / blocks) for i in range(blocks + 1)]  # in hexadecimal digits
-    distinct = stage(prints.select("fingerprint").where("fingerprint is not null").distinct(), "prints")
-    keyed = F.array(*(F.concat(F.lit(f"{i}:"), F.substring("fingerprint", cuts[i] + 1, cuts[i + 1] - cuts[i])) for i in range(blocks)))
-    entries = distinct.select("fingerprint", F.explode(keyed).alias("key"))
+    # a table's rows meet by a hash of its number and block: equal hashes of other blocks cost a comparison
+    keyed = F.array(*(F.xxhash64(F.lit(i), F.substring("fingerprint", cuts[i] + 1, cuts[i + 1] - cuts[i])) for i in range(blocks)))
+    entries = distinct.select(F.unhex("fingerprint").alias("print"), F.explode(keyed).alias("key"))
     sizes = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     entries = entries.join(sizes, "key").withColumn("k", F.ceil(F.col("n") / bucket).cast("int"))
-    entries = entries.withColumn("mine", F.pmod(F.xxhash64("fingerprint"), F.col("k")).cast("int"))
+    entries = entries.withColumn("mine", F.pmod(F.xxhash64("print"), F.col("k")).cast("int"))
     entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     entries = entries.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
 
     def compare(rows: pa.Table) -> pa.Table:
-        names = sorted(set(zip(rows["fingerprint"].to_pylist(), rows["mine"].to_pylist())))
-        raw = np.frombuffer(b"".join(bytes.fromhex(f) for f, _ in names), np.uint8).reshape(len(names), -1)
+        names = sorted(set(zip(rows["print"].to_pylist(), rows["mine"].to_pylist())))
+        raw = np.frombuffer(b"".join(f for f, _ in names), np.uint8).reshape(len(names), -1)
         words = np.ascontiguousarray(raw).view("<u8")
         side = np.array([m for _, m in names])
         two = len(set(side.tolist())) > 1 or rows["i"][0].as_py() != rows["j"][0].as_py()
@@ -182,24 +188,28 @@ def near(prints: DataFrame, radius: int = 3, bucket: int = 256) -> DataFrame:
             if two:
                 fits &= side[x + 1 :] != side[x]
             for y in np.flatnonzero(fits).tolist():
-                a.append(names[x][0])
-                b.append(names[x + 1 + y][0])
+                a.append(names[x][0].hex())
+                b.append(names[x + 1 + y][0].hex())
                 d.append(int(differ[y]))
         return pa.table({"a": a, "b": b, "distance": d}, schema=pa.schema([("a", pa.string()), ("b", pa.string()), ("distance", pa.int64())]))
 
     return entries.groupBy("key", "i", "j").applyInArrow(compare, "a string, b string, distance bigint").distinct()
 
 
-def with_neighbours(rows: DataFrame, radius: int = 3) -> DataFrame:
-    """rows with ``n_near``: how many other rows have a fingerprint within the radius."""
-    held = rows.groupBy("fingerprint").agg(F.count("*").alias("held"))
-    pairs = near(rows, radius)
-    both = pairs.select(F.col("a").alias("at"), F.col("b").alias("fingerprint")).union(pairs.select("b", "a"))
-    close = both.join(held, "fingerprint").groupBy("at").agg(F.sum("held").alias("close"))
-    total = held.join(close.withColumnRenamed("at", "fingerprint"), "fingerprint", "left")
-    total = total.select("fingerprint", (F.col("held") - 1 + F.coalesce("close", F.lit(0))).alias("n_near"))
-    return rows.join(total, "fingerprint", "left").select(*rows.columns, "n_near")
+def with_neighbours(rows: DataFrame, radius: int = 3, bucket: int = 256) -> DataFrame:
+    """rows with ``n_near``: how many other rows have a fingerprint within the radius (null
+    without a fingerprint). Copies are counted per fingerprint, never expanded."""
+    held = rows.where("fingerprint is not null").groupBy("fingerprint").agg(F.count("*").alias("held"))
+    held = stage(held, "prints")
+    ways = [F.struct(F.col(x).alias("at"), F.col(y).alias("fingerprint")) for x, y in ("ab", "ba")]
+    both = _pairs(held, radius, bucket).select(F.explode(F.array(*ways)).alias("p"))
+    close = both.select("p.*").join(held, "fingerprint").groupBy(F.col("at").alias("fingerprint")).agg(F.sum("held").alias("n_near"))
+    own = held.where("held > 1").select("fingerprint", (F.col("held") - 1).alias("n_near"))
+    total = own.unionByName(close).groupBy("fingerprint").agg(F.sum("n_near").alias("n_near"))  # fingerprints with company
+    counted = F.when(F.col("fingerprint").isNotNull(), F.coalesce("n_near", F.lit(0).cast("bigint")))
+    return rows.join(total, "fingerprint", "left").select(*rows.columns, counted.alias("n_near"))
 
 
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    return compare_with_next(table(spark, folder, "documents"))
+    """Each text against its edited form and the next text, and how many others are within 3 bits."""
+    return with_neighbours(compare_with_next(table(spark, folder, "documents")))
