@@ -22,6 +22,7 @@ null ids come last in descending order; a single document is its own next.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -198,7 +199,12 @@ def _pairs(distinct: DataFrame, radius: int, bucket: int) -> DataFrame:
 
 def with_neighbours(rows: DataFrame, radius: int = 3, bucket: int = 256) -> DataFrame:
     """rows with ``n_near``: how many other rows have a fingerprint within the radius (null
-    without a fingerprint). Copies are counted per fingerprint, never expanded."""
+    without a fingerprint). Copies are counted per fingerprint, never expanded.
+
+    Rows of one fingerprint are dealt over as many slices as the root of the number of rows; a
+    slice asks once for each fingerprint it holds, so a fingerprint of a third of all rows sends
+    neither its rows nor its questions to one task.
+    """
     held = rows.where("fingerprint is not null").groupBy("fingerprint").agg(F.count("*").alias("held"))
     held = stage(held, "prints")
     ways = [F.struct(F.col(x).alias("at"), F.col(y).alias("fingerprint")) for x, y in ("ab", "ba")]
@@ -206,8 +212,11 @@ def with_neighbours(rows: DataFrame, radius: int = 3, bucket: int = 256) -> Data
     close = both.select("p.*").join(held, "fingerprint").groupBy(F.col("at").alias("fingerprint")).agg(F.sum("held").alias("n_near"))
     own = held.where("held > 1").select("fingerprint", (F.col("held") - 1).alias("n_near"))
     total = own.unionByName(close).groupBy("fingerprint").agg(F.sum("n_near").alias("n_near"))  # fingerprints with company
+    slices = max(1, math.isqrt(held.agg(F.sum("held")).first()[0] or 0))
+    sliced = rows.select(F.struct("*").alias("row"), "fingerprint", F.pmod(F.xxhash64(*rows.columns), F.lit(slices)).alias("slice"))
+    answers = sliced.select("fingerprint", "slice").distinct().join(total, "fingerprint")
     counted = F.when(F.col("fingerprint").isNotNull(), F.coalesce("n_near", F.lit(0).cast("bigint")))
-    return rows.join(total, "fingerprint", "left").select(*rows.columns, counted.alias("n_near"))
+    return sliced.join(answers, ["fingerprint", "slice"], "left").select("row.*", counted.alias("n_near"))
 
 
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
