@@ -1,22 +1,30 @@
 """Suffix-array dedup: a radix sort of suffixes, most significant digits first, to a fixed depth.
 
 Two suffixes share a repeated string of ``depth`` bytes exactly when they stay in one group
-until that depth, so nothing is sorted further. Digits are compared by hash, deeper ones only
-for suffixes whose group still has company:
+until that depth, so nothing is sorted further. Each pass splits the groups of the pass before
+by a longer digit, and only suffixes whose group still has company go on:
 
 * Sparse suffixes. Of all suffixes, those at the least ``SEED``-byte string of some window of
   ``depth`` bytes (leftmost among equals) are taken: about one in 85 for 200 bytes. The choice
   depends on the window's bytes alone, so equal windows choose the same place, and each window
   belongs to exactly one suffix. A suffix stands for a run of windows that begin before it.
-* Digit 1 is the seed's bytes. A suffix alone in its group owns no repeated window: dropped.
-* Digit 2 is everything its windows cover. Suffixes equal in it repeat all their windows; one
-  of them goes on for the group, if the seed's group holds other digits too.
-* Digit 3 is each window of those that go on, compared to the full depth.
-
-Each digit is one round of ``rounds``: sorted lists of distinct digits from chunks of texts to
-buckets, small answers back. No row per suffix travels, groups of any size cost one entry per
-chunk, and texts are shuffled once. Bytes are equal when 64-bit hashes are (twice, for the
-first two digits); see ``substring_dedup`` for what that means.
+* Pass 1, the seed's bytes. A suffix alone in its group owns no repeated window: dropped.
+* Pass 2, all that the windows of a suffix cover. Groups with company repeat whole; one suffix of
+  each group goes on, so that the other groups of its seed can meet it.
+* Pass 3, ``PARTS`` digits around the seed: windows whose seed lies at a similar offset share the
+  bytes between the last start and the first end. Windows of a digit without company are dropped.
+* Pass 4, each window that is left, to the full depth.
+
+Each pass is one round of ``rounds``: sorted lists of distinct digits from chunks of texts to
+buckets, small answers back. Entries go to the bucket of their own digit, and a chunk sends a
+digit once however many of its suffixes hold it, so a group of any size costs a bucket one entry
+per chunk, and what follows a frequent seed is spread by the longer digits. No row per suffix
+travels, and texts are shuffled once. Answers to earlier passes travel on with each pass, so that
+the plan is a chain.
+
+Groups that end a sort (passes 2 and 4) are compared by two independent hashes, of bytes and of
+8-byte digits, together 124 bits: n different strings are expected to give n * n / 2**125 pairs
+taken for equal, 1e-11 for the 2e13 strings of 20 TB. The bytes themselves are not sent.
 
 Defined cases: null text counts as empty; a text shorter than ``depth`` loses nothing; rows
 that repeat (an id, a text or both) are documents of their own, so their texts repeat each
@@ -34,11 +42,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from pricetide.llm import rounds
-from pricetide.llm.hashing import _BASE, _BYTE, U, byte_range_hash, byte_sums, give_back, mix, squeeze, unsqueeze
+from pricetide.llm.hashing import _BASE, _BYTE, U, Sums, byte_range_hash, byte_sums, give_back, hash_sums, mix, squeeze, unsqueeze
 from pricetide.llm.shared import table
 
 DEPTH = 200
 SEED = 32
+PARTS = 4
+_DIGIT = 8
+_PASSES = 5  # one more than there are
 _BLOCK = 1 << 18  # bytes of text worked on at a time
 _PLACE = U(0xFFFFFF)
 OUT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
@@ -47,6 +58,14 @@ OUT_TYPE = pa.schema(
 )
 
 
+def digit_sums(data: np.ndarray) -> Sums:
+    """Sums over the 8-byte digits that begin at each byte: a second hash of any range."""
+    digits = np.zeros(max(0, len(data) - _DIGIT + 1), U)
+    for i in range(_DIGIT):
+        digits |= data[i : i + len(digits)].astype(U) << U(8 * i)
+    return hash_sums(mix(digits))
+
+
 class Suffixes:
     """The sparse suffixes of a chunk: place, first and last window, and two digits."""
 
@@ -64,8 +83,9 @@ class Suffixes:
         self.blocks = list(rounds.blocks(self.pieces, sizes, _BLOCK))
         found = [self._sparse(b, seed) for b in self.blocks]
         self.block = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-        join = [np.concatenate(x) if found else np.zeros(0, np.int64) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 2 + [np.zeros(0, U)] * 2
-        self.first, self.last, self.digit1, self.digit2 = join
+        join = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, U)] * 3
+        self.place, self.first, self.last, self.seed, self.cover, self.check = join
+        self.span = depth - seed + 1  # places a seed can have in a window
 
     def _load(self, block):
         """Bytes of a block's pieces, where each begins in the block, and its shift to the chunk."""
@@ -92,111 +112,167 @@ class Suffixes:
         place = (least[start] & _PLACE).astype(np.int64)
         opens = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1))))
         place, first, last = place[opens], start[opens], start[np.append(opens[1:], len(start)) - 1]
-        sums = byte_sums(data)
         shape = mix(((place - first) << 20 | (last - first)).astype(U))
-        digit2 = mix(byte_range_hash(sums, first, last + self.depth) + shape)
+        cover = mix(byte_range_hash(byte_sums(data), first, last + self.depth) + shape)
+        check = mix(digit_sums(data).range(first, last + self.depth - _DIGIT + 1) + h[place])
         move = shift[np.searchsorted(ends, first, side="right")]
-        return first + move, last + move, h[place], digit2
-
-    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place and hash of every window of the chosen suffixes."""
-        places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, U)]
-        for b, block in enumerate(self.blocks):
-            own = chosen[(self.block[chosen] == b)]
-            if not len(own):
+        return place + move, first + move, last + move, h[place], cover, check
+
+    def hashes(self, own: np.ndarray, start: np.ndarray, end: np.ndarray, sums=byte_sums) -> np.ndarray:
+        """A hash of each range within the bytes covered by its suffix; ``own`` ascends."""
+        out = np.zeros(len(own), U)
+        cut = np.searchsorted(self.block[own], np.arange(len(self.blocks) + 1))
+        for block, lo, hi in zip(self.blocks, cut, cut[1:]):
+            if lo == hi:
                 continue
-            data, sizes, ends, shift = self._load(block)
-            size = self.last[own] - self.first[own] + 1
-            place = np.repeat(self.first[own] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            begin = np.array([p for p, _ in block])
-            own_piece = np.repeat(self._piece(begin, block, self.first[own], self.last[own]), size)
-            at = place - shift[own_piece]
-            sums = byte_sums(data)
-            places.append(place)
-            hashes.append(byte_range_hash(sums, at, at + self.depth))
-        return np.concatenate(places), np.concatenate(hashes)
-
-    @staticmethod
-    def _piece(begin, block, first, last):
-        """Pieces of one text overlap; windows begin in the one that starts last before them."""
-        return np.searchsorted(begin, first, side="right") - 1
-
-    def classes(self):
-        """Distinct (digit 1, digit 2), the class of each suffix, one suffix and the size of each."""
-        order = np.lexsort((self.digit2, self.digit1))
-        a, x = self.digit1[order], self.digit2[order]
+            data, _, _, shift = self._load(block)
+            # pieces of one text overlap: a suffix was found in the one that begins last before it
+            piece = np.searchsorted([p for p, _ in block], self.first[own[lo:hi]], side="right") - 1
+            out[lo:hi] = mix(sums(data).range(start[lo:hi] - shift[piece], end[lo:hi] - shift[piece]))
+        return out
+
+    def parts(self, own: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Suffix, first and last window and digit of the parts of suffixes: windows by the offset
+        of their seed, and a hash of the bytes that all windows of this offset would share."""
+        wide = -(-self.span // PARTS)
+        low, high = ((self.place - self.last) // wide)[own], ((self.place - self.first) // wide)[own]
+        many = high - low + 1
+        suffix = np.repeat(own, many)
+        part = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+        place, least, most = self.place[suffix], part * wide, np.minimum((part + 1) * wide, self.span) - 1
+        digit = mix(self.hashes(suffix, place - least, place - most + self.depth) + part.astype(U))
+        return suffix, np.maximum(self.first[suffix], place - most), np.minimum(self.last[suffix], place - least), digit
+
+    def windows(self, own: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place and two hashes of every window from ``first`` to ``last`` of the suffixes ``own``."""
+        size = last - first + 1
+        place = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+        own = np.repeat(own, size)
+        check = self.hashes(own, place, place + self.depth - _DIGIT + 1, digit_sums)
+        return place, self.hashes(own, place, place + self.depth), check
+
+
+class Groups:
+    """Distinct (digit, check) of some suffixes in ascending order: the group of each, and sizes."""
+
+    def __init__(self, digit: np.ndarray, check: np.ndarray | None = None):
+        order = np.argsort(digit, kind="stable") if check is None else np.lexsort((check, digit))
         new = np.ones(len(order), bool)
-        new[1:] = (a[1:] != a[:-1]) | (x[1:] != x[:-1])
-        opens = np.flatnonzero(new)
-        which = np.empty(len(order), np.int64)
-        which[order] = np.cumsum(new) - 1
-        return a[opens], x[opens], which, order[opens], np.diff(np.append(opens, len(order)))
-
-
-def _number(chunk: pa.Table) -> int:
-    return chunk["chunk"][0].as_py()
-
-
-def _send_seeds(depth, seed, buckets):
-    def send(chunk: pa.Table) -> pa.Table:
-        suffixes = Suffixes(rounds.texts_of(chunk), depth, seed)
-        a, x, _, _, size = suffixes.classes()
-        many = (size > 1).astype(np.uint8)
-
-        def extra(lo: int, hi: int) -> bytes:
-            return x[lo:hi].astype("<u8").tobytes() + squeeze(many[lo:hi])
-
-        sent = pa.table(rounds.send(_number(chunk), a, buckets, extra), schema=rounds.SENT_TYPE)
-        give_back()
-        return sent
-
-    return send
-
-
-def _judge_seeds(first, group, order, extras, sizes) -> np.ndarray:
-    """1: all windows of the suffix repeat. 2: its windows must be compared."""
-    x = np.concatenate([np.frombuffer(e[: 8 * n], "<u8") for e, n in zip(extras, sizes)])[order]
-    many = np.concatenate([np.frombuffer(unsqueeze(e[8 * n :]), np.uint8) for e, n in zip(extras, sizes)])[order]
-    by = np.lexsort((order, x, group))
-    g, x = group[by], x[by]
-    new = np.ones(len(by), bool)
-    new[1:] = (g[1:] != g[:-1]) | (x[1:] != x[:-1])
-    opens = np.flatnonzero(new)
-    count = np.add.reduceat(many[by].astype(np.int64) + 1, opens)
-    classes = np.bincount(g[opens], minlength=len(first))
-    which = np.cumsum(new) - 1
-    verdict = (count[which] > 1).astype(np.uint8)
-    verdict |= (new & (classes[g] > 1)).astype(np.uint8) << 1
-    out = np.empty(len(by), np.uint8)
-    out[by] = verdict
-    return out
-
-
-def _to_compare(suffixes: Suffixes, answers: pa.Table):
-    """Verdicts of round 1, and one suffix for each class that goes on."""
-    _, _, which, one, _ = suffixes.classes()
-    verdict = rounds.answered(answers) if len(one) else np.zeros(0, np.uint8)
-    return verdict[which], np.sort(one[(verdict & 2) > 0])
-
-
-def _send_windows(depth, seed, buckets):
-    def send(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        new[1:] = digit[order[1:]] != digit[order[:-1]]
+        if check is not None:
+            new[1:] |= check[order[1:]] != check[order[:-1]]
+        self.opens, self.order = np.flatnonzero(new), order
+        self.one = order[self.opens]  # the first of each group
+        self.digit, self.check = digit[self.one], None if check is None else check[self.one]
+        self.of = np.empty(len(order), np.int64)
+        self.of[order] = np.cumsum(new) - 1
+        self.size = np.diff(np.append(self.opens, len(order)))
+
+
+class Sorting:
+    """Where the suffixes of a chunk stand after the passes that have been answered."""
+
+    def __init__(self, chunk: pa.Table, answers: pa.Table | None, answered: int, depth: int, seed: int):
+        self.texts = rounds.texts_of(chunk)
+        self.suffixes = s = Suffixes(self.texts, depth, seed)
+        self.seeds, self.answers, self.answered, self.known = Groups(s.seed), answers, answered, {}
+        self.whole = np.zeros(len(s.seed), bool)  # suffixes all of whose windows repeat
+        if answers is None:
+            return
+        self.going = np.flatnonzero(self._verdict(1, self.seeds)[self.seeds.of] & 1)
+        self.covers = Groups(s.cover[self.going], s.check[self.going])
+
+    def _verdict(self, number: int, groups: Groups) -> np.ndarray:
+        bucket = np.array(self.answers["bucket"].to_pylist(), np.int64)
+        if number == self.answered:
+            found = rounds.answered(self.answers.filter(pa.array(bucket >= 0))) if len(groups.one) else np.zeros(0, np.uint8)
+        else:
+            found = rounds.answered(self.answers.filter(pa.array((bucket < 0) & (-bucket % _PASSES == number))))
+        self.known[number] = found
+        return found
+
+    def after_covers(self):
+        """Parts of the one suffix of each group that goes on, and their groups."""
+        verdict = self._verdict(2, self.covers)
+        self.whole[self.going] = (verdict & 1)[self.covers.of] > 0
+        own = np.sort(self.going[self.covers.one[(verdict & 2) > 0]])
+        self.parts = self.suffixes.parts(own)
+        self.groups = Groups(self.parts[3])
+
+    def after_parts(self):
+        """Windows of the parts with company, and their groups."""
+        self.after_covers()
+        company = (self._verdict(3, self.groups) & 1)[self.groups.of] > 0
+        self.places, digit, check = self.suffixes.windows(*(x[company] for x in self.parts[:3]))
+        self.windows = Groups(digit, check)
+
+    def after_windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """First and last byte + 1 of the maximal repeated runs."""
+        self.after_parts()
+        places = self.places[(self._verdict(4, self.windows) & 1)[self.windows.of] > 0]
+        s = self.suffixes
+        return merged(np.concatenate((s.first[self.whole], places)), np.concatenate((s.last[self.whole], places)) + s.depth)
+
+
+def _extra(check: np.ndarray | None, flags: np.ndarray):
+    """What a chunk adds to its digits: eight bytes to compare, if given, and flags."""
+
+    def extra(lo: int, hi: int) -> bytes:
+        more = b"" if check is None else check[lo:hi].astype("<u8").tobytes()
+        return more + squeeze(flags[lo:hi].astype(np.uint8))
+
+    return extra
+
+
+def _sorter(number: int, depth: int, seed: int, buckets: int):
+    """Sends the digits of a pass, for applyInArrow on texts and the answers to earlier passes."""
+
+    def send(chunk: pa.Table, answers: pa.Table | None = None) -> pa.Table:
         if not chunk.num_rows:
             return rounds.SENT_TYPE.empty_table()
-        suffixes = Suffixes(rounds.texts_of(chunk), depth, seed)
-        _, chosen = _to_compare(suffixes, answers)
-        hashes, count = np.unique(suffixes.windows(chosen)[1], return_counts=True)
-        many = (count > 1).astype(np.uint8)
-        sent = rounds.send(_number(chunk), hashes, buckets, lambda lo, hi: squeeze(many[lo:hi]))
+        state = Sorting(chunk, answers, number - 1, depth, seed)
+        if number == 1:
+            groups = state.seeds
+        elif number == 2:
+            groups = state.covers
+        elif number == 3:
+            state.after_covers()
+            groups = state.groups
+        else:
+            state.after_parts()
+            groups = state.windows
+        at = chunk["chunk"][0].as_py()
+        sent = rounds.send(at, groups.digit, buckets, _extra(groups.check, groups.size > 1))
+        for earlier, verdict in state.known.items():  # back to this chunk with the answers
+            for name, value in zip(sent, (-(at + 1) * _PASSES - earlier, at, b"", squeeze(verdict))):
+                sent[name].append(value)
         give_back()
         return pa.table(sent, schema=rounds.SENT_TYPE)
 
-    return send
+    return (lambda chunk: send(chunk)) if number == 1 else send
+
+
+def _added(extras: list, sizes: list, order: np.ndarray, checked: bool) -> tuple[np.ndarray | None, np.ndarray]:
+    skip = [8 * n if checked else 0 for n in sizes]
+    flags = np.concatenate([np.frombuffer(unsqueeze(e[k:]), np.uint8) for e, k in zip(extras, skip)])[order]
+    return np.concatenate([np.frombuffer(e[:k], "<u8") for e, k in zip(extras, skip)])[order] if checked else None, flags
+
 
+def _judge_groups(checked: bool):
+    def judge(first, group, order, extras, sizes) -> np.ndarray:
+        """Bit 1: the group has company. Bit 2: this is its first entry."""
+        check, flags = _added(extras, sizes, order, checked)
+        by = np.lexsort((order, check, group) if checked else (order, group))
+        new = np.ones(len(by), bool)
+        new[1:] = group[by[1:]] != group[by[:-1]]
+        if checked:
+            new[1:] |= check[by[1:]] != check[by[:-1]]
+        count = np.add.reduceat((flags[by] & 1).astype(np.int64) + 1, np.flatnonzero(new))
+        out = np.empty(len(by), np.uint8)
+        out[by] = (count > 1)[np.cumsum(new) - 1] | new.astype(np.uint8) << 1
+        return out
 
-def _judge_windows(first, group, order, extras, sizes) -> np.ndarray:
-    many = np.concatenate([np.frombuffer(unsqueeze(e), np.uint8) for e in extras])[order]
-    return np.add.reduceat(many.astype(np.int64) + 1, first)[group] > 1
+    return judge
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,20 +291,9 @@ def _cutter(depth, seed, content, others):
     def cut(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         if not chunk.num_rows:
             return schema.empty_table()
-        texts = rounds.texts_of(chunk)
-        suffixes = Suffixes(texts, depth, seed)
-        which = np.array(answers["round"].to_pylist(), np.int64)
-        verdict, chosen = _to_compare(suffixes, answers.filter(pa.array(which == 1)))
-        places, hashes = suffixes.windows(chosen)
-        repeated = np.zeros(len(places), bool)
-        if len(places):
-            verdicts = rounds.answered(answers.filter(pa.array(which == 2)))
-            repeated = verdicts[np.unique(hashes, return_inverse=True)[1]] > 0
-        all_of = (verdict & 1) > 0
-        start, end = merged(
-            np.concatenate((suffixes.first[all_of], places[repeated])),
-            np.concatenate((suffixes.last[all_of] + depth, places[repeated] + depth)),
-        )
+        state = Sorting(chunk, answers, 4, depth, seed)
+        start, end = state.after_windows()
+        texts, suffixes = state.texts, state.suffixes
         cut_at = np.searchsorted(start, suffixes.base)
         out = {name: [] for name in OUT_TYPE.names}
         for i, doc in enumerate(chunk["doc_id"].to_pylist()):
@@ -254,7 +319,8 @@ def remove_repeated_strings(
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, others) for each row of docs.
 
-    ``seed`` is a power of two of at most ``depth`` bytes; it affects cost, not results.
+    ``depth`` is 8 or more; ``seed`` is a power of two of at most ``depth`` bytes that affects
+    cost, not results.
     ``kept`` holds the remaining bytes, or for content="text" those of whole characters between
     the cuts, or nothing for None. ``others`` are columns of docs to hand through.
     """
@@ -263,12 +329,13 @@ def remove_repeated_strings(
     carried = [docs.schema[c] for c in others]
     out = f"{OUT}{''.join(f', {f.name} {f.dataType.simpleString()}' for f in carried)}"
     fields = [pa.field(f.name, to_arrow_type(f.dataType)) for f in carried]
-    seeds = texts.groupBy("chunk").applyInArrow(_send_seeds(depth, seed, plan.buckets), rounds.SENT)
-    first = rounds.answer(seeds, _judge_seeds)
-    windows = texts.groupBy("chunk").cogroup(first.groupBy("chunk"))
-    second = rounds.answer(windows.applyInArrow(_send_windows(depth, seed, plan.buckets), rounds.SENT), _judge_windows)
-    both = first.withColumn("round", F.lit(1)).unionByName(second.withColumn("round", F.lit(2)))
-    return texts.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(_cutter(depth, seed, content, fields), out)
+    sent = texts.groupBy("chunk").applyInArrow(_sorter(1, depth, seed, plan.buckets), rounds.SENT)
+    answers = rounds.answer(sent, _judge_groups(checked=False))
+    for number in (2, 3, 4):
+        both = texts.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+        sent = both.applyInArrow(_sorter(number, depth, seed, plan.buckets), rounds.SENT)
+        answers = rounds.answer(sent, _judge_groups(checked=number != 3))
+    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_cutter(depth, seed, content, fields), out)
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:

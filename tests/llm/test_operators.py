@@ -78,7 +78,7 @@ def got(rows, *columns):
 
 def test_suffix_dedup(spark):
     rows = [(d, t) for d, t, _, _ in corpus()]
-    for depth, seed in ((200, 32), (40, 8)):
+    for depth, seed in ((200, 32), (40, 8), (24, 8)):
         found = suffix_dedup.remove_repeated_strings(frame(spark, corpus()), depth, seed)
         expected = sorted(str(r[:5]) for r in brute.repeated_strings(rows, depth))
         assert got(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == expected
@@ -92,9 +92,26 @@ def test_suffix_dedup_pieces(monkeypatch):
     windows = sorted(i for a, b in zip(suffixes.first, suffixes.last) for i in range(a, b + 1))
     one = list(range(len(text) - 199))
     assert windows == one + [i + len(text) + 2 for i in one]  # every window has one suffix
-    places, hashes = suffixes.windows(np.arange(len(suffixes.first)))
+    every = np.arange(len(suffixes.first))
+    places, *both = suffixes.windows(every, suffixes.first, suffixes.last)
     order = np.argsort(places)
-    assert (hashes[order][: len(one)] == hashes[order][len(one) :]).all() and len(set(hashes.tolist())) == len({text[i : i + 200] for i in one})
+    for hashes in both:
+        assert (hashes[order][: len(one)] == hashes[order][len(one) :]).all() and len(set(hashes.tolist())) == len({text[i : i + 200] for i in one})
+    own, first, last, digit = suffixes.parts(every)
+    assert sorted(i for a, b in zip(first, last) for i in range(a, b + 1)) == windows  # and one part
+    assert (np.sort(digit[: len(digit) // 2]) == np.sort(digit[len(digit) // 2 :])).all()
+
+
+def test_suffix_dedup_edges(spark):
+    """Passages in ever different surroundings: the windows at their edges go through all passes."""
+    rng = random.Random(4)
+    letters = ["".join(rng.choice("abcd") for _ in range(rng.choice([0, 30, 90, 260]))) for _ in range(60)]
+    passages = [prose(rng, 60)[: rng.choice([60, 199, 200, 201, 230])] for _ in range(6)]
+    rows = [(i, letters[2 * i] + rng.choice(passages) + letters[2 * i + 1] + rng.choice(passages)[: rng.choice([150, 200, 400])]) for i in range(30)]
+    for depth, seed in ((200, 32), (64, 32), (16, 16)):
+        found = suffix_dedup.remove_repeated_strings(spark.createDataFrame(rows, "doc_id bigint, text string"), depth, seed)
+        expected = sorted(str(r[:5]) for r in brute.repeated_strings(rows, depth))
+        assert got(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == expected
 
 
 def test_substring_dedup(spark):
