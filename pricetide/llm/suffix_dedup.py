@@ -19,8 +19,8 @@ Each pass is one round of ``rounds``: sorted lists of distinct digits from chunk
 buckets, small answers back. Entries go to the bucket of their own digit, and a chunk sends a
 digit once however many of its suffixes hold it, so a group of any size costs a bucket one entry
 per chunk, and what follows a frequent seed is spread by the longer digits. No row per suffix
-travels, and texts are shuffled once. Answers to earlier passes travel on with each pass, so that
-the plan is a chain.
+travels, and texts are shuffled once. What earlier passes found travels on with each pass, so that
+the plan is a chain and no digit is computed again but to read the answers to it.
 
 Groups that end a sort (passes 2 and 4) are compared by two independent hashes, of bytes and of
 8-byte digits, together 124 bits: n different strings are expected to give n * n / 2**125 pairs
@@ -34,6 +34,7 @@ other; nulls in the id are kept; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +68,7 @@ def digit_sums(data: np.ndarray) -> Sums:
 
 
 class Suffixes:
-    """The sparse suffixes of a chunk: place, first and last window, and two digits."""
+    """The sparse suffixes of a chunk: place, first and last window, and the seed's digit."""
 
     def __init__(self, texts: list[bytes], depth: int, seed: int):
         self.depth = depth
@@ -83,8 +84,8 @@ class Suffixes:
         self.blocks = list(rounds.blocks(self.pieces, sizes, _BLOCK))
         found = [self._sparse(b, seed) for b in self.blocks]
         self.block = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-        join = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, U)] * 3
-        self.place, self.first, self.last, self.seed, self.cover, self.check = join
+        join = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, U)]
+        self.place, self.first, self.last, self.seed = join
         self.span = depth - seed + 1  # places a seed can have in a window
 
     def _load(self, block):
@@ -112,11 +113,8 @@ class Suffixes:
         place = (least[start] & _PLACE).astype(np.int64)
         opens = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1))))
         place, first, last = place[opens], start[opens], start[np.append(opens[1:], len(start)) - 1]
-        shape = mix(((place - first) << 20 | (last - first)).astype(U))
-        cover = mix(byte_range_hash(byte_sums(data), first, last + self.depth) + shape)
-        check = mix(digit_sums(data).range(first, last + self.depth - _DIGIT + 1) + h[place])
         move = shift[np.searchsorted(ends, first, side="right")]
-        return place + move, first + move, last + move, h[place], cover, check
+        return place + move, first + move, last + move, h[place]
 
     def hashes(self, own: np.ndarray, start: np.ndarray, end: np.ndarray, sums=byte_sums) -> np.ndarray:
         """A hash of each range within the bytes covered by its suffix; ``own`` ascends."""
@@ -131,17 +129,29 @@ class Suffixes:
             out[lo:hi] = mix(sums(data).range(start[lo:hi] - shift[piece], end[lo:hi] - shift[piece]))
         return out
 
+    def covers(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of all that the windows of suffixes cover, and of where the seed is in it."""
+        place, first, last = self.place[own], self.first[own], self.last[own]
+        shape = mix(((place - first) << 20 | (last - first)).astype(U))
+        check = mix(self.hashes(own, first, last + self.depth - _DIGIT + 1, digit_sums) + self.seed[own])
+        return mix(self.hashes(own, first, last + self.depth) + shape), check
+
     def parts(self, own: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Suffix, first and last window and digit of the parts of suffixes: windows by the offset
-        of their seed, and a hash of the bytes that all windows of this offset would share."""
+        """Suffix, first and last window and number of the parts of suffixes: windows by the offset
+        of their seed."""
         wide = -(-self.span // PARTS)
         low, high = ((self.place - self.last) // wide)[own], ((self.place - self.first) // wide)[own]
         many = high - low + 1
         suffix = np.repeat(own, many)
         part = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
-        place, least, most = self.place[suffix], part * wide, np.minimum((part + 1) * wide, self.span) - 1
-        digit = mix(self.hashes(suffix, place - least, place - most + self.depth) + part.astype(U))
-        return suffix, np.maximum(self.first[suffix], place - most), np.minimum(self.last[suffix], place - least), digit
+        place, most = self.place[suffix], np.minimum((part + 1) * wide, self.span) - 1
+        return suffix, np.maximum(self.first[suffix], place - most), np.minimum(self.last[suffix], place - part * wide), part
+
+    def shared(self, suffix: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """A hash of the bytes that all windows with these offsets of the seed would share."""
+        wide, place = -(-self.span // PARTS), self.place[suffix]
+        most = np.minimum((part + 1) * wide, self.span) - 1
+        return mix(self.hashes(suffix, place - part * wide, place - most + self.depth) + part.astype(U))
 
     def windows(self, own: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place and two hashes of every window from ``first`` to ``last`` of the suffixes ``own``."""
@@ -175,42 +185,48 @@ class Sorting:
     def __init__(self, chunk: pa.Table, answers: pa.Table | None, answered: int, depth: int, seed: int):
         self.texts = rounds.texts_of(chunk)
         self.suffixes = s = Suffixes(self.texts, depth, seed)
-        self.seeds, self.answers, self.answered, self.known = Groups(s.seed), answers, answered, {}
-        self.whole = np.zeros(len(s.seed), bool)  # suffixes all of whose windows repeat
-        if answers is None:
-            return
-        self.going = np.flatnonzero(self._verdict(1, self.seeds)[self.seeds.of] & 1)
-        self.covers = Groups(s.cover[self.going], s.check[self.going])
-
-    def _verdict(self, number: int, groups: Groups) -> np.ndarray:
+        self.answers, self.answered, self.known = answers, answered, {}
+        if answered >= 1:
+            self.going = np.flatnonzero(self._verdict(1, self.seeds) & 1)
+        if answered >= 2:
+            verdict = self._verdict(2, self.covers)
+            self.whole = self.going[(verdict & 1) > 0]  # suffixes all of whose windows repeat
+            # of each group that goes on, its first suffix in the first chunk
+            self.parts = s.parts(self.going[(verdict & 2) > 0])
+        if answered >= 3:
+            company = (self._verdict(3, self.shared) & 1) > 0
+            self.places, *self.digits = s.windows(*(x[company] for x in self.parts[:3]))
+
+    def _verdict(self, number: int, groups: Callable[[], Groups]) -> np.ndarray:
+        """Of everything sent in a pass: its group's answer, bit 2 for the first of the chunk only."""
         bucket = np.array(self.answers["bucket"].to_pylist(), np.int64)
-        if number == self.answered:
-            found = rounds.answered(self.answers.filter(pa.array(bucket >= 0))) if len(groups.one) else np.zeros(0, np.uint8)
-        else:
+        if number < self.answered:
             found = rounds.answered(self.answers.filter(pa.array((bucket < 0) & (-bucket % _PASSES == number))))
+        else:
+            groups = groups()
+            found = np.zeros(len(groups.of), np.uint8)
+            if len(found):
+                verdict = rounds.answered(self.answers.filter(pa.array(bucket >= 0)))
+                found = (verdict & 1)[groups.of]
+                found[groups.one] |= verdict & 2
         self.known[number] = found
         return found
 
-    def after_covers(self):
-        """Parts of the one suffix of each group that goes on, and their groups."""
-        verdict = self._verdict(2, self.covers)
-        self.whole[self.going] = (verdict & 1)[self.covers.of] > 0
-        own = np.sort(self.going[self.covers.one[(verdict & 2) > 0]])
-        self.parts = self.suffixes.parts(own)
-        self.groups = Groups(self.parts[3])
-
-    def after_parts(self):
-        """Windows of the parts with company, and their groups."""
-        self.after_covers()
-        company = (self._verdict(3, self.groups) & 1)[self.groups.of] > 0
-        self.places, digit, check = self.suffixes.windows(*(x[company] for x in self.parts[:3]))
-        self.windows = Groups(digit, check)
-
-    def after_windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """First and last byte + 1 of the maximal repeated runs."""
-        self.after_parts()
-        places = self.places[(self._verdict(4, self.windows) & 1)[self.windows.of] > 0]
-        s = self.suffixes
+    def seeds(self) -> Groups:
+        return Groups(self.suffixes.seed)
+
+    def covers(self) -> Groups:
+        return Groups(*self.suffixes.covers(self.going))
+
+    def shared(self) -> Groups:
+        return Groups(self.suffixes.shared(self.parts[0], self.parts[3]))
+
+    def windows(self) -> Groups:
+        return Groups(*self.digits)
+
+    def repeated(self) -> tuple[np.ndarray, np.ndarray]:
+        """First byte and last + 1 of the maximal repeated runs."""
+        places, s = self.places[(self._verdict(4, self.windows) & 1) > 0], self.suffixes
         return merged(np.concatenate((s.first[self.whole], places)), np.concatenate((s.last[self.whole], places)) + s.depth)
 
 
@@ -231,16 +247,7 @@ def _sorter(number: int, depth: int, seed: int, buckets: int):
         if not chunk.num_rows:
             return rounds.SENT_TYPE.empty_table()
         state = Sorting(chunk, answers, number - 1, depth, seed)
-        if number == 1:
-            groups = state.seeds
-        elif number == 2:
-            groups = state.covers
-        elif number == 3:
-            state.after_covers()
-            groups = state.groups
-        else:
-            state.after_parts()
-            groups = state.windows
+        groups = (state.seeds, state.covers, state.shared, state.windows)[number - 1]()
         at = chunk["chunk"][0].as_py()
         sent = rounds.send(at, groups.digit, buckets, _extra(groups.check, groups.size > 1))
         for earlier, verdict in state.known.items():  # back to this chunk with the answers
@@ -292,7 +299,7 @@ def _cutter(depth, seed, content, others):
         if not chunk.num_rows:
             return schema.empty_table()
         state = Sorting(chunk, answers, 4, depth, seed)
-        start, end = state.after_windows()
+        start, end = state.repeated()
         texts, suffixes = state.texts, state.suffixes
         cut_at = np.searchsorted(start, suffixes.base)
         out = {name: [] for name in OUT_TYPE.names}

@@ -97,7 +97,8 @@ def test_suffix_dedup_pieces(monkeypatch):
     order = np.argsort(places)
     for hashes in both:
         assert (hashes[order][: len(one)] == hashes[order][len(one) :]).all() and len(set(hashes.tolist())) == len({text[i : i + 200] for i in one})
-    own, first, last, digit = suffixes.parts(every)
+    own, first, last, part = suffixes.parts(every)
+    digit = suffixes.shared(own, part)
     assert sorted(i for a, b in zip(first, last) for i in range(a, b + 1)) == windows  # and one part
     assert (np.sort(digit[: len(digit) // 2]) == np.sort(digit[len(digit) // 2 :])).all()
 
