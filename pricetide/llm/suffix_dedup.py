@@ -183,7 +183,10 @@ class Sorting:
     """Where the suffixes of a chunk stand after the passes that have been answered."""
 
     def __init__(self, chunk: pa.Table, answers: pa.Table | None, answered: int, depth: int, seed: int):
-        self.texts = rounds.texts_of(chunk)
+        texts = rounds.texts_of(chunk)
+        # rows of a chunk arrive in any order; what passes hand on is in the order of the texts
+        self.order = sorted(range(len(texts)), key=texts.__getitem__)
+        self.texts = [texts[i] for i in self.order]
         self.suffixes = s = Suffixes(self.texts, depth, seed)
         self.answers, self.answered, self.known = answers, answered, {}
         if answered >= 1:
@@ -300,7 +303,7 @@ def _cutter(depth, seed, content, others):
             return schema.empty_table()
         state = Sorting(chunk, answers, 4, depth, seed)
         start, end = state.repeated()
-        texts, suffixes = state.texts, state.suffixes
+        texts, suffixes, chunk = state.texts, state.suffixes, chunk.take(pa.array(state.order))
         cut_at = np.searchsorted(start, suffixes.base)
         out = {name: [] for name in OUT_TYPE.names}
         for i, doc in enumerate(chunk["doc_id"].to_pylist()):

@@ -7,6 +7,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,6 +104,17 @@ def test_suffix_dedup_pieces(monkeypatch):
     assert (np.sort(digit[: len(digit) // 2]) == np.sort(digit[len(digit) // 2 :])).all()
 
 
+def test_suffix_dedup_order_of_rows():
+    """Shuffled rows reach a task in another order each time; passes must agree all the same."""
+    rng = random.Random(3)
+    texts = [None, "", *(prose(rng, 80) for _ in range(20))] * 2
+    chunks = [pa.table({"chunk": [0] * len(texts), "text": rng.sample(texts, len(texts))}) for _ in range(2)]
+    one, other = (suffix_dedup.Sorting(c, None, 0, 200, 32) for c in chunks)
+    assert one.texts == other.texts and one.order != other.order
+    for name in ("place", "first", "last", "seed"):
+        assert (getattr(one.suffixes, name) == getattr(other.suffixes, name)).all()
+
+
 def test_suffix_dedup_edges(spark):
     """Passages in ever different surroundings: the windows at their edges go through all passes."""
     rng = random.Random(4)
