@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import iso_instant, midpoint, number, strip
 from ..schema import CLEAN_COLUMNS, LINEAGE_COLUMNS, RAW_COLUMNS, RAW_TO_CLEAN
 from .quality import count_copies, require_columns, tally
-from .rows import settle
+from .rows import settle, with_copies
 
 TEXT_COLUMNS = [
     "product_id",
@@ -38,6 +38,12 @@ def dedup_exact(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return raw.drop(*[c for c in LINEAGE_COLUMNS if c not in carry]).distinct()
 
 
+def dedup_stored(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``dedup_exact`` of rows that are cheap to read twice: only possible copies are shuffled."""
+    columns = [c for c in raw.columns if c in carry or c not in LINEAGE_COLUMNS]
+    return with_copies(raw, columns).drop("_copies")
+
+
 def select_business_columns(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """The ten feed columns under their clean names; extra columns are dropped."""
     require_columns(raw, RAW_COLUMNS)
@@ -136,6 +142,11 @@ def clean(raw: DataFrame) -> DataFrame:
     return accepted(observe(raw))
 
 
+def clean_stored(raw: DataFrame) -> DataFrame:
+    """``clean`` of rows that are cheap to read twice; it shuffles hashes and possible copies."""
+    return accepted(observe_distinct(dedup_stored(raw)))
+
+
 def transform_accounting(raw: DataFrame) -> DataFrame:
     """Rows in and out of each cleaning step, as one row.
 
@@ -171,11 +182,12 @@ def sorted_observations(clean_rows: DataFrame) -> DataFrame:
 
     The remaining columns break ties so that the range partitioner can cut inside one
     product and merchant. Identical rows are counted first, and a large count is spread
-    over several sort rows, so that copies do not pile up in one task either.
+    over several sort rows, so that copies do not pile up in one task either. The rows are read
+    several times and should be a stored table; only those that may be copies are shuffled twice.
     """
     keys = ["product_id", "merchant", "date_seen"]
     others = [c for c in clean_rows.columns if c not in keys]
-    counted = clean_rows.groupBy(*keys, *others).agg(F.count(F.lit(1)).alias("_n"))
+    counted = with_copies(clean_rows, [*keys, *others]).withColumnRenamed("_copies", "_n")
     block = F.lit(COPIES_PER_BLOCK)
     blocks = counted.select(
         "*", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / block) - 1)).alias("_block")

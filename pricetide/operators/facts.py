@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import fill_blank, to_money
 from ..schema import CONDITION_WIDTH, CURRENCY_WIDTH, LOAD_KEY
+from ..session import staged
 from .dimensions import map_merchant_ids
 from .quality import require_columns
-from .rows import settle
+from .rows import HASHES_SENT, settle, with_copies
 
 REQUIRED = [
     "product_id",
@@ -66,44 +67,58 @@ def loadable(prepared: DataFrame) -> DataFrame:
 
 
 def distinct_facts(
-    rows: DataFrame, merchant: str = "merchant_id", carry: Sequence[str] = ()
+    rows: DataFrame, merchant: str = "merchant_id", carry: Sequence[str] = (), stored: bool = False
 ) -> DataFrame:
-    """One row per load key. Every other fact column follows from the key."""
+    """One row per load key. Every other fact column follows from the key.
+
+    ``stored`` rows are cheap to read twice: only those whose key may recur are shuffled.
+    """
     key = [merchant if c == "merchant_id" else c for c in LOAD_KEY]
     at = F.col("observed_at")
-    return (
-        rows.select(*key, *carry)
-        .distinct()
-        .withColumns(
-            {
-                "observed_date": F.to_date(at),
-                "observed_year": F.year(at),
-                "observed_month": F.month(at),
-            }
-        )
+    keys = rows.select(*key, *carry)
+    once = with_copies(keys, keys.columns).drop("_copies") if stored else keys.distinct()
+    return once.withColumns(
+        {
+            "observed_date": F.to_date(at),
+            "observed_year": F.year(at),
+            "observed_month": F.month(at),
+        }
     )
 
 
-def named_facts(clean_rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def named_facts(clean_rows: DataFrame, carry: Sequence[str] = (), stored: bool = False) -> DataFrame:
     """Facts under merchant names instead of ids, for analysis without a warehouse."""
     typed = _typed(clean_rows.select(*REQUIRED, *carry)).withColumn(
         "merchant", F.nullif(fill_blank(F.col("merchant")), F.lit(""))
     )
     judged = settle(typed.withColumn("reject_reason", load_problem(F.col("merchant"))), "reject_reason")
-    return distinct_facts(judged.where(F.col("reject_reason").isNull()), "merchant", carry)
+    return distinct_facts(judged.where(F.col("reject_reason").isNull()), "merchant", carry, stored)
 
 
 def new_facts(facts: DataFrame, stored: DataFrame) -> DataFrame:
     """Facts whose load key is not stored yet.
 
-    The stored keys are first cut to those of the batch. That join may broadcast the batch
-    where Catalyst finds it small, and the store is then read but not shuffled; the anti join
-    that follows only meets the few keys that both have. Give ``stored`` cut down to the
-    months of the batch, and ``facts`` as a stored table, as they are read twice.
+    Hashes of the keys are compared first. That join may broadcast the batch where Catalyst
+    finds it small, and the store is then read but not shuffled. Facts whose hash is not stored
+    are new; only the others and the stored keys of those hashes are compared as a whole. Where
+    more hashes are in both than tasks should be sent, all keys are compared. Give ``stored`` cut
+    down to the months of the batch, and ``facts`` as a stored table, as both are read twice.
     """
-    keys = facts.select(*LOAD_KEY)
-    hits = stored.select(*LOAD_KEY).join(keys, LOAD_KEY, "left_semi")
-    return facts.join(hits, LOAD_KEY, "left_anti")
+    key_hash = F.xxhash64(*LOAD_KEY).alias("_hash")
+    known = stored.select(*LOAD_KEY)
+    both = known.select(key_hash).join(facts.select(key_hash), "_hash", "left_semi").distinct()
+    hashes = staged(both, "both")
+    found = hashes.count()
+    if not found:
+        return facts
+    if found > HASHES_SENT:
+        return facts.join(known, LOAD_KEY, "left_anti")
+    sent = F.broadcast(hashes)
+    hashed = facts.select("*", key_hash)
+    unseen = hashed.join(sent, "_hash", "left_anti").drop("_hash")
+    hits = known.select("*", key_hash).join(sent, "_hash", "left_semi").drop("_hash")
+    seen = hashed.join(sent, "_hash", "left_semi").drop("_hash")
+    return unseen.unionByName(seen.join(hits, LOAD_KEY, "left_anti").select(*facts.columns))
 
 
 def load_accounting(facts_in: DataFrame, facts: DataFrame, stored: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from ..schema import (
     RAW_COLUMNS,
     STATUS_WIDTH,
 )
+from .rows import with_copies
 
 
 def quoted(name: str) -> Column:
@@ -130,12 +131,18 @@ def count_copies(rows: DataFrame, batch: str | None = None) -> DataFrame:
     """Each distinct row once, with how often it occurs as ``_copies``.
 
     The only shuffle on whole rows that validation and cleaning need. Its map-side
-    combine absorbs a row that is repeated very often.
+    combine absorbs a row that is repeated very often. For rows in a stored table
+    ``count_stored_copies`` does the same and shuffles less.
     """
     columns = [c for c in rows.columns if c == batch or c not in LINEAGE_COLUMNS]
     return rows.groupBy(*map(quoted, columns)).agg(F.count(F.lit(1)).alias("_copies"))
 
 
+def count_stored_copies(rows: DataFrame) -> DataFrame:
+    """``count_copies`` of rows that are cheap to read twice: only possible copies are shuffled."""
+    return with_copies(rows, [c for c in rows.columns if c not in LINEAGE_COLUMNS])
+
+
 def duplicate_count(rows: DataFrame) -> DataFrame:
     """Rows beyond the first copy of each row, over all feed columns."""
     totals = count_copies(rows).agg(

@@ -51,11 +51,11 @@ def order_raw(spark: SparkSession, folder: str, batch: bool = False) -> DataFram
 
 
 def order_clean(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean(order_raw(spark, folder))
+    return cleaning.clean_stored(staged(order_raw(spark, folder), "raw"))
 
 
 def order_facts(spark: SparkSession, folder: str) -> DataFrame:
-    return facts.named_facts(order_clean(spark, folder))
+    return facts.named_facts(order_clean(spark, folder), stored=True)
 
 
 def event_facts(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,7 +80,7 @@ def known_sellers(spark: SparkSession, folder: str) -> DataFrame:
 def id_facts(spark: SparkSession, folder: str, clean_rows: DataFrame | None = None) -> DataFrame:
     rows = order_clean(spark, folder) if clean_rows is None else clean_rows
     prepared = facts.prepare_facts(rows, all_sellers(spark, folder))
-    return facts.distinct_facts(facts.loadable(prepared))
+    return facts.distinct_facts(facts.loadable(prepared), stored=True)
 
 
 def earlier(rows: DataFrame, column: str = "observed_at") -> DataFrame:
@@ -210,7 +210,7 @@ def transform_accounting(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sorted_observations(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.sorted_observations(order_clean(spark, folder))
+    return cleaning.sorted_observations(staged(order_clean(spark, folder), "clean"))
 
 
 # --- quality ------------------------------------------------------------------------

@@ -30,10 +30,16 @@ def shared_folder(spark: SparkSession, purpose: str, base: str | None = None) ->
     return f"{_own(spark, base)}/{purpose}-{uuid.uuid4().hex}"
 
 
+# For tables that are written to be read again by the same run.
+COMPACT = {"compression": "zstd"}
+# Compressed feed rows are a few bytes each; a task reads several files of this many.
+ROWS_PER_FILE = 250_000
+
+
 def staged(rows: DataFrame, purpose: str) -> DataFrame:
     """Write a frame to the shared folder and read it back, for plans that use it twice."""
     path = shared_folder(rows.sparkSession, purpose)
-    rows.write.parquet(path)
+    rows.write.options(**COMPACT, maxRecordsPerFile=ROWS_PER_FILE).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
