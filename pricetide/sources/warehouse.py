@@ -25,7 +25,7 @@ from ..operators.dimensions import dim_merchants, dim_products, new_merchants
 from ..operators.facts import distinct_facts, loadable, new_facts, prepare_facts, star
 from ..operators.quality import require_loadable
 from ..schema import MERCHANTS, PRICE_HISTORY, PRODUCTS
-from ..session import folder_exists
+from ..session import COMPACT, ROWS_PER_FILE, folder_exists
 
 COMMITS = T.StructType(
     [
@@ -85,7 +85,9 @@ class Warehouse:
 
     def _read(self, table: str, schema: T.StructType, folders: list[str]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            # No rows, and known to be none: joins need not be planned for a table of unknown size.
+            empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+            return self.spark.range(0).select(*empty)
         reader = self.spark.read.schema(schema).option("basePath", self._path(table))
         return reader.parquet(*folders).select(*schema.names)
 
@@ -194,9 +196,11 @@ class Warehouse:
         if policy == "strict" and missing:
             raise LoadRejected(f"{missing} rows have no product id")
 
-        self._write(distinct_facts(loadable(prepared)), "staged", "facts")
-        facts = self.spark.read.parquet(self._path("staged", "facts"))
-        fresh = new_facts(facts, self._same_months(facts, done)) if done else facts
+        fresh = distinct_facts(loadable(prepared), stored=True)
+        if done:  # only then they are read again and again
+            self._write(fresh, "staged", "facts")
+            facts = self.spark.read.parquet(self._path("staged", "facts"))
+            fresh = new_facts(facts, self._same_months(facts, done))
         first_price = done[-1].next_price_id if done else 1
         inserted = self._append_facts(fresh, load, first_price)
         self._commit((load, next_id, first_price + inserted, received, inserted, refused, None, batch, None))
@@ -208,7 +212,8 @@ class Warehouse:
 
     def _write(self, rows: DataFrame, *folder: str, by: Iterable[str] = ()) -> None:
         # Overwriting makes a repeated, uncommitted load start clean.
-        rows.write.mode("overwrite").partitionBy(*by).parquet(self._path(*folder))
+        writer = rows.write.mode("overwrite").options(**COMPACT, maxRecordsPerFile=ROWS_PER_FILE)
+        writer.partitionBy(*by).parquet(self._path(*folder))
 
     def _same_months(self, facts: DataFrame, done: list) -> DataFrame:
         """Stored facts of the months a batch touches, so that no others are read.
