@@ -15,7 +15,7 @@ from ..operators.cleaning import (
     rejected,
 )
 from ..operators.quality import (
-    count_copies,
+    count_stored_copies,
     quoted,
     require_columns,
     require_valid,
@@ -25,7 +25,7 @@ from ..operators.quality import (
 from ..errors import FeedRejected
 from ..functions import number
 from ..schema import RAW_COLUMNS
-from ..session import prepare
+from ..session import COMPACT, ROWS_PER_FILE, prepare
 from ..sources.raw import MALFORMED, landed, scan_for_landing, write_landed
 from ..sources.warehouse import LoadResult, Warehouse
 from .ledger import RunLedger
@@ -40,7 +40,8 @@ def write_processed(observed: DataFrame, path: str) -> None:
     """Replace the processed table: good rows and rejects from one pass, side by side."""
     good = F.col("reject_reason").isNull()
     labelled = observed.withColumn("outcome", F.when(good, "clean").otherwise("rejected"))
-    labelled.write.mode("overwrite").partitionBy("outcome").parquet(path)
+    writer = labelled.write.mode("overwrite").partitionBy("outcome")
+    writer.options(**COMPACT, maxRecordsPerFile=ROWS_PER_FILE).parquet(path)
 
 
 def read_processed(spark: SparkSession, path: str, schema: DataFrame) -> DataFrame:
@@ -125,12 +126,12 @@ def run_batch(
         raw = batch_rows.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
 
         # Written once: the report and the cleaning both start from distinct rows, and
-        # whole rows are shuffled a single time per run.
+        # only rows that may be copies are shuffled as a whole.
         require_columns(raw, RAW_COLUMNS)
         counted_path = f"{root}/staged/rows"
         seen = Observation()
-        counted = count_copies(raw).observe(seen, usable_rows().alias("usable"))
-        counted.write.mode("overwrite").parquet(counted_path)
+        counted = count_stored_copies(raw).observe(seen, usable_rows().alias("usable"))
+        counted.write.mode("overwrite").options(**COMPACT, maxRecordsPerFile=ROWS_PER_FILE).parquet(counted_path)
         usable = seen.get["usable"]
         rows = spark.read.parquet(counted_path)
         report_path = f"{root}/reports/batch={name}"

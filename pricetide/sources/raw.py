@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..errors import LoadRejected
 from ..functions import missing_as_null
-from ..session import shared_folder
+from ..session import COMPACT, ROWS_PER_FILE, shared_folder
 
 # Header, doubled quotes inside quoted cells, and text kept exactly as written.
 CSV_OPTIONS = {
@@ -32,6 +32,7 @@ ONE_LINE = {
     "spark.sql.adaptive.enabled": "false",
 }
 FILES_PER_LOOK = 100
+ROWS_PER_RAW_FILE = 2_000_000
 ARRIVAL = "path string, modificationTime timestamp, length bigint, content binary"
 
 # Text of a row whose cells do not fit its header, NULL for other rows.
@@ -99,7 +100,8 @@ def scan_for_landing(
 
 def write_landed(rows: DataFrame, table: str, batch_id: str) -> None:
     folder = f"{table.rstrip('/')}/_batch_id={batch_id}"
-    rows.drop("_batch_id").write.mode("overwrite").parquet(folder)
+    writer = rows.drop("_batch_id").write.mode("overwrite")
+    writer.options(**COMPACT, maxRecordsPerFile=ROWS_PER_FILE).parquet(folder)
 
 
 def _headers(table: str) -> str:
@@ -173,5 +175,9 @@ def _scan_alike(spark: SparkSession, files: list[str], multiline: bool, traced:
 
 
 def write_raw_files(rows: DataFrame, path: str) -> None:
-    """Write a feed in the file format ``scan_raw_prices`` reads."""
-    rows.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    """Write a feed in the file format ``scan_raw_prices`` reads, compressed.
+
+    A compressed file is read by one task, so no file gets more than ``ROWS_PER_RAW_FILE`` rows.
+    """
+    options = {"compression": "gzip", "maxRecordsPerFile": ROWS_PER_RAW_FILE, **CSV_OPTIONS}
+    rows.write.mode("overwrite").options(**options).csv(path)
