@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +32,6 @@ def cheapest_merchant(facts: DataFrame, merchant: str = "merchant") -> DataFrame
 
 def market_position(facts: DataFrame, merchant: str = "merchant", **limits: int) -> DataFrame:
     """Each current offer with the size, sum and minimum of its market and its price rank."""
-    now = current_offers(facts, merchant)
-    heavy = heavy_groups(now, MARKET, **limits)
     whole = Window.partitionBy(*MARKET)
 
     def windowed(rows: DataFrame) -> DataFrame:
@@ -43,26 +44,43 @@ def market_position(facts: DataFrame, merchant: str = "merchant", **limits: int)
             }
         )
 
+    # A market has no more offers than observations, so where these fit, nothing is to be cut.
+    if heavy_groups(facts, MARKET, **limits) is None:
+        return windowed(current_price(facts, merchant))
+    now = current_offers(facts, merchant)
+    heavy = heavy_groups(now, MARKET, **limits)
     if heavy is None:
         return windowed(now)
-    # Products with very many merchants: totals are aggregated, and the rank is one plus
-    # the number of offers at lower price levels. There is one total per heavy group; the
-    # joins back are split by the adaptive skew join where they are not broadcast.
-    rows = staged(flagged(now, MARKET, heavy), "current")
-    crowded = rows.where("_busy").drop("_busy")
-    totals = crowded.groupBy(*MARKET).agg(
-        F.count(F.lit(1)).alias("offers"),
-        F.sum("price").alias("total"),
-        F.min("price").alias("lowest"),
+    # Products with very many merchants: the rank is one plus the number of offers at lower price
+    # levels, and the totals are taken over the levels too, so that offers move once, for the join
+    # with their level; the adaptive skew join splits it where it is not broadcast. Where most
+    # offers are in such markets, the others go with them instead of being told apart.
+    # Rows without a key are not joined either.
+    busy = heavy.agg(F.sum("_rows")).first()[0]
+    keyed = reduce(and_, [F.col(key).isNotNull() for key in MARKET])
+    if 2 * busy < now.count():
+        rows = staged(flagged(now, MARKET, heavy), "current")
+        crowded, others = rows.where(F.col("_busy") & keyed), rows.where(~F.col("_busy") | ~keyed)
+    else:
+        crowded, others = now.where(keyed), now.where(~keyed)
+    levels = crowded.groupBy(*MARKET, "price").agg(
+        F.count(F.lit(1)).alias("offers"), F.sum("price").alias("total"), F.min("price").alias("lowest")
     )
-    levels = crowded.groupBy(*MARKET, "price").agg(F.count(F.lit(1)).alias("_n"))
-    cheaper = with_total_before(levels, MARKET, ["price"], "_n", "_cheaper", **limits)
-    ranked = crowded.join(cheaper.drop("_n"), [*MARKET, "price"]).withColumn(
-        "price_rank", F.col("_cheaper") + 1
+    levels = staged(levels, "levels")  # counted, cut and summed from there
+    wholes = {"offers": F.sum("offers"), "total": F.sum("total"), "lowest": F.min("lowest")}
+    cheaper = with_total_before(levels, MARKET, ["price"], "offers", "_cheaper", wholes, **limits)
+    at_level = F.col("price").eqNullSafe(F.col("_at_price"))
+    same_level = reduce(and_, [F.col(key) == F.col(f"_at_{key}") for key in MARKET], at_level)
+    ranked = crowded.join(
+        cheaper.withColumnsRenamed({name: f"_at_{name}" for name in [*MARKET, "price"]}), same_level
+    ).select(
+        *now.columns,
+        "offers",
+        F.col("total").cast(levels.schema["total"].dataType).alias("total"),
+        "lowest",
+        (F.col("_cheaper") + 1).alias("price_rank"),
     )
-    joined = ranked.join(totals, MARKET)
-    light = windowed(rows.where("not _busy").drop("_busy"))
-    return light.unionByName(joined.select(*light.columns))
+    return windowed(others.select(*now.columns)).unionByName(ranked)
 
 
 def competitor_comparison(facts: DataFrame, merchant: str = "merchant", **limits: int) -> DataFrame:

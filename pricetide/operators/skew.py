@@ -162,29 +162,48 @@ def with_total_before(
     order: Sequence[str],
     amount: str,
     total: str,
+    wholes: dict[str, Column] | None = None,
     **limits: int,
 ) -> DataFrame:
     """Add the sum of ``amount`` over the earlier rows of each group (0 for the first).
 
-    ``order`` must be unique within a group.
+    ``order`` must be unique within a group. ``wholes`` adds figures of the whole group: sums or
+    minima of columns that keep their name, such as ``{"n": F.sum("n")}``, as they are taken again
+    over the slices of a heavy group.
     """
+    wholes = wholes or {}
     heavy = heavy_groups(rows, keys, **limits)
     earlier = (Window.unboundedPreceding, -1)
+
+    def windowed(some: DataFrame, place: Sequence[str]) -> DataFrame:
+        group = Window.partitionBy(*place)
+        before = F.sum(amount).over(group.orderBy(*order).rowsBetween(*earlier))
+        figures = {f"_all_{name}": figure.over(group) for name, figure in wholes.items()}
+        return some.withColumns({total: F.coalesce(before, F.lit(0)), **figures})
+
     if heavy is None:
-        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*earlier)
-        return rows.withColumn(total, F.coalesce(F.sum(amount).over(window), F.lit(0)))
+        return windowed(rows, keys).select(
+            *[c for c in rows.columns if c not in wholes], total, *[F.col(f"_all_{c}").alias(c) for c in wholes]
+        )
 
     cuts = choose_cuts(rows, keys, order, heavy, **limits)
     sliced = assign_slices(rows, keys, order, cuts)
     place = [*keys, "_slice"]
-    window = Window.partitionBy(*place).orderBy(*order).rowsBetween(*earlier)
-    inner = sliced.withColumn(total, F.coalesce(F.sum(amount).over(window), F.lit(0)))
-    sums = sliced.where("_heavy").groupBy(*place).agg(F.sum(amount).alias("_sum"))
-    across = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*earlier)
+    inner = windowed(sliced, place)
+    sums = sliced.where("_heavy").groupBy(*place).agg(
+        F.sum(amount).alias("_sum"), *[figure.alias(name) for name, figure in wholes.items()]
+    )
+    group = Window.partitionBy(*keys)
+    across = group.orderBy("_slice").rowsBetween(*earlier)
     # One row per slice of a heavy group.
-    carried = sums.select(*place, F.coalesce(F.sum("_sum").over(across), F.lit(0)).alias("_before"))
+    carried = sums.select(
+        *place,
+        F.coalesce(F.sum("_sum").over(across), F.lit(0)).alias("_before"),
+        *[figure.over(group).alias(f"_group_{name}") for name, figure in wholes.items()],
+    )
     joined = inner.join(carried, place, "left")
     return joined.select(
-        *rows.columns,
+        *[c for c in rows.columns if c not in wholes],
         (F.col(total) + F.coalesce(F.col("_before"), F.lit(0))).alias(total),
+        *[F.coalesce(f"_group_{name}", f"_all_{name}").alias(name) for name in wholes],
     )

@@ -102,3 +102,27 @@ def test_many_cuts_use_both_search_levels(spark):
     rows = spark.createDataFrame([("a", i) for i in range(2000)], "k string, i int")
     args = (["k"], ["i"], {"before": "i"})
     same(skew.with_previous(rows, *args), skew.with_previous(rows, *args, **CUT))
+
+
+def test_total_before_with_figures_of_the_group(spark):
+    rows = spark.createDataFrame([("a", i, i % 7) for i in range(50)] + [("b", 1, 5)], "k string, i int, n int")
+    got = skew.with_total_before(rows, ["k"], ["i"], "n", "before", {"n": F.sum("n")}, **CUT)
+    same(got, skew.with_total_before(rows, ["k"], ["i"], "n", "before", {"n": F.sum("n")}))
+    whole = sum(i % 7 for i in range(50))
+    assert {(r.k, r.n) for r in got.collect()} == {("a", whole), ("b", 5)}
+
+
+@pytest.mark.parametrize("crowd", [30, 4])
+def test_market_position_moves_offers_once(spark, crowd):
+    """Mostly crowded markets and mostly small ones; a market without a key or price is kept."""
+    at, one = datetime(2020, 1, 1), Decimal(1)
+    rows = [(f"p{p}", f"m{i}", "USD", "new", at, Decimal(i % 9), one, one) for p in range(3) for i in range(crowd)]
+    rows += [(f"q{i}", "m", "USD", "new", at, one, one, one) for i in range(5)]
+    rows += [("hot", f"m{i}", "USD", "new", at, Decimal(i % 9), one, one) for i in range(9)]
+    rows += [("hot", "free", "USD", "new", at, None, one, one), *[("n", f"m{i}", None, "new", at, one, one, one) for i in range(6)]]
+    facts = spark.createDataFrame(rows, SCHEMA)
+    cut = market.market_position(facts, **CUT)
+    same(market.market_position(facts), cut)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line and "_hash" not in line]
+    assert len(joins) == 1
