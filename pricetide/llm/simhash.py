@@ -35,7 +35,8 @@ from pricetide.llm.hashing import U, Words, mix
 from pricetide.llm.shared import ship, stage, table, text_bytes
 
 BITS, SHINGLE = 128, 3
-_TERMS = 1 << 15  # terms whose bits are unpacked at a time
+#: Of each byte its bits, first to last, as eight counters of a byte each.
+_COUNTERS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(U).ravel()
 
 
 def fingerprints(texts: list[bytes]) -> np.ndarray:
@@ -50,17 +51,34 @@ def fingerprints(texts: list[bytes]) -> np.ndarray:
     owner = owner[first]
     order = np.argsort(owner, kind="stable")
     hashes, owner, weight = hashes[order], owner[order], np.rint(64 * (1 + np.log2(count[order]))).astype(np.int32)
-    votes = np.zeros((len(texts), BITS), np.int64)  # whole numbers: sums do not depend on blocks
-    for lo in range(0, len(hashes), _TERMS):
-        h, o = hashes[lo : lo + _TERMS], owner[lo : lo + _TERMS]
-        two = np.stack((h, mix(h ^ U(0x6A09E667F3BCC909))), axis=1).astype("<u8")
-        bits = np.unpackbits(two.view(np.uint8), axis=1).astype(np.int32)
-        bits = (bits * 2 - 1) * weight[lo : lo + _TERMS, None]
-        opens = np.flatnonzero(np.concatenate(([True], o[1:] != o[:-1])))
-        votes[o[opens]] += np.add.reduceat(bits, opens, axis=0)
+    votes = _votes(hashes, owner, weight, len(texts))
     return np.packbits(votes > 0, axis=1)
 
 
+def _votes(hashes: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """(n, BITS) sums of weights, plus where a term's bit is set and minus where it is not.
+
+    ``owner`` ascends. Terms of a common weight are counted: a byte of their hashes stands for eight
+    counters of a byte each in one number, so one sum over up to 255 terms counts eight bits.
+    """
+    votes = np.zeros((n, BITS), np.int64)  # whole numbers: sums do not depend on blocks
+    for common in np.unique(weight).tolist():
+        some = weight == common
+        h, o = hashes[some], owner[some]
+        opens = np.flatnonzero(np.concatenate(([True], o[1:] != o[:-1])))
+        size = np.diff(np.append(opens, len(o)))
+        runs = -(-size // 255)
+        first = np.repeat(opens - 255 * (np.cumsum(runs) - runs), runs) + 255 * np.arange(runs.sum())
+        counts = np.empty((len(first), BITS // 8), U)
+        for half, digits in enumerate((h, mix(h ^ U(0x6A09E667F3BCC909)))):
+            digits = digits.astype("<u8").view(np.uint8).reshape(-1, 8)
+            for byte in range(8):
+                counts[:, 8 * half + byte] = np.add.reduceat(_COUNTERS[digits[:, byte]], first)
+        counts = np.add.reduceat(counts.view(np.uint8).astype(np.int64), np.cumsum(runs) - runs, axis=0)
+        votes[o[opens]] += (2 * counts - size[:, None]) * common
+    return votes
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated cosine of the texts of fingerprints, from 0 to 1."""
     differ = np.bitwise_count(a ^ b).sum(axis=1)
