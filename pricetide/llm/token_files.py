@@ -13,9 +13,10 @@ parts before it, one number per file.
 
 Encoding takes the tokenizers library to pieces of text between single spaces: for tokenizers
 whose pre-tokenizer never looks across a space that follows a non-space and precedes another
-(byte-level BPE), pieces encode alone as they do in place. Each worker keeps what it has
-encoded, as most pieces recur; texts with runs of white space that the rule does not cover are
-encoded whole.
+(byte-level BPE), pieces encode alone as they do in place. Texts are split and their distinct
+pieces found a block at a time. Each worker keeps what it has encoded, as most pieces recur; new
+pieces are encoded many in one text and cut apart by the bytes of their tokens. Texts with runs of
+white space that the rule does not cover are encoded whole.
 
 Defined cases: null text counts as empty, and an empty text is its end id alone; null ids come
 first; rows that repeat an id lie together, in the order of a hash of their texts; an empty
@@ -27,11 +28,12 @@ from __future__ import annotations
 import re
 import zlib
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,30 +44,20 @@ from pricetide.llm.shared import shared_path, ship, table, text_bytes
 TOKENIZER, END = "byte_bpe_50k.json", 2
 ROW_GROUP, PAGE = 8 << 20, 64 << 10
 KEPT_CHARS = 5_000_000  # of encoded pieces in a worker's memory, some 150 MB with their ids
-_ROWS = 1000  # rows whose texts are held at a time
+_ROWS = 2000  # rows whose texts are held at a time
+_BLOCK = 1 << 22  # characters that are split at a time
+_JOINED = 2000  # new pieces that are encoded as one text
 _UNSAFE = re.compile(r"\s \s|\s $")
+#: A full stop or comma between a letter or digit and a space is always a token of its own: it
+#: becomes a piece, marked as not coming after a space.
+_STOP, _MARK = "([0-9A-Za-z])([.,]) ", "\x01"
+_PLAIN = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL)  # no white space at either end
 WRITTEN = "part int, doc_id bigint, start bigint, n_tokens bigint, ids array<int>"
 WRITTEN_TYPE = pa.schema(
     [("part", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))]
 )
 
 
-class _New(dict):
-    """Numbers keys as they come, and lists those that are new."""
-
-    def __init__(self, pieces: "Pieces", lead: str):
-        self.pieces, self.lead = pieces, lead
-
-    def __missing__(self, key: str) -> int:
-        # a full stop or comma after a letter or digit is always a token of its own
-        if len(key) > 1 and key[-1] in ".," and key[-2].isalnum():
-            self[key] = number = self.pieces.add((self[key[:-1]], self.pieces.first[key[-1]]))
-        else:
-            self[key] = number = self.pieces.add(self.lead + key)
-        self.pieces.chars += len(key) + 1
-        return number
-
-
 class _Grown:
     """A number array that grows at its end."""
 
@@ -84,58 +76,84 @@ class Pieces:
 
     def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         # The library takes the names of added tokens out of a text before it splits the rest.
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        byte_level = isinstance(self.tokenizer.pre_tokenizer, ByteLevel) and self.tokenizer.normalizer is None
+        self.joins = byte_level and not any(" " in name for name in self.added)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.width = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)  # bytes of each token
+        self.width[list(vocabulary.values())] = [len(token) for token in vocabulary]
         self.end = end
         self.forget()
 
     def forget(self) -> None:
-        self.inner, self.first, self.whole = _New(self, " "), _New(self, ""), {}
+        self.inner, self.first, self.whole = {}, {}, {}
         self.ids, self.at = _Grown([self.end], np.int32), _Grown([0, 1], np.int64)
-        self.new, self.chars = [], 0
-
-    def add(self, piece: str | tuple[int, int]) -> int:
-        self.new.append(piece)
-        return self.at.size - 1 + len(self.new) - 1
-
-    def _keep_new(self) -> None:
-        texts = [p for p in self.new if isinstance(p, str)]
-        coded = iter(self.tokenizer.encode_batch(texts, add_special_tokens=False))
-        known, found = self.at.size - 1, []
-        at, ids = self.at.data, self.ids.data
-        for piece in self.new:
-            if isinstance(piece, str):
-                found.append(next(coded).ids)
-            else:
-                found.append([i for n in piece for i in (found[n - known] if n >= known else ids[at[n] : at[n + 1]].tolist())])
+        self.chars = 0
+
+    def _numbers(self, known: dict[str, int], pieces: list[str], lead: str = "") -> np.ndarray:
+        """Numbers of distinct pieces; new ones are encoded, each after ``lead``."""
+        numbers = np.array([known.get(p, -1) for p in pieces], np.int64)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            missing = [pieces[i] for i in new.tolist()]
+            joined = np.array([bool(lead and self.joins and _PLAIN.fullmatch(p)) for p in missing])
+            for some, encode in ((new[joined], self._joined), (new[~joined], self._alone)):
+                texts = [pieces[i] for i in some.tolist()]
+                for lo in range(0, len(texts), _JOINED):
+                    ids, size = encode([t[1:] if lead and t[:1] == _MARK else lead + t for t in texts[lo : lo + _JOINED]])
+                    numbers[some[lo : lo + _JOINED]] = self.at.size - 1 + np.arange(len(size))
+                    self.at.extend(self.ids.size + np.cumsum(size))
+                    self.ids.extend(ids)
+            known.update(zip(missing, numbers[new].tolist()))
+            self.chars += sum(map(len, missing)) + len(missing)
+        return numbers
+
+    def _alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         size = np.fromiter(map(len, found), np.int64, len(found))
-        self.at.extend(at[known] + np.cumsum(size))
-        self.ids.extend(np.fromiter(chain.from_iterable(found), np.int32, int(size.sum())))
-        self.new = []
+        return np.fromiter(chain.from_iterable(found), np.int32, int(size.sum())), size
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_alone`` in one text, cut where the bytes of the tokens add up to those of a piece."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.cumsum(self.width[ids])
+        wanted = np.cumsum([len(p.encode()) for p in pieces])
+        last = np.searchsorted(ends, wanted)
+        if not len(ends) or ends[-1] != wanted[-1] or (ends[last] != wanted).any():  # bytes the vocabulary lacks
+            return self._alone(pieces)
+        return ids, np.diff(last, prepend=-1)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with its end id, and how many each has."""
         if self.chars > KEPT_CHARS:
             self.forget()
-        numbers, counts = [], []
-        for text in texts:
-            if _UNSAFE.search(text) or any(name in text for name in self.added):
-                if text not in self.whole:
-                    self.whole[text] = self.add(text)
-                    self.chars += len(text)
-                numbers.append(self.whole[text])
-                counts.append(2)
-            else:
-                head, *rest = text.split(" ")
-                numbers.append(self.first[head])
-                numbers.extend(map(self.inner.__getitem__, rest))
-                counts.append(len(rest) + 2)
-            numbers.append(0)  # the end id
-        if self.new:
-            self._keep_new()
-        numbers = np.array(numbers, np.int64)
+        whole = [_MARK, *self.added]
+        cut = np.array([not (_UNSAFE.search(t) or any(name in t for name in whole)) for t in texts])
+        marked = pc.replace_substring_regex(pa.array(compress(texts, cut), pa.large_string()), _STOP, rf"\1 {_MARK}\2 ")
+        split = pc.split_pattern(marked, " ")
+        offsets = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        code, pieces = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        heads = np.zeros(len(code), bool)
+        heads[offsets[:-1]] = True
+        number = np.empty(len(code), np.int64)
+        for some, known, lead in ((heads, self.first, ""), (~heads, self.inner, " ")):
+            own, place = np.unique(code[some], return_inverse=True)
+            number[some] = self._numbers(known, [pieces[i] for i in own.tolist()], lead)[place]
+        rest = list(compress(texts, ~cut))
+        distinct = list(dict.fromkeys(rest))
+        whole = dict(zip(distinct, self._numbers(self.whole, distinct).tolist()))
+
+        counts = np.full(len(texts), 2)  # numbers of each text: its pieces, and 0 for the end id
+        counts[cut] = np.diff(offsets) + 1
+        starts = np.cumsum(counts) - counts
+        numbers = np.zeros(counts.sum(), np.int64)
+        numbers[np.repeat(starts[cut] - offsets[:-1], np.diff(offsets)) + np.arange(len(code))] = number
+        numbers[starts[~cut]] = [whole[t] for t in rest]
         at = self.at.data
         start = at[numbers]
         size = at[numbers + 1] - start
@@ -157,7 +175,7 @@ def _encoder(path: str, end: int):
             for lo in range(0, batch.num_rows, _ROWS):
                 rows, at = batch.slice(lo, _ROWS), 0
                 texts = [t or "" for t in rows["text"].to_pylist()]
-                for block in rounds.blocks(texts, [len(t) for t in texts], 1 << 20):
+                for block in rounds.blocks(texts, [len(t) for t in texts], _BLOCK):
                     ids, size = pieces.encode(block)
                     offsets = np.concatenate(([0], np.cumsum(size)))
                     columns = [
