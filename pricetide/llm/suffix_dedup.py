@@ -20,7 +20,8 @@ buckets, small answers back. Entries go to the bucket of their own digit, and a
 digit once however many of its suffixes hold it, so a group of any size costs a bucket one entry
 per chunk, and what follows a frequent seed is spread by the longer digits. No row per suffix
 travels, and texts are shuffled once. What earlier passes found travels on with each pass, so that
-the plan is a chain and no digit is computed again but to read the answers to it.
+the plan is a chain and no digit is computed again but to read the answers to it. So do the places
+of the sparse suffixes (a few bytes each, packed), which are searched for in the first pass only.
 
 Groups that end a sort (passes 2 and 4) are compared by two independent hashes, of bytes and of
 8-byte digits, together 124 bits: n different strings are expected to give n * n / 2**125 pairs
@@ -35,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +53,7 @@ SEED = 32
 PARTS = 4
 _DIGIT = 8
 _PASSES = 5  # one more than there are
+_FOUND = 0  # the number under which the suffixes themselves are handed on
 _BLOCK = 1 << 18  # bytes of text worked on at a time
 _PLACE = U(0xFFFFFF)
 OUT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
@@ -70,8 +73,9 @@ def digit_sums(data: np.ndarray) -> Sums:
 class Suffixes:
     """The sparse suffixes of a chunk: place, first and last window, and the seed's digit."""
 
-    def __init__(self, texts: list[bytes], depth: int, seed: int):
-        self.depth = depth
+    def __init__(self, texts: list[bytes], depth: int, seed: int, packed: np.ndarray | None = None):
+        """With what ``packed`` gave for the same texts nothing is searched for again."""
+        self.depth, self.width = depth, seed
         self.base = np.zeros(len(texts) + 1, np.int64)  # texts lie apart by one byte
         np.cumsum([len(t) + 1 for t in texts], out=self.base[1:])
         self.pieces = []  # (place in the chunk, bytes, ends of texts in it)
@@ -82,11 +86,37 @@ class Suffixes:
                     self.pieces.append((int(self.base[i]) + at, piece))
         sizes = [len(p) for _, p in self.pieces]
         self.blocks = list(rounds.blocks(self.pieces, sizes, _BLOCK))
-        found = [self._sparse(b, seed) for b in self.blocks]
-        self.block = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-        join = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, U)]
-        self.place, self.first, self.last, self.seed = join
         self.span = depth - seed + 1  # places a seed can have in a window
+        if packed is None:
+            found = [self._sparse(b, seed) for b in self.blocks]
+            self.block = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+            join = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, U)]
+            self.place, self.first, self.last, self.seed = join
+            return
+        numbers = np.ascontiguousarray(packed.reshape(4, -1).T).view("<i4").ravel().astype(np.int64)
+        counts, rest = np.split(numbers, [len(self.blocks)])
+        gap, size, offset = rest.reshape(3, -1)
+        self.block, self.first = np.repeat(np.arange(len(counts)), counts), np.cumsum(gap)
+        self.last, self.place = self.first + size, self.first + offset
+
+    def packed(self) -> np.ndarray:
+        """Suffixes per block, then windows and places by their distances, byte plane by byte plane."""
+        counts = np.bincount(self.block, minlength=len(self.blocks))
+        numbers = np.concatenate((counts, np.diff(self.first, prepend=0), self.last - self.first, self.place - self.first))
+        return numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.ravel()
+
+    @cached_property
+    def seed(self) -> np.ndarray:
+        """The hash of each seed, as ``_sparse`` gives it."""
+        out = np.zeros(len(self.place), U)
+        cut = np.searchsorted(self.block, np.arange(len(self.blocks) + 1))
+        for block, lo, hi in zip(self.blocks, cut, cut[1:]):
+            data, _, _, shift = self._load(block)
+            piece = np.searchsorted([p for p, _ in block], self.first[lo:hi], side="right") - 1
+            at = self.place[lo:hi] - shift[piece]
+            for i in range(self.width):
+                out[lo:hi] = out[lo:hi] * U(_BASE) + _BYTE[data[at + i]]
+        return mix(out)
 
     def _load(self, block):
         """Bytes of a block's pieces, where each begins in the block, and its shift to the chunk."""
@@ -187,8 +217,10 @@ class Sorting:
         # rows of a chunk arrive in any order; what passes hand on is in the order of the texts
         self.order = sorted(range(len(texts)), key=texts.__getitem__)
         self.texts = [texts[i] for i in self.order]
-        self.suffixes = s = Suffixes(self.texts, depth, seed)
         self.answers, self.answered, self.known = answers, answered, {}
+        packed = self._handed(_FOUND) if answered else None
+        self.suffixes = s = Suffixes(self.texts, depth, seed, packed)
+        self.known[_FOUND] = packed if answered else s.packed()
         if answered >= 1:
             self.going = np.flatnonzero(self._verdict(1, self.seeds) & 1)
         if answered >= 2:
@@ -200,15 +232,20 @@ class Sorting:
             company = (self._verdict(3, self.shared) & 1) > 0
             self.places, *self.digits = s.windows(*(x[company] for x in self.parts[:3]))
 
+    def _handed(self, number: int) -> np.ndarray:
+        """What an earlier pass handed on under a number."""
+        bucket = np.array(self.answers["bucket"].to_pylist(), np.int64)
+        return rounds.answered(self.answers.filter(pa.array((bucket < 0) & (-bucket % _PASSES == number))))
+
     def _verdict(self, number: int, groups: Callable[[], Groups]) -> np.ndarray:
         """Of everything sent in a pass: its group's answer, bit 2 for the first of the chunk only."""
-        bucket = np.array(self.answers["bucket"].to_pylist(), np.int64)
         if number < self.answered:
-            found = rounds.answered(self.answers.filter(pa.array((bucket < 0) & (-bucket % _PASSES == number))))
+            found = self._handed(number)
         else:
             groups = groups()
             found = np.zeros(len(groups.of), np.uint8)
             if len(found):
+                bucket = np.array(self.answers["bucket"].to_pylist(), np.int64)
                 verdict = rounds.answered(self.answers.filter(pa.array(bucket >= 0)))
                 found = (verdict & 1)[groups.of]
                 found[groups.one] |= verdict & 2
