@@ -25,10 +25,9 @@ table writes files without rows.
 
 from __future__ import annotations
 
-import re
 import zlib
 from functools import lru_cache
-from itertools import chain, compress
+from itertools import chain, compress, repeat
 
 import numpy as np
 import public_tokenizers
@@ -47,11 +46,12 @@ KEPT_CHARS = 5_000_000  # of encoded pieces in a worker's memory, some 150 MB wi
 _ROWS = 2000  # rows whose texts are held at a time
 _BLOCK = 1 << 22  # characters that are split at a time
 _JOINED = 2000  # new pieces that are encoded as one text
-_UNSAFE = re.compile(r"\s \s|\s $")
+_SPACE = r"[\x09-\x0D\x1C-\x1F\x{85}\pZ]"  # the white space of Unicode
+_UNSAFE = rf"{_SPACE} {_SPACE}|{_SPACE} \z"
 #: A full stop or comma between a letter or digit and a space is always a token of its own: it
 #: becomes a piece, marked as not coming after a space.
 _STOP, _MARK = "([0-9A-Za-z])([.,]) ", "\x01"
-_PLAIN = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL)  # no white space at either end
+_PLAIN = r"(?s)\A[!-~\pL\pN_](?:.*[!-~\pL\pN_])?\z"  # no white space at either end
 WRITTEN = "part int, doc_id bigint, start bigint, n_tokens bigint, ids array<int>"
 WRITTEN_TYPE = pa.schema(
     [("part", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))]
@@ -71,6 +71,10 @@ class _Grown:
         self.size += len(values)
 
 
+def _texts(pieces: pa.Array) -> list[str]:
+    return pieces.to_numpy(zero_copy_only=False).tolist()
+
+
 class Pieces:
     """Ids of pieces of text, encoded once and kept."""
 
@@ -94,34 +98,42 @@ class Pieces:
         self.ids, self.at = _Grown([self.end], np.int32), _Grown([0, 1], np.int64)
         self.chars = 0
 
-    def _numbers(self, known: dict[str, int], pieces: list[str], lead: str = "") -> np.ndarray:
+    def _numbers(self, known: dict[str, int], pieces: pa.Array, lead: str = "") -> np.ndarray:
         """Numbers of distinct pieces; new ones are encoded, each after ``lead``."""
-        numbers = np.array([known.get(p, -1) for p in pieces], np.int64)
+        texts = _texts(pieces)
+        numbers = np.fromiter(map(known.get, texts, repeat(-1)), np.int64, len(texts))
         new = np.flatnonzero(numbers < 0)
         if len(new):
-            missing = [pieces[i] for i in new.tolist()]
-            joined = np.array([bool(lead and self.joins and _PLAIN.fullmatch(p)) for p in missing])
-            for some, encode in ((new[joined], self._joined), (new[~joined], self._alone)):
-                texts = [pieces[i] for i in some.tolist()]
-                for lo in range(0, len(texts), _JOINED):
-                    ids, size = encode([t[1:] if lead and t[:1] == _MARK else lead + t for t in texts[lo : lo + _JOINED]])
-                    numbers[some[lo : lo + _JOINED]] = self.at.size - 1 + np.arange(len(size))
+            missing = pieces.take(pa.array(new))
+            joined = np.zeros(len(new), bool)
+            led = missing
+            if lead:  # pieces hold no space, so a mark that comes after one leads its piece
+                space, nothing = pa.scalar(lead, missing.type), pa.scalar("", missing.type)
+                led = pc.replace_substring(pc.binary_join_element_wise(space, missing, nothing), lead + _MARK, "")
+                if self.joins:
+                    joined = pc.match_substring_regex(missing, _PLAIN).to_numpy(zero_copy_only=False)
+            for some, encode in ((joined, self._joined), (~joined, self._alone)):
+                own, batch = new[some], led.filter(pa.array(some))
+                for lo in range(0, len(own), _JOINED):
+                    ids, size = encode(batch.slice(lo, _JOINED))
+                    numbers[own[lo : lo + _JOINED]] = self.at.size - 1 + np.arange(len(size))
                     self.at.extend(self.ids.size + np.cumsum(size))
                     self.ids.extend(ids)
-            known.update(zip(missing, numbers[new].tolist()))
-            self.chars += sum(map(len, missing)) + len(missing)
+            known.update(zip([texts[i] for i in new.tolist()], numbers[new].tolist()))
+            self.chars += pc.sum(pc.utf8_length(missing)).as_py() + len(new)
         return numbers
 
-    def _alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _alone(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(_texts(pieces), add_special_tokens=False)]
         size = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.int32, int(size.sum())), size
 
-    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _joined(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``_alone`` in one text, cut where the bytes of the tokens add up to those of a piece."""
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, np.int32)
+        text = "".join(_texts(pieces))
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
         ends = np.cumsum(self.width[ids])
-        wanted = np.cumsum([len(p.encode()) for p in pieces])
+        wanted = np.cumsum(pc.binary_length(pieces).to_numpy())
         last = np.searchsorted(ends, wanted)
         if not len(ends) or ends[-1] != wanted[-1] or (ends[last] != wanted).any():  # bytes the vocabulary lacks
             return self._alone(pieces)
@@ -132,21 +144,28 @@ class Pieces:
         if self.chars > KEPT_CHARS:
             self.forget()
         whole = [_MARK, *self.added]
-        cut = np.array([not (_UNSAFE.search(t) or any(name in t for name in whole)) for t in texts])
-        marked = pc.replace_substring_regex(pa.array(compress(texts, cut), pa.large_string()), _STOP, rf"\1 {_MARK}\2 ")
+        rows = pa.array(texts, pa.large_string())
+        cut = ~pc.match_substring_regex(rows, _UNSAFE).to_numpy(zero_copy_only=False)
+        cut &= np.fromiter((not any(name in t for name in whole) for t in texts), bool, len(texts))
+        marked = pc.replace_substring_regex(rows.filter(pa.array(cut)), _STOP, rf"\1 {_MARK}\2 ")
         split = pc.split_pattern(marked, " ")
         offsets = split.offsets.to_numpy()
         coded = split.values.dictionary_encode()
-        code, pieces = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        code, pieces = coded.indices.to_numpy(), coded.dictionary
         heads = np.zeros(len(code), bool)
         heads[offsets[:-1]] = True
         number = np.empty(len(code), np.int64)
         for some, known, lead in ((heads, self.first, ""), (~heads, self.inner, " ")):
-            own, place = np.unique(code[some], return_inverse=True)
-            number[some] = self._numbers(known, [pieces[i] for i in own.tolist()], lead)[place]
+            codes = code[some]
+            found = np.zeros(len(pieces), bool)
+            found[codes] = True
+            own = np.flatnonzero(found)
+            of_code = np.empty(len(pieces), np.int64)
+            of_code[own] = self._numbers(known, pieces.take(pa.array(own)), lead)
+            number[some] = of_code[codes]
         rest = list(compress(texts, ~cut))
         distinct = list(dict.fromkeys(rest))
-        whole = dict(zip(distinct, self._numbers(self.whole, distinct).tolist()))
+        whole = dict(zip(distinct, self._numbers(self.whole, pa.array(distinct, pa.large_string())).tolist()))
 
         counts = np.full(len(texts), 2)  # numbers of each text: its pieces, and 0 for the end id
         counts[cut] = np.diff(offsets) + 1
@@ -158,7 +177,9 @@ class Pieces:
         start = at[numbers]
         size = at[numbers + 1] - start
         ends = np.cumsum(size)
-        ids = self.ids.data[np.repeat(start - ends + size, size) + np.arange(ends[-1])]
+        place = np.repeat(start - ends + size, size)
+        place += np.arange(len(place))
+        ids = self.ids.data.take(place)
         upto = ends[np.cumsum(counts) - 1]
         return ids, np.diff(upto, prepend=0)
 

@@ -1,9 +1,13 @@
 """Pieces of text are encoded many at a time, with the ids that whole texts get."""
 
+import cProfile
 import random
+import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pricetide.llm import token_files
 from tests.llm.test_operators import prose
@@ -59,3 +63,18 @@ def test_bytes_that_the_vocabulary_lacks():
     expected = ids(coded.tokenizer, texts)
     coded.width = coded.width + 1
     assert coded.encode(texts)[0].tolist() == [i for e in expected for i in e]
+
+
+def test_new_pieces_take_no_call_each():
+    """Pieces are judged, joined and measured by the block; only the library sees each of them."""
+    rng, coded = random.Random(8), pieces()
+    text = "start " + " ".join("".join(rng.choice("abcdefgh") for _ in range(8)) for _ in range(5000))
+    profile = cProfile.Profile()
+    profile.runcall(coded.encode, [text])
+    assert sum(entry.callcount for entry in profile.getstats()) < 5000
+
+
+def test_white_space_is_that_of_python():
+    signs = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    found = pc.match_substring_regex(pa.array(signs), token_files._SPACE).to_pylist()
+    assert [c for c, white in zip(signs, found) if white] == [c for c in signs if re.search(r"\s", c)]
