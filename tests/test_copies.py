@@ -76,3 +76,22 @@ def test_feeds_are_written_compressed(spark, tmp_path, feed, monkeypatch):
     assert len(list((tmp_path / "feed").glob("part-*.csv.gz"))) == 3
     scanned = raw_source.scan_raw_prices(spark, str(tmp_path / "feed")).drop(raw_source.MALFORMED)
     assert Counter(map(tuple, scanned.collect())) == Counter(map(tuple, rows_in.collect()))
+
+
+def test_only_load_keys_are_shuffled_for_the_layout(spark, tmp_path, feed, monkeypatch):
+    """Date, year and month follow from the key and are added after the shuffle, or are never moved."""
+    plans, write = {}, Warehouse._write
+
+    def kept(self, rows, *folder, **options):
+        plans["/".join(folder)] = plan(rows)
+        write(self, rows, *folder, **options)
+
+    monkeypatch.setattr(Warehouse, "_write", kept)
+    store = Warehouse(spark, str(tmp_path))
+    clean = cleaning.clean(feed({"id": "a"}, {"id": "b", "prices.dateSeen": "2021-02-03"})).localCheckpoint()
+    for _ in range(2):
+        store.load(clean)
+        assert "observed_date" not in plans["staged/numbered"].split("Exchange rangepartitioning")[1]
+    assert "observed_date" not in plans["staged/facts"]
+    dates = store.price_history().select("product_id", "observed_year", "observed_month", F.col("observed_date").cast("string"))
+    assert sorted(map(tuple, dates.collect())) == [("a", 2020, 1, "2020-01-01"), ("b", 2021, 2, "2021-02-03")]
