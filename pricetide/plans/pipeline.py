@@ -25,7 +25,7 @@ from ..operators.quality import (
 )
 from ..errors import FeedRejected
 from ..schema import RAW_COLUMNS
-from ..session import COMPACT, ROWS_PER_FILE, prepare
+from ..session import COMPACT, ROWS_PER_FILE, open_writers, prepare
 from ..sources.raw import MALFORMED, landed, scan_for_landing, write_landed
 from ..sources.warehouse import LoadResult, Warehouse
 from .ledger import RunLedger
@@ -41,7 +41,8 @@ def write_processed(observed: DataFrame, path: str) -> None:
     good = F.col("reject_reason").isNull()
     labelled = observed.withColumn("outcome", F.when(good, "clean").otherwise("rejected"))
     writer = labelled.write.mode("overwrite").partitionBy("outcome")
-    writer.options(**COMPACT, maxRecordsPerFile=ROWS_PER_FILE).parquet(path)
+    with open_writers(observed.sparkSession, 2):
+        writer.options(**COMPACT, maxRecordsPerFile=ROWS_PER_FILE).parquet(path)
 
 
 def read_processed(spark: SparkSession, path: str, schema: DataFrame) -> DataFrame:

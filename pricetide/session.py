@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,21 @@ def staged(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def open_writers(spark: SparkSession, most: int) -> Iterator[None]:
+    """Let a task keep a file open for each of up to ``most`` partition values of a write.
+
+    Rows then need not be sorted by them first; a task that meets more values sorts the rest.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(most, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def release(spark: SparkSession, base: str | None = None) -> None:
     """Remove every intermediate table of this application; frames over them end with it."""
     base = base or spark.conf.get("spark.checkpoint.dir", None)
