@@ -1,5 +1,7 @@
 """Steps of a run that are done once, or only where they are needed."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
@@ -9,6 +11,7 @@ from pricetide.operators import cleaning
 from pricetide.plans.pipeline import read_processed, write_processed
 from pricetide.session import open_writers
 from pricetide.sources.raw import CSV_OPTIONS, write_raw_files
+from pricetide.sources.warehouse import Warehouse
 
 LIMIT = "spark.sql.maxConcurrentOutputFileWriters"
 
@@ -55,6 +58,26 @@ def test_limit_of_writers_is_put_back_after_an_error_and_never_lowered(spark):
     assert spark.conf.get(LIMIT) == before
 
 
+def test_names_and_fresh_facts_are_computed_once(spark, tmp_path, feed, monkeypatch):
+    plans, write = {}, Warehouse._write
+
+    def kept(self, rows, *folder, **options):
+        plans["/".join(folder)] = plan(rows)
+        write(self, rows, *folder, **options)
+
+    monkeypatch.setattr(Warehouse, "_write", kept)
+    store = Warehouse(spark, str(tmp_path / "store"))
+    path = str(tmp_path / "clean")
+    for n, ids in enumerate(["ab", "abc", "abc"]):
+        cleaning.clean(feed(*[{"id": i, "prices.merchant": f"shop {i}"} for i in ids])).write.parquet(f"{path}{n}")
+        result = store.load(spark.read.parquet(f"{path}{n}"))
+        assert (result.inserted, result.skipped) == [(2, 0), (1, 2), (0, 3)][n]
+        # The numbering of merchants reads stored names, the range partitioner stored facts.
+        assert "FileScan parquet [merchant#" not in plans[f"merchants/load={n + 1}"]
+        assert "FileScan parquet [merchant#" in plans["staged/names"]
+    assert Counter(r.merchant_name for r in store.merchants().collect()) == Counter(["shop a", "shop b", "shop c"])
+
+
 def test_feeds_are_compressed_fast(spark, tmp_path, feed):
     rows = feed(*[{"id": f"{i * 7919 % 1000:03}", "name": f"name {i % 13}"} for i in range(2000)]).coalesce(1)
     write_raw_files(rows, str(tmp_path / "fast"))
