@@ -75,6 +75,8 @@ def test_names_and_fresh_facts_are_computed_once(spark, tmp_path, feed, monkeypa
         # The numbering of merchants reads stored names, the range partitioner stored facts.
         assert "FileScan parquet [merchant#" not in plans[f"merchants/load={n + 1}"]
         assert "FileScan parquet [merchant#" in plans["staged/names"]
+        if n:
+            assert "Join" not in plans["staged/numbered"]
     assert Counter(r.merchant_name for r in store.merchants().collect()) == Counter(["shop a", "shop b", "shop c"])
 
 
